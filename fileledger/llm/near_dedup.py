@@ -191,7 +191,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
     labels = classes.select("fp1", "fp2", "n", F.col("cid").alias("comp"))
     for found in maps:
         labels = labels.join(found, F.col("comp") == F.col("node"), "left").select("fp1", "fp2", "n", F.coalesce("component", "comp").alias("comp"))
-    out = signed.select("doc_id", "fp1", "fp2", "n").join(labels.withColumnRenamed("n", "m"), ["fp1", "fp2"], "left").where("m is null or m = n")
+    out = signed.select("doc_id", "fp1", "fp2", "n").join(labels, ["fp1", "fp2", "n"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
