@@ -12,6 +12,8 @@ Numbers below ``a * b`` have one half below ``a`` and one below ``b``, each shif
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,47 +140,87 @@ def _date_parts(x: Column) -> tuple[Column, Column, Column, Column, Column]:
     return f, year_first, day_first, F.when(year > 0, written.try_cast("date")), cycle.try_cast("date")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _new_date(x: Column, key: str) -> Column:
+    """The pseudonym of a date in its own writing; null if it is none."""
+    f, year_first, day_first, date, cycle = _date_parts(x)
+
+    def written(p: Column) -> Column:
+        y, m, d, f = F.lpad(F.year(p["to"]).cast("string"), 4, "0"), F.month(p["to"]), F.day(p["to"]), p["f"]
+        pad = lambda n, like: F.when(F.length(like) > 1, F.lpad(n.cast("string"), 2, "0")).otherwise(n.cast("string"))
+        by = lambda a, b, c: F.concat(a, p["sep"], b, p["sep"], c)
+        return F.when(p["y"], by(y, pad(m, f[1]), pad(d, f[2]))).when(p["d"], by(pad(d, f[0]), pad(m, f[1]), y)).otherwise(by(pad(m, f[0]), pad(d, f[1]), y))
+
+    def move(p: Column) -> Column:
+        to = F.date_add(p["cycle"], permute_number(F.datediff(p["date"], p["cycle"]).cast("long"), DAYS, F.lit("date"), key).cast("int"))
+        return let(F.struct(to.alias("to"), p["f"].alias("f"), p["y"].alias("y"), p["d"].alias("d"), p["sep"].alias("sep")), written)
+
+    parts = F.struct(f.alias("f"), year_first.alias("y"), day_first.alias("d"), date.alias("date"), cycle.alias("cycle"), F.regexp_extract(x, "[-/.]", 0).alias("sep"))
+    return let(parts, lambda p: F.when(p["date"].isNotNull(), move(p)))
+
+
+def _new_ip(x: Column, key: str) -> Column:
+    octets = F.transform(F.split(x, r"\."), lambda o: o.cast("long"))
+    moved = lambda o: permute_number(F.aggregate(o, F.lit(0).cast("long"), lambda t, b: t * 256 + b), ADDRESSES, F.lit("ip"), key)
+    dotted = lambda v: F.concat_ws(".", *(F.pmod(F.floor(v / 256**i), F.lit(256)).cast("string") for i in (3, 2, 1, 0)))
+    return let(octets, lambda o: F.when(F.forall(o, lambda b: b < 256), let(moved(o), dotted)))
+
+
+def _new_iban(x: Column, key: str) -> Column:
+    def checked(bare: Column) -> Column:
+        country, own = F.substr(bare, F.lit(1), F.lit(2)), F.substr(bare, F.lit(5), F.length(bare))
+        made = lambda b: F.concat(country, F.lpad((98 - mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0"), b)
+        return F.when(mod97(F.concat(own, F.substr(bare, F.lit(1), F.lit(4)))) == 1, _overlay(x, let(permute_string(own, F.lit("iban"), key), made), "[A-Z0-9]"))
+
+    return let(_letters_digits(x), checked)
+
+
+def _new_ssn(x: Column, key: str) -> Column:
+    def made(v: Column) -> Column:
+        area, group, serial = F.floor(v / (99 * SOCIAL[1])) + 1, F.floor(v / SOCIAL[1]) % 99 + 1, v % SOCIAL[1] + 1
+        return F.concat_ws("-", F.lpad((area + F.when(area >= 666, 1).otherwise(0)).cast("string"), 3, "0"), F.lpad(group.cast("string"), 2, "0"), F.lpad(serial.cast("string"), 4, "0"))
+
+    def checked(p: Column) -> Column:
+        area, group, serial = p[0], p[1], p[2]
+        v = ((area - 1 - F.when(area > 666, 1).otherwise(0)) * 99 + group - 1).cast("long") * SOCIAL[1] + serial - 1
+        return F.when(~area.isin(0, 666) & (area < 900) & (group > 0) & (serial > 0), let(permute_number(v, SOCIAL, F.lit("ssn"), key), made))
+
+    return let(F.transform(F.split(x, "-"), lambda t: t.cast("int")), checked)
+
+
+def _new_phone(x: Column, key: str) -> Column:
+    code = F.regexp_extract(x, r"^\+(?:1|[2-9]\d{0,2}(?=[ .(-]))", 0)
+    whole = lambda r: F.concat(F.substr(x, F.lit(1), F.length(x) - F.length(r)), _overlay(r, permute_string(_digits(r), F.lit("phone"), key), "[0-9]"))
+    return F.when(F.length(_digits(x)).between(8, 15), let(F.substr(x, F.length(code) + 1, F.length(x)), whole))
+
+
+def _new_card(x: Column, key: str) -> Column:
+    def checked(digits: Column) -> Column:
+        body = F.substr(digits, F.lit(1), F.length(digits) - 1)
+        made = lambda b: _overlay(x, F.concat(b, luhn_digit(b)), "[0-9]")
+        return F.when(F.substr(digits, F.length(digits), F.lit(1)) == luhn_digit(body), let(permute_string(body, F.lit("card"), key), made))
+
+    return let(_digits(x), checked)
+
+
 def pseudonym(x: Column, key: str) -> Column:
     """A match to ``struct(kind, text)``: its kind and pseudonym, or null and itself if it isn't valid."""
-    kind = kind_of(x)
-    digits = _digits(x)
     local = F.substring_index(x, "@", 1)
     email = F.concat(permute_string(local, F.lit("email"), key), F.substr(x, F.length(local) + 1, F.length(x)))
-    octets = F.transform(F.split(x, r"\."), lambda o: o.cast("long"))
-    address = permute_number(F.aggregate(octets, F.lit(0).cast("long"), lambda t, o: t * 256 + o), ADDRESSES, F.lit("ip"), key)
-    ip = F.concat_ws(".", *(F.pmod(F.floor(address / 256**i), F.lit(256)).cast("string") for i in (3, 2, 1, 0)))
-    f, year_first, day_first, date, cycle = _date_parts(x)
-    moved = F.date_add(cycle, permute_number(F.datediff(date, cycle).cast("long"), DAYS, F.lit("date"), key).cast("int"))
-    pad = lambda n, like: F.when(F.length(like) > 1, F.lpad(n.cast("string"), 2, "0")).otherwise(n.cast("string"))
-    y, sep = F.lpad(F.year(moved).cast("string"), 4, "0"), F.regexp_extract(x, "[-/.]", 0)
-    new_date = F.when(year_first, F.concat(y, sep, pad(F.month(moved), f[1]), sep, pad(F.day(moved), f[2]))).when(day_first, F.concat(pad(F.day(moved), f[0]), sep, pad(F.month(moved), f[1]), sep, y)).otherwise(F.concat(pad(F.month(moved), f[0]), sep, pad(F.day(moved), f[1]), sep, y))
-    bare = _letters_digits(x)
-    bban = permute_string(F.substr(bare, F.lit(5), F.length(bare)), F.lit("iban"), key)
-    country = F.substr(bare, F.lit(1), F.lit(2))
-    new_iban = F.concat(country, F.lpad((98 - mod97(F.concat(bban, country, F.lit("00")))).cast("string"), 2, "0"), bban)
-    area, group, serial = (F.substr(digits, F.lit(a), F.lit(n)).cast("int") for a, n in ((1, 3), (4, 2), (6, 4)))
-    social = permute_number(((area - 1 - F.when(area > 666, 1).otherwise(0)) * 99 + group - 1).cast("long") * SOCIAL[1] + serial - 1, SOCIAL, F.lit("ssn"), key)
-    front = F.floor(social / SOCIAL[1])
-    new_area = F.floor(front / 99) + 1
-    new_ssn = F.concat(F.lpad((new_area + F.when(new_area >= 666, 1).otherwise(0)).cast("string"), 3, "0"), F.lit("-"), F.lpad((front % 99 + 1).cast("string"), 2, "0"), F.lit("-"), F.lpad((social % SOCIAL[1] + 1).cast("string"), 4, "0"))
-    code = F.regexp_extract(x, r"^\+(?:1|[2-9]\d{0,2}(?=[ .(-]))", 0)
-    rest = F.substr(x, F.length(code) + 1, F.length(x))
-    phone = F.concat(code, _overlay(rest, permute_string(_digits(rest), F.lit("phone"), key), "[0-9]"))
-    body = F.substr(digits, F.lit(1), F.length(digits) - 1)
-    new_body = permute_string(body, F.lit("card"), key)
-    card = _overlay(x, F.concat(new_body, luhn_digit(new_body)), "[0-9]")
     secret = permute_string(x, F.lit("secret"), key, F.when(x.rlike("[A-F]"), "F").otherwise("f"))
-    made = (
-        F.when(kind == "email", email)
-        .when((kind == "ip") & F.forall(octets, lambda o: o < 256), ip)
-        .when((kind == "date") & date.isNotNull(), new_date)
-        .when((kind == "iban") & (mod97(F.concat(F.substr(bare, F.lit(5), F.length(bare)), F.substr(bare, F.lit(1), F.lit(4)))) == 1), _overlay(x, new_iban, "[A-Z0-9]"))
-        .when((kind == "ssn") & ~area.isin(0, 666) & (area < 900) & (group > 0) & (serial > 0), new_ssn)
-        .when((kind == "phone") & F.length(digits).between(8, 15), phone)
-        .when((kind == "card") & (F.substr(digits, F.length(digits), F.lit(1)) == luhn_digit(body)), card)
-        .when(kind == "secret", secret)
-    )
-    return F.struct(F.when(made.isNotNull(), kind).alias("kind"), F.coalesce(made, x).alias("text"))
+    by_kind = {"email": email, "ip": _new_ip(x, key), "date": _new_date(x, key), "iban": _new_iban(x, key), "ssn": _new_ssn(x, key), "phone": _new_phone(x, key), "card": _new_card(x, key), "secret": secret}
+
+    def made(kind: Column) -> Column:
+        text = F.lit(None).cast("string")
+        for name, new in by_kind.items():
+            text = F.when(kind == name, new).otherwise(text)
+        return let(text, lambda t: F.struct(F.when(t.isNotNull(), kind).alias("kind"), F.coalesce(t, x).alias("text")))
+
+    return let(kind_of(x), made)
 
 
 def kind_of(x: Column) -> Column:
