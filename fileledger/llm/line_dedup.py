@@ -58,19 +58,23 @@ def line_dedup(docs: DataFrame, min_sites: int = 6, min_chars: int = 20, keep_fi
     found = lines.join(small(common), ["h0", "h1"])
     if keep_first:
         found = found.where(~(F.struct("doc_id", "pos").eqNullSafe(F.col("first"))))
-    gone = found.groupBy(F.col("doc_id").alias("__d"), F.col("t0").alias("__t0"), F.col("t1").alias("__t1")).agg(F.collect_set("pos").alias("__gone"))
-    gone = small(scratch.save(gone, "gone"), 100_000)
-    t0, t1 = text_key(F.col("text").cast("string"))
-    split = F.split(F.col("text").cast("string"), "\n")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__gone")), lambda i: F.get(split, i))
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["__d"]) & (t0 == gone["__t0"]) & (t1 == gone["__t1"]), "left")
-    out = joined.withColumn("n_lines", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(split))).withColumn("n_removed", F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__gone")))
-    return out.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))).drop("__d", "__t0", "__t1", "__gone")
+    gone = found.groupBy(F.col("doc_id").alias("d0"), F.col("t0").alias("d1"), F.col("t1").alias("d2")).agg(F.collect_set("pos").alias("gone"))
+    gone = scratch.save(gone, "gone").hint("merge")  # at every size the same plan: texts are shuffled once
+    own = docs.select(F.struct(*docs.columns).alias("doc"))  # apart from our own names
+    text = F.col("doc.text").cast("string")
+    t0, t1 = text_key(text)
+    joined = own.join(gone, F.col("doc.doc_id").cast("long").eqNullSafe(F.col("d0")) & (t0 == F.col("d1")) & (t1 == F.col("d2")), "left")
+    split = F.split(text, "\n")
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("gone")), lambda i: F.get(split, i))
+    cleaned = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    counts = [F.when(text.isNull(), F.lit(0)).otherwise(F.size(split)).alias("n_lines"), F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).alias("n_removed")]
+    return joined.select(*(cleaned.alias(c) if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")), *counts)
 
 
 def drop_boilerplate(docs: DataFrame, **options) -> DataFrame:
     """:func:`line_dedup` as a stage: the columns of ``docs``, ``n_chars`` brought up to date; documents that had nothing but lines kept elsewhere go."""
-    out = line_dedup(docs, **options).where("n_removed = 0 or trim(text) <> ''")
+    named = docs.withColumnsRenamed({c: f"own {c}" for c in docs.columns if c in ("n_lines", "n_removed")})
+    out = line_dedup(named, **options).where("n_removed = 0 or trim(text) <> ''")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.select(*(F.col(f"own {c}").alias(c) if c in ("n_lines", "n_removed") else F.col(f"`{c}`") for c in docs.columns))
