@@ -31,7 +31,7 @@ def matrix(lists: pd.Series, width: int) -> np.ndarray:
 def _tails(m: np.ndarray, cuts: list[int]) -> np.ndarray:
     """For each vector (column) the norm of what follows each cut."""
     sq = m.astype(np.float64) ** 2
-    return np.stack([np.sqrt(sq[c:].sum(axis=0)) for c in cuts])
+    return np.array([np.sqrt(sq[c:].sum(axis=0)) for c in cuts]).reshape(len(cuts), m.shape[1])
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
