@@ -1,10 +1,13 @@
 """MinHash near-deduplication with sequential Bayesian verification.
 
 Texts with equal shingle sets form one class, and only class representatives go on. Banded MinHash keys give
-buckets. Within a bucket, not all pairs are made: a few leaders are compared with the members of other components,
-links join components, and a bucket whose members are in one component is done. Candidate pairs pass a size test,
-then a comparison of their signatures batch by batch which drops a pair once the posterior probability that its
-similarity reaches the threshold is below ``miss``; survivors are confirmed on their full shingle sets.
+buckets. Within a bucket a few leaders are compared with the members of other components first, links join
+components, and a bucket whose members are in one component is done. What is left of a bucket is dealt to blocks of
+bounded size, and each two blocks meet in one group of rows, where only pairs of different components are compared,
+each in the first band that it shares; of these, too, no pair becomes a row.
+Candidate pairs pass a size test, then a comparison of their signatures batch by batch which drops a pair once the
+posterior probability that its similarity reaches the threshold is below ``miss``; survivors are confirmed on their
+full shingle sets.
 """
 
 from __future__ import annotations
@@ -78,7 +81,42 @@ def posterior_filter(left: np.ndarray, right: np.ndarray, floors: list[int], bat
     return out
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands: int = 48, rows: int = 6, miss: float = 1e-7, batch: int = 32, leaders: tuple[int, ...] = (1, 8, 8)) -> DataFrame:
+def linked(x: np.ndarray, y: np.ndarray, threshold_pct: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= threshold_pct * (len(x) + len(y) - common)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Sorted rows as tables that end with a group, and where each table's groups begin and end."""
+    rest: pa.Table | None = None
+    for part in batches:
+        rows = pa.Table.from_batches([part])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        if not rows.num_rows:
+            continue
+        cols = [rows.column(c).to_numpy() for c in keys]
+        cuts = (np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1).tolist()
+        if cuts:
+            yield rows.slice(0, cuts[-1]), [0, *cuts]
+            rows = rows.slice(cuts[-1])
+        rest = rows
+    if rest is not None and rest.num_rows:
+        yield rest, [0, rest.num_rows]
+
+
+def block_pairs(n: np.ndarray, comp: np.ndarray, slot: np.ndarray, sigs: np.ndarray, across: bool, floors: list[int], batch: int, threshold_pct: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of one group of rows, the places of the pairs of different components that may reach the threshold; with ``across`` only pairs of different slots."""
+    may = (comp[:, None] != comp) & (100 * np.minimum(n[:, None], n) >= threshold_pct * np.maximum(n[:, None], n))
+    if across:
+        may &= slot[:, None] != slot
+    left, right = np.nonzero(np.triu(may, 1))
+    stays = [posterior_filter(sigs[left[i : i + 16384]], sigs[right[i : i + 16384]], floors, batch) for i in range(0, len(left), 16384)]
+    keep = np.concatenate(stays) if stays else np.zeros(0, bool)
+    return left[keep], right[keep]
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands: int = 48, rows: int = 6, miss: float = 1e-7, batch: int = 32, leaders: tuple[int, ...] = (1, 8), block: int = 1024) -> DataFrame:
     """``docs (doc_id, text, ...)`` to one row per row: ``doc_id, n_shingles, component_id, kept``.
 
     Two texts are linked if ``100 * |A & B| >= threshold_pct * |A | B|`` for their sets of distinct ``k``-word
@@ -126,7 +164,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
     shared = every.groupBy("b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("b")
     members = scratch.save(every.join(shared, "b").withColumn("comp", F.col("cid")), "members")
     ids = scratch.save(members.select("cid").distinct(), "ids")
-    sigs = classes.select("cid", "sig").join(ids, "cid")
+    sigs = scratch.save(classes.select("cid", "sig", "bands").join(ids, "cid"), "sigs")
     texts = scratch.save(base.join(small(ids), F.col("doc_id") == F.col("cid"), "left_semi").select(F.col("doc_id").alias("cid"), "text").distinct(), "texts")
 
     floors = least_agreements(count // batch, batch, threshold_pct / 100, miss)
@@ -144,38 +182,86 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
             for ta, tb in zip(part.column("ta").to_pylist(), part.column("tb").to_pylist(), strict=True):
                 for t in (ta, tb):
                     if t not in held:
-                        if len(held) >= 64:
-                            held.pop(next(iter(held)))
                         held[t] = shingles(t, k)
-                x, y = held[ta] if ta in held else shingles(ta, k), held[tb]
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * common >= threshold_pct * (len(x) + len(y) - common))
+                ok.append(linked(held[ta], held[tb], threshold_pct))
+                if len(held) > 512:
+                    held = {ta: held[ta]}
             yield part.select(["a", "b", "ca", "cb"]).filter(pa.array(ok, pa.bool_()))
 
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of a group that have a likely partner, each with its partners further on; a pair counts in the first band it shares."""
+        for rows, cuts in whole_groups(batches, group):
+            b, i, j, slot, cid, n, comp = (rows.column(c).to_numpy() for c in (*group, "slot", "cid", "n", "comp"))
+            sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(b), count)
+            keys = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(b), bands)
+            places, partners = [], []
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                left, right = block_pairs(n[lo:hi], comp[lo:hi], slot[lo:hi], sig[lo:hi], bool(i[lo] != j[lo]), floors, batch, threshold_pct)
+                if len(left):
+                    left, right = left + lo, right + lo
+                    first = np.concatenate([keys[x, (keys[x] == keys[y]).argmax(axis=1)] for x, y in ((left[k : k + 8192], right[k : k + 8192]) for k in range(0, len(left), 8192))])
+                    left, right = left[first == b[lo]], right[first == b[lo]]
+                for at in np.union1d(left, right).tolist():
+                    places.append(at)
+                    partners.append(cid[right[left == at]])
+            offsets = np.concatenate(([0], np.cumsum([len(p) for p in partners]))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[places]) for c in (b, i, j, cid, comp)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(partners) if partners else np.empty(0, np.int64)))], names=[*group, "cid", "comp", "partners"])
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The links that join a group's components, each pair confirmed on full sets; pairs already joined are passed over."""
+        for rows, cuts in whole_groups(batches, group):
+            cid, comp, partners, text = (rows.column(c).to_pylist() for c in ("cid", "comp", "partners", "text"))
+            found: list[tuple[int, int, int, int]] = []
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                sets: dict[int, list[np.ndarray]] = {}
+                comp_of = dict(zip(cid[lo:hi], comp[lo:hi], strict=True))
+                for k in range(lo, hi):
+                    sets.setdefault(cid[k], []).append(shingles(text[k], k_words))
+                top = {c: c for c in comp_of.values()}
+
+                def root(c: int, top: dict[int, int] = top) -> int:
+                    while top[c] != c:
+                        top[c] = c = top[top[c]]
+                    return c
+
+                for k in range(lo, hi):
+                    for other in partners[k]:
+                        x, y = root(comp_of[cid[k]]), root(comp_of[other])
+                        if x != y and any(linked(s, t, threshold_pct) for s in sets[cid[k]] for t in sets[other]):
+                            top[max(x, y)] = min(x, y)
+                            found.append((cid[k], other, comp_of[cid[k]], comp_of[other]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else [[]] * 4)], names=["a", "b", "ca", "cb"])
+
+    group = ["b", "i", "j"]
+    k_words = k
     pair_schema = "a long, b long, ca long, cb long"
     fits = f"least(n, m.n) * 100 >= {threshold_pct} * greatest(n, m.n) and comp <> m.comp"
     tested: list[DataFrame] = []
     maps: list[DataFrame] = []
     for turn, count_of in enumerate([*leaders, 0]):
-        split = members.groupBy(F.col("b").alias("lb")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *(F.min_by(F.struct("cid", "n", "comp"), F.struct(F.xxhash64("cid", F.lit(turn * 100 + i)) if turn + i else F.col("cid"), "cid")).alias(f"l{i}") for i in range(count_of))).where("lo < hi")
+        split = members.groupBy(F.col("b").alias("lb")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("bulk"), *(F.min_by(F.struct("cid", "n", "comp"), F.struct(F.xxhash64("cid", F.lit(turn * 100 + i)) if turn + i else F.col("cid"), "cid")).alias(f"l{i}") for i in range(count_of))).where("lo < hi")
         if count_of:
             heads = scratch.save(split.select("lb", F.explode(F.array_distinct(F.array(*(f"l{i}" for i in range(count_of))))).alias("m")), "heads")
             if heads.limit(1).count() == 0:
                 break
             pairs = members.join(heads, F.col("b") == F.col("lb")).where(fits + " and cid <> m.cid")
-        else:  # what the leaders haven't joined: every pair of a bucket that is still in two components
+            pairs = pairs.select(F.least("cid", "m.cid").alias("a"), F.greatest("cid", "m.cid").alias("b"), F.when(F.expr("cid < m.cid"), F.col("comp")).otherwise(F.col("m.comp")).alias("ca"), F.when(F.expr("cid < m.cid"), F.col("m.comp")).otherwise(F.col("comp")).alias("cb")).distinct()
+            for old in tested:
+                pairs = pairs.join(old.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = scratch.save(pairs, "pairs")
+            tested.append(pairs)
+            likely = pairs.join(sigs.select(F.col("cid").alias("b"), F.col("sig").alias("sb")), "b").join(sigs.select(F.col("cid").alias("a"), F.col("sig").alias("sa")), "a").mapInArrow(prune, pair_schema)
+            both = likely.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
+            links = both.mapInArrow(confirm, pair_schema)
+        else:  # what the leaders haven't joined
             heads = None
-            open_members = members.join(split.select("lb"), F.col("b") == F.col("lb"), "left_semi")
-            other = open_members.select(F.col("b").alias("lb"), F.struct("cid", "n", "comp").alias("m"))
-            pairs = open_members.join(other, F.col("b") == F.col("lb")).where(fits + " and cid < m.cid")
-        pairs = pairs.select(F.least("cid", "m.cid").alias("a"), F.greatest("cid", "m.cid").alias("b"), F.when(F.expr("cid < m.cid"), F.col("comp")).otherwise(F.col("m.comp")).alias("ca"), F.when(F.expr("cid < m.cid"), F.col("m.comp")).otherwise(F.col("comp")).alias("cb")).distinct()
-        for old in tested:
-            pairs = pairs.join(old.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs, "pairs")
-        tested.append(pairs)
-        likely = pairs.join(sigs.select(F.col("cid").alias("b"), F.col("sig").alias("sb")), "b").join(sigs.select(F.col("cid").alias("a"), F.col("sig").alias("sa")), "a").mapInArrow(prune, pair_schema)
-        both = likely.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
-        links = scratch.save(both.mapInArrow(confirm, pair_schema), "links")
+            blocks = split.select("lb", F.ceil(F.greatest(F.col("size") / block, F.col("bulk") / (block * 1024))).cast("int").alias("blocks"))
+            dealt = members.join(blocks, F.col("b") == F.col("lb")).join(sigs, "cid").withColumn("slot", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+            dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            groups = dealt.select("b", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "cid", "n", "comp", "sig", "bands")
+            involved = scratch.save(groups.repartition(*group).sortWithinPartitions(*group).mapInArrow(compare, "b long, i int, j int, cid long, comp long, partners array<long>"), "involved")
+            links = involved.join(texts, "cid").repartition(*group).sortWithinPartitions(*group).mapInArrow(settle, pair_schema)
+        links = scratch.save(links, "links")
         found = connected_components(links.select(F.col("ca").alias("u"), F.col("cb").alias("v")), scratch)
         maps.append(found)
         if heads is None:
@@ -186,7 +272,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
         rest = scratch.save(rest, "members")
         scratch.drop(members, heads)
         members = rest
-    scratch.drop(members, texts, ids)
+    scratch.drop(members, texts, ids, sigs)
 
     labels = classes.select("fp1", "fp2", "n", F.col("cid").alias("comp"))
     for found in maps:
@@ -198,5 +284,5 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
     """The documents of which :func:`near_duplicates` keeps one in each group, with all their columns."""
-    gone = near_duplicates(docs, **options).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(small(gone), docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")
+    gone = small(near_duplicates(docs, **options).where("not kept").select(F.col("doc_id").alias("gone")).distinct())
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
