@@ -122,6 +122,47 @@ def read_ignore_list(spark, d):
     return listing.read_ignore_list(spark, at)
 
 
+def _as_files(spark, d) -> tuple[str, str]:
+    """The documents' texts as files of an archive on the shared folder: its root and a folder beside it."""
+    at = _work(spark, "archive")
+    if "://" in at and not at.startswith("file://"):
+        raise ValueError("these operators need a folder that every executor mounts")
+    table(spark, d, "documents").select("source", F.col("text").alias("value")).repartition(4, "source").write.partitionBy("source").text(at)
+    root = at.removeprefix("file://")
+    return root, root + "-copy"
+
+
+_FILE_BYTES = "SELECT 'source=' || source AS top, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents GROUP BY source"
+
+
+@query(_FILE_BYTES)
+def list_files(spark, d):
+    """Listed by folder level; hidden checksum files and markers are left out here."""
+    root, _ = _as_files(spark, d)
+    files = S.filter_extension(listing.list_files(spark, root), [".txt"])
+    return files.groupBy(paths.first_segment(F.col("file_path")).alias("top")).agg(F.sum("file_size_bytes").alias("bytes"))
+
+
+@query("SELECT 'source=' || source AS top, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents GROUP BY source")
+def read_content(spark, d):
+    root, _ = _as_files(spark, d)
+    files = listing.read_content(spark, "file://" + root, "*.txt").select(F.regexp_extract("path", "/(source=[^/]*)/", 1).alias("top"), F.length("content").alias("n"))
+    return files.groupBy("top").agg(F.sum("n").alias("bytes"))
+
+
+@query("SELECT top, bytes, true AS verified FROM (" + _FILE_BYTES + ")")
+def copy_files(spark, d):
+    """Copy, hash while copying, read back: every hash is that of the source file."""
+    root, to = _as_files(spark, d)
+    files = S.filter_extension(listing.list_files(spark, root), [".txt"]).select("file_path")
+    files.write.parquet("file://" + root + "-plan")
+    plan = spark.read.parquet("file://" + root + "-plan")
+    copying.copy_files(plan, root, to).write.parquet("file://" + root + "-tries")
+    tries = spark.read.parquet("file://" + root + "-tries").join(hashing.hash_files(plan, root), "file_path")
+    ok = F.col("success") & (F.col("sent_checksum") == F.col("remote_checksum")) & (F.col("sent_checksum") == F.col("hash"))
+    return tries.groupBy(paths.first_segment(F.col("file_path")).alias("top")).agg(F.sum("bytes_transferred").alias("bytes"), F.bool_and(ok).alias("verified"))
+
+
 # --- B: filters and functions ---------------------------------------------------------------------------------------
 
 
@@ -782,7 +823,3 @@ def settle_stream(spark, d):
     settled = spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{at}/settled").withColumn("settled", F.lit(True))
     held = spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{at}/held").withColumn("settled", F.lit(False))
     return settled.unionByName(held).select("file_path", "settled")
-
-
-#: Used by the tests with real folders; kept importable here so that a user finds every operator in one place.
-FILE_OPERATORS = (listing.list_files, listing.read_content, copying.copy_files, copying.move_files, hashing.hash_files)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 #: Column, type, default as SQL. The order is the ledger's column order.
 LEDGER_FIELDS = [
@@ -38,10 +38,22 @@ LEDGER_FIELDS = [
     ("data_quality", "string", "'unknown'"),
     ("data_quality_notes", "string", None),
 ]
-LEDGER: StructType = StructType.fromDDL(", ".join(f"{n} {t}" for n, t, _ in LEDGER_FIELDS))
-STATE: StructType = StructType.fromDDL("last_scan_time timestamp_ntz, last_full_verify_time timestamp_ntz, last_db_sync_time timestamp_ntz, total_files_tracked bigint, total_bytes_tracked bigint")
-INVENTORY: StructType = StructType.fromDDL("file_path string, file_name string, file_extension string, file_size_bytes bigint, file_mtime timestamp_ntz, file_ctime timestamp_ntz, filename_timestamp timestamp_ntz")
-OUTCOMES: StructType = StructType.fromDDL("file_path string, attempt int, success boolean, bytes_transferred bigint, duration_seconds double, error string, raised boolean, sent_checksum string, remote_checksum string, remote_error string")
+_TYPES = {"string": StringType, "bigint": LongType, "int": IntegerType, "boolean": BooleanType, "double": DoubleType, "timestamp_ntz": TimestampNTZType}
+
+
+def _struct(fields: list[tuple[str, str]]) -> StructType:
+    """A schema from names and types, built without a session."""
+    return StructType([StructField(name, _TYPES[kind]()) for name, kind in fields])
+
+
+def _listed(text: str) -> StructType:
+    return _struct([tuple(x.split()) for x in text.split(", ")])
+
+
+LEDGER = _struct([(n, t) for n, t, _ in LEDGER_FIELDS])
+STATE = _listed("last_scan_time timestamp_ntz, last_full_verify_time timestamp_ntz, last_db_sync_time timestamp_ntz, total_files_tracked bigint, total_bytes_tracked bigint")
+INVENTORY = _listed("file_path string, file_name string, file_extension string, file_size_bytes bigint, file_mtime timestamp_ntz, file_ctime timestamp_ntz, filename_timestamp timestamp_ntz")
+OUTCOMES = _listed("file_path string, attempt int, success boolean, bytes_transferred bigint, duration_seconds double, error string, raised boolean, sent_checksum string, remote_checksum string, remote_error string")
 
 STATUSES = ["pending", "transferring", "transferred", "verified", "failed", "checksum_mismatch"]
 QUALITIES = ["unknown", "good", "suspect", "bad"]
