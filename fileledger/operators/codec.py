@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import saved
+
 #: How far from a whole number of steps a gap between levels may be.
 GRID_TOLERANCE = 1e-4
 MAX_BITS = 24
@@ -103,15 +105,15 @@ def choose_encoding(stats: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def encode_signals(signals: DataFrame, exact: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(codes, meta, levels)`` of all signals.
+    """``(codes, meta, levels)`` of all signals. Levels, fits and encodings are written once, since each is used several times.
 
     ``codes (signal_id, idx, code)``; ``meta`` has encoding, bits_per_sample, grid_offset, step, scale, n_levels and
     n_samples; ``levels (signal_id, level_idx, level)`` of the indexed signals. Empty signals have no rows anywhere;
     see :func:`route` for them.
     """
-    levels = signal_levels(signals)
-    fit = fit_grid(levels)
-    chosen = choose_encoding(encoding_stats(signals, fit), exact)
+    levels = saved(signal_levels(signals), "levels")
+    fit = saved(fit_grid(levels), "fit")
+    chosen = saved(choose_encoding(encoding_stats(signals, fit), exact), "encodings")
     plain = signals.join(chosen.select("signal_id", "encoding"), "signal_id")
     of = lambda name: plain.where(F.col("encoding") == name).drop("encoding")
     index = level_index(levels.join(chosen.where("encoding = 'indexed'").select("signal_id"), "signal_id", "left_semi"))
@@ -258,9 +260,9 @@ def audit_codec(signals: DataFrame, sample: DataFrame, properties: DataFrame | N
     ``sample (signal_id)``; ``properties (signal_id, before, after)`` maps that must be equal, if given.
     """
     mine = signals.join(sample.select("signal_id"), "signal_id", "left_semi")
-    codes, meta, levels = encode_signals(mine)
-    report = roundtrip_report(mine, decode(codes, meta, levels))
-    rebuilt = rebuild_signals(codes, meta, levels, signal_xxh64(mine))[1]
+    codes, meta, levels = (saved(df, name) for df, name in zip(encode_signals(mine), ("codes", "meta", "levels"), strict=True))
+    report = saved(roundtrip_report(mine, decode(codes, meta, levels)), "report")
+    rebuilt = saved(rebuild_signals(codes, meta, levels, signal_xxh64(mine))[1], "rebuilt")
     out = sample.select("signal_id").join(report, "signal_id", "left").join(rebuilt, "signal_id", "left")
     same = F.lit(True)
     if properties is not None:

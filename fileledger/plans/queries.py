@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -19,6 +18,7 @@ from ..operators import scan as S
 from ..operators import verify as V
 from ..schema import STATUSES
 from ..sources import copying, ledger_store, listing, signals_store
+from ..sources.scratch import scratch_path
 from ..streaming import stream
 from .frames import NOW, PACKED, ROOT, SETTLE, SINCE, frame, table
 from .frames import with_sql as W
@@ -48,18 +48,6 @@ def _names(spark: SparkSession, names: list[str]) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "name string")
 
 
-def _work(spark: SparkSession, name: str) -> str:
-    """A folder of its own in the shared one."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        import tempfile
-
-        root = "file://" + tempfile.mkdtemp(prefix="spark-")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
-
-
 # --- A: sources and sinks ------------------------------------------------------------------------------------------
 
 
@@ -78,21 +66,21 @@ _TRACKED = "file_path, file_size_bytes, transfer_status, local_checksum, compres
 
 @query(W("ledger") + f"SELECT {_TRACKED}, 'xxh64' AS checksum_algorithm, 'unknown' AS data_quality FROM ledger")
 def ledger_snapshot(spark, d):
-    at = _work(spark, "ledger")
+    at = scratch_path(spark, "ledger")
     ledger_store.write_ledger(frame(spark, d, "ledger0"), at)
     return ledger_store.read_ledger(spark, at).select(*_TRACKED.split(", "), "checksum_algorithm", "data_quality")
 
 
 @query(W("ledger") + f"SELECT {_TRACKED} FROM ledger")
 def ledger_json_export(spark, d):
-    at = _work(spark, "export")
+    at = scratch_path(spark, "export")
     ledger_store.export_ledger_json(frame(spark, d, "ledger"), at)
     return ledger_store.read_json_ledger(spark, at).select(*_TRACKED.split(", "))
 
 
 @query(W("ledger") + f"SELECT {_TRACKED} FROM ledger")
 def ledger_replica(spark, d):
-    at = _work(spark, "replica")
+    at = scratch_path(spark, "replica")
     ledger_store.replicate_ledger(frame(spark, d, "ledger"), at, 3)
     return ledger_store.read_ledger(spark, at).select(*_TRACKED.split(", "))
 
@@ -100,7 +88,7 @@ def ledger_replica(spark, d):
 @query("SELECT CAST(l_suppkey AS BIGINT) AS signal_id, count(*) AS samples, CAST(sum(CAST(rint_code AS BIGINT)) AS BIGINT) AS code_sum FROM (SELECT l_suppkey, round_even((l_discount - min(l_discount) OVER (PARTITION BY l_suppkey)) * 100, 0) AS rint_code FROM lineitem) GROUP BY l_suppkey")
 def stored_codes(spark, d):
     codes, meta, _ = K.encode_signals(_discounts(spark, d))
-    at = _work(spark, "codes")
+    at = scratch_path(spark, "codes")
     signals_store.write_codes(codes, meta, at)
     return signals_store.read_codes(spark, at).groupBy("signal_id").agg(F.count(F.lit(1)).alias("samples"), F.sum("code").alias("code_sum"))
 
@@ -108,7 +96,7 @@ def stored_codes(spark, d):
 @query("SELECT CAST(l_suppkey AS BIGINT) AS signal_id, CASE WHEN count(DISTINCT l_discount) > 0 THEN 'affine_codes' END AS encoding, 16 AS bits_per_sample, count(*) AS n_samples FROM lineitem GROUP BY l_suppkey")
 def stored_signal_meta(spark, d):
     _, meta, _ = K.encode_signals(_discounts(spark, d))
-    at = _work(spark, "meta")
+    at = scratch_path(spark, "meta")
     signals_store.write_signal_meta(meta, at)
     schema = "signal_id bigint, encoding string, bits_per_sample int, grid_offset double, step double, scale double, n_levels bigint, n_samples bigint"
     return signals_store.read_signal_meta(spark, at, schema).select("signal_id", "encoding", "bits_per_sample", "n_samples")
@@ -116,7 +104,7 @@ def stored_signal_meta(spark, d):
 
 @query("SELECT DISTINCT trim(source) AS name FROM documents WHERE doc_id % 3 <> 0")
 def read_ignore_list(spark, d):
-    at = _work(spark, "ignore")
+    at = scratch_path(spark, "ignore")
     lines = table(spark, d, "documents").select(F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("# "), "source")).otherwise(F.concat(F.lit("  "), "source")).alias("value"))
     lines.unionByName(spark.createDataFrame([("",), ("# a comment",)], "value string")).write.text(at)
     return listing.read_ignore_list(spark, at)
@@ -124,7 +112,7 @@ def read_ignore_list(spark, d):
 
 def _as_files(spark, d) -> tuple[str, str]:
     """The documents' texts as files of an archive on the shared folder: its root and a folder beside it."""
-    at = _work(spark, "archive")
+    at = scratch_path(spark, "archive")
     if "://" in at and not at.startswith("file://"):
         raise ValueError("these operators need a folder that every executor mounts")
     table(spark, d, "documents").select("source", F.col("text").alias("value")).repartition(4, "source").write.partitionBy("source").text(at)
@@ -796,7 +784,7 @@ def _event_files(spark, d):
 
 
 def _as_stream(spark, df, name):
-    at = _work(spark, name)
+    at = scratch_path(spark, name)
     df.write.parquet(at + "/in")
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(at + "/in"), at
 
@@ -806,7 +794,7 @@ def stream_ledger(spark, d):
     """Two batches of events, in order of time, make the same ledger as all at once."""
     df = _event_files(spark, d)
     cut = df.agg(F.percentile_approx("seq", 0.5)).first()[0] or 0
-    at = _work(spark, "stream")
+    at = scratch_path(spark, "stream")
     for i, part in enumerate((df.where(F.col("seq") <= cut), df.where(F.col("seq") > cut))):
         part.coalesce(1).write.parquet(f"{at}/in/part={i}")
         events = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{at}/in")
