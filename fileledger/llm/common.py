@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,12 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def strings(column, rows: int = 128) -> Iterator[str | None]:
+    """The values of an Arrow column, a few at a time: a batch of long texts isn't held as Python strings as well."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()
+
+
 def text_key(text) -> list:
     """128 bits of a text, as two columns."""
     return [F.xxhash64(text), F.xxhash64(F.lit("b"), text)]

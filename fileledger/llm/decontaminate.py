@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64
+from .common import mix64, strings
 
 _OTHER = re.compile(r"[\W_]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -208,7 +208,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, block_chars: int =
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for part in batches:
-                rows = [(d, *m) for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) for m in find_passages(t, shared.value)]
+                rows = [(d, *m) for d, t in zip(part.column(0).to_pylist(), strings(part.column(1)), strict=True) for m in find_passages(t, shared.value)]
                 if rows:
                     cols = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 4 + [pa.int32()] * 2, strict=True)], names=["doc_id", "item_id", "first_char", "last_char", "edits", "segments"])
@@ -226,7 +226,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int =
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for part in batches:
-                yield part.filter(pa.array([not find_passages(t, shared.value) for t in part.column(at).to_pylist()], pa.bool_()))
+                yield part.filter(pa.array([not find_passages(t, shared.value) for t in strings(part.column(at))], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix64, shingles, small
+from .common import Scratch, mix64, shingles, small, strings
 from .components import connected_components
 
 _SEED = 41
@@ -107,13 +107,20 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
 
 def block_pairs(n: np.ndarray, comp: np.ndarray, slot: np.ndarray, sigs: np.ndarray, across: bool, floors: list[int], batch: int, threshold_pct: int) -> tuple[np.ndarray, np.ndarray]:
     """Of one group of rows, the places of the pairs of different components that may reach the threshold; with ``across`` only pairs of different slots."""
-    may = (comp[:, None] != comp) & (100 * np.minimum(n[:, None], n) >= threshold_pct * np.maximum(n[:, None], n))
-    if across:
-        may &= slot[:, None] != slot
-    left, right = np.nonzero(np.triu(may, 1))
-    stays = [posterior_filter(sigs[left[i : i + 16384]], sigs[right[i : i + 16384]], floors, batch) for i in range(0, len(left), 16384)]
-    keep = np.concatenate(stays) if stays else np.zeros(0, bool)
-    return left[keep], right[keep]
+    size, kept = len(n), [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    for at in range(0, size, 128):  # a strip of the matrix of pairs at a time
+        rows = slice(at, min(size, at + 128))
+        may = comp[rows, None] != comp[None, at:]
+        may &= 100 * np.minimum(n[rows, None], n[None, at:]) >= threshold_pct * np.maximum(n[rows, None], n[None, at:])
+        if across:
+            may &= slot[rows, None] != slot[None, at:]
+        left, right = np.nonzero(np.triu(may, 1))
+        left, right = left + at, right + at
+        for k in range(0, len(left), 8192):
+            x, y = left[k : k + 8192], right[k : k + 8192]
+            stays = posterior_filter(sigs[x], sigs[y], floors, batch)
+            kept.append((x[stays], y[stays]))
+    return np.concatenate([x for x, _ in kept]), np.concatenate([y for _, y in kept])
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands: int = 48, rows: int = 6, miss: float = 1e-7, batch: int = 32, leaders: tuple[int, ...] = (1, 8), block: int = 1024) -> DataFrame:
@@ -144,7 +151,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
                 piece = part.slice(at, 512)
                 fp1, fp2, n, sigs, keys = [], [], [], [], []
                 last, row = None, None
-                for text in piece.column(1).to_pylist():
+                for text in strings(piece.column(1)):
                     if row is None or text != last:
                         h, last = shingles(text, k), text
                         if len(h):
@@ -179,12 +186,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
         held: dict[str, np.ndarray] = {}
         for part in batches:
             ok = []
-            for ta, tb in zip(part.column("ta").to_pylist(), part.column("tb").to_pylist(), strict=True):
+            for ta, tb in zip(strings(part.column("ta")), strings(part.column("tb")), strict=True):
                 for t in (ta, tb):
                     if t not in held:
                         held[t] = shingles(t, k)
                 ok.append(linked(held[ta], held[tb], threshold_pct))
-                if len(held) > 512:
+                if len(held) > 128:
                     held = {ta: held[ta]}
             yield part.select(["a", "b", "ca", "cb"]).filter(pa.array(ok, pa.bool_()))
 
@@ -199,7 +206,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
                 left, right = block_pairs(n[lo:hi], comp[lo:hi], slot[lo:hi], sig[lo:hi], bool(i[lo] != j[lo]), floors, batch, threshold_pct)
                 if len(left):
                     left, right = left + lo, right + lo
-                    first = np.concatenate([keys[x, (keys[x] == keys[y]).argmax(axis=1)] for x, y in ((left[k : k + 8192], right[k : k + 8192]) for k in range(0, len(left), 8192))])
+                    first = np.concatenate([keys[x, (keys[x] == keys[y]).argmax(axis=1)] for x, y in ((left[k : k + 2048], right[k : k + 2048]) for k in range(0, len(left), 2048))])
                     left, right = left[first == b[lo]], right[first == b[lo]]
                 for at in np.union1d(left, right).tolist():
                     places.append(at)
@@ -210,13 +217,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The links that join a group's components, each pair confirmed on full sets; pairs already joined are passed over."""
         for rows, cuts in whole_groups(batches, group):
-            cid, comp, partners, text = (rows.column(c).to_pylist() for c in ("cid", "comp", "partners", "text"))
+            cid, comp, partners = (rows.column(c).to_pylist() for c in ("cid", "comp", "partners"))
             found: list[tuple[int, int, int, int]] = []
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 sets: dict[int, list[np.ndarray]] = {}
                 comp_of = dict(zip(cid[lo:hi], comp[lo:hi], strict=True))
-                for k in range(lo, hi):
-                    sets.setdefault(cid[k], []).append(shingles(text[k], k_words))
+                for k, text in enumerate(strings(rows.column("text").slice(lo, hi - lo)), lo):
+                    sets.setdefault(cid[k], []).append(shingles(text, k_words))
                 top = {c: c for c in comp_of.values()}
 
                 def root(c: int, top: dict[int, int] = top) -> int:

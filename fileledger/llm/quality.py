@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, strings
 
 STATISTICS = ["chars", "words", "lines", "word_len", "long_words", "caps", "letters", "digits", "symbols", "ends", "bars", "bangs", "marks", "distinct", "top_word", "repeats", "line_repeats", "line_len", "short_lines", "title_words"]
 _MARKED = re.compile(r"[^\w\s]{2,}(?=\s|$)")
@@ -51,7 +51,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            rows = [statistics(t) for t in part.column(1).to_pylist()]
+            rows = [statistics(t) for t in strings(part.column(1))]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "stats"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, stats array<double>")
@@ -213,6 +213,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             if part.num_rows:
-                yield part.filter(pa.array(model.score(np.array([statistics(t) for t in part.column(at).to_pylist()])) >= threshold))
+                yield part.filter(pa.array(model.score(np.array([statistics(t) for t in strings(part.column(at))])) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)
