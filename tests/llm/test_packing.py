@@ -2,9 +2,11 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from fileledger.llm import best_fit as B
 from fileledger.llm import tier_packing as T
@@ -28,6 +30,22 @@ def test_twin_vocabulary_on_documents(spark, sf):
     assert encoder("byte_bpe_50k.json")(texts) == encoder("byte_bpe_50k.json", twin=False)(texts)
 
 
+def contract(text):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "a  <|endoftext|>\n<|endoftext|>b", "<|endoftext|", "", "a" + " " * 1_000_000 + "b", "\n" * 1_000_000, "x \t" * 20_000])
+def test_closed_ids_are_those_of_the_plain_call(text):
+    assert closed_ids([text, "c", text])[2].tolist() == contract(text) + [0]
+
+
+def test_closed_ids_of_documents_are_those_of_the_plain_call(spark, sf):
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").limit(100).select("text").collect()] + ["a <|endoftext|> b"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert [x.tolist() for x in closed_ids(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+
+
 @given(st.lists(st.integers(1, 64), max_size=60))
 @settings(max_examples=200, deadline=None)
 def test_windows_are_full_and_lossless(lengths):
