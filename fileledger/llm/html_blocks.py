@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|noscript|template|iframe|svg|textarea|select|math|object|canvas|audio|video)\b(?>\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</\1\s*+[^>]*>|\Z)"
+    r"|<(script|style|title|iframe|textarea)\b(?>\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</\1\s*+[^>]*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?>\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
     r"|<(/?)([a-z][^\s/>]*)([^>]*)(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)",
@@ -18,6 +18,10 @@ _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[^\W\d_a-zA-Z]+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+#: Embedded content stands in a line of text: what is in it or after it belongs to the same block.
+_INLINE |= frozenset("audio canvas math noscript object svg video".split())
+_INLINE |= frozenset("annotation menclose mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+_INLINE |= frozenset("circle defs ellipse g line path polygon polyline rect symbol text tspan use".split())
 _BREAKS = frozenset(["br", "wbr", "img", "input"])
 #: An open element that such a start tag ends.
 _ENDED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -35,7 +39,7 @@ class Block:
 
 
 def blocks_of(page: str | None) -> list[Block]:
-    """The page's blocks that have text; script, style, title and the like have none. Null and empty pages have no blocks."""
+    """The page's blocks that have text; script, style, title, iframe and textarea have none. Null and empty pages have no blocks."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = [("", ())]
     pieces: list[str] = []

@@ -25,6 +25,27 @@ def test_blocks(page, want):
     assert texts(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<article><svg class="i"/><p>Long article text.</p></article>', ["Long article text."]),
+    ("<article><math/><p>a</p><svg><path d='M0'/></svg><p>b</p></article>", ["a", "b"]),
+    ("<article><video src=a><p>after</p></article>", ["after"]),
+    ("<p>let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be <svg><text>one</text></svg></p>", ["let x=1 be one"]),
+    ("<noscript><p>without script</p></noscript><object data=a><p>instead</p></object>tail", ["without script", "instead", "tail"]),
+    ("<p>a<canvas>drawn</canvas></p><audio controls>heard</audio><template><p>c</p></template><p>d", ["adrawn", "heard", "c", "d"]),
+    ("<select><option>x<option>y</select><p>z", ["x", "y", "z"]),
+    ("<textarea><p>no</textarea><iframe><p>no</iframe><p>yes", ["yes"]),
+])
+def test_embedded_content_is_not_skipped(page, want):
+    assert texts(page) == want
+
+
+def test_article_with_embedded_content(spark):
+    words = "The council met on Monday and agreed on the plan for the old harbour, which opens again in spring."
+    page = f'<html><body><nav><a href="/">Home</a></nav><article><h1>Harbour plan</h1><svg class="i"/><p>{words}</p><p>A ratio of <math><mi>x</mi></math> was {words}</p><video src=a><p>Last {words}</p></article></body></html>'
+    got = H.extract_main(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")).first().text
+    assert got.count(words) == 3 and "A ratio of x was" in got
+
+
 def test_paths():
     b = blocks_of('<div class="post-body bigText" id=main><p>x <a href="#">y z</a></p></div>')[0]
     assert b.path == ("t:div", "c:post", "c:body", "c:big", "c:text", "c:main", "t:p") or set(b.path) == {"t:div", "c:post", "c:body", "c:big", "c:text", "c:main", "t:p"}
