@@ -25,12 +25,27 @@ ADDRESSES = (65_536, 65_536)
 SOCIAL = (898 * 99, 9_999)
 
 _DATE = r"(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{4}\.\d{1,2}\.\d{1,2}|\d{1,2}-\d{1,2}-\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})"
+#: Lengths of IBANs by country, of the registry and of the countries that use the form without being in it.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FO FI GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ XK LT LU MN", 21: "HR LV LI CH", 22: "BH BG CR GE DE IE ME RS GB VA",
+    23: "GI IQ IL OM SO TL AE", 24: "AD CZ MD PK RO SA SK ES SE TN VG", 25: "PT ST CV GW MZ AO LY", 26: "IS TR DZ IR", 27: "FR GR IT MR MC SM BI DJ CM CF CG GA GQ KM MG TD",
+    28: "AL AZ BY CY DO SV GT HU LB NI PL BF BJ CI HN MA ML NE SN TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _spaced(countries: str, n: int) -> str:
+    """The form of a spaced IBAN of ``n`` characters: groups of four and the rest, and nothing of the words after it."""
+    groups, rest = divmod(n - 4, 4)
+    return f"(?:{countries.replace(' ', '|')})" + r"\d{2}(?: [A-Z0-9]{4}){%d}" % groups + (" [A-Z0-9]{%d}" % rest if rest else "") + "(?![A-Za-z0-9])"
+
+
+_KNOWN = "|".join(_spaced(countries, n) for n, countries in _IBAN_LENGTHS.items())
 #: Kind, and the whole form of a match; of two kinds that fit, the first holds.
 FORMS = [
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"),
     ("ip", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"),
     ("date", r"(?<![\d./-])" + _DATE + r"(?![./-]?\d)"),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"),
+    ("iban", r"(?<![A-Za-z0-9])(?:(?=[A-Z]{2}\d{2} )(?:" + _KNOWN + r")|[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9]))"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d)"),
     ("phone", r"(?<![\d+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"),
     ("phone", r"(?<![\d+])\+[2-9]\d{0,2}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)"),

@@ -90,6 +90,25 @@ def test_formats_stay_and_equal_values_stay_linked(spark):
     assert rows[6].text.split("+")[1].startswith("44 ") and rows[6].kinds == ["phone", "phone"]
 
 
+def iban(country, own):
+    check = 98 - int("".join(str(int(c, 36)) for c in own + country + "00")) % 97
+    bare = f"{country}{check:02}{own}"
+    return " ".join(bare[i : i + 4] for i in range(0, len(bare), 4))
+
+
+def test_iban_ends_where_its_country_says(spark):
+    ibans = [iban(c, "21000418450200051332987654321"[: n - 4]) for c, n in [("ES", 24), ("BE", 16), ("AT", 20), ("PL", 28), ("SE", 24), ("DE", 22), ("NO", 15), ("FR", 27), ("CR", 22), ("KZ", 20)]]
+    after = ["BIC CAIXESBB", "2024 paid", "IBAN", "A", "1 USD"]
+    texts = [f"IBAN {x} {a}" for x in ibans for a in after] + [f"{ibans[0]} {ibans[1]} {ibans[2]}", "IBAN ES91 2100 0418 4502 0005 1332 BIC CAIXESBB", f"{ibans[0]} 4111 1111 1111 1111"]
+    rows = replaced(spark, *texts)
+    for r, (x, a) in zip(rows, [(x, a) for x in ibans for a in after]):
+        got = r.text.removeprefix("IBAN ").removesuffix(f" {a}")
+        assert r.kinds == ["iban"] and r.text.endswith(f" {a}") and got != x and len(got) == len(x), r.text
+        bare = got.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1
+    assert [r.kinds for r in rows[-3:]] == [["iban"] * 3, ["iban"], ["iban", "card"]]
+
+
 def test_invalid_values_stay(spark):
     texts = ["4111111111111112", "2023-02-29", "300.1.1.1", "000-12-3456 666-12-3456 900-12-3456 123-00-6789", "GB82 WEST 1234 5698 7654 33", "1.2.3", "version 4.0.1", "12345", "a@b", "0000-01-01", "page 1234567"]
     for r, t in zip(replaced(spark, *texts), texts):
