@@ -110,12 +110,23 @@ def read_ignore_list(spark, d):
     return listing.read_ignore_list(spark, at)
 
 
+#: About the most bytes of a source in one file of the archive, and the most documents.
+FILE_BYTES, FILE_ROWS = 1 << 26, 10_000
+
+
 def _as_files(spark, d) -> tuple[str, str]:
-    """The documents' texts as files of an archive on the shared folder: its root and a folder beside it."""
+    """The documents' texts as files of an archive on the shared folder: its root and a folder beside it.
+
+    A source is dealt over as many tasks as the whole table fills files, so that none is one task's or one file's.
+    """
     at = scratch_path(spark, "archive")
     if "://" in at and not at.startswith("file://"):
         raise ValueError("these operators need a folder that every executor mounts")
-    table(spark, d, "documents").select("source", F.col("text").alias("value")).repartition(4, "source").write.partitionBy("source").text(at)
+    docs = table(spark, d, "documents")
+    total = docs.agg(F.sum(F.octet_length("text") + F.lit(1).cast("long"))).first()[0] or 0
+    parts = max(4, total // FILE_BYTES + 1)
+    salted = docs.select("source", F.col("text").alias("value"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).alias("salt"))
+    salted.repartition(parts, "source", "salt").drop("salt").write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("source").text(at)
     root = at.removeprefix("file://")
     return root, root + "-copy"
 
@@ -786,7 +797,7 @@ def _event_files(spark, d):
 def _as_stream(spark, df, name):
     at = scratch_path(spark, name)
     df.write.parquet(at + "/in")
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(at + "/in"), at
+    return spark.readStream.schema(df.schema).parquet(at + "/in"), at
 
 
 @query("SELECT file_path, max_by(size, seq) AS file_size_bytes, max(seq) AS seq, count(*) FILTER (prev IS NULL OR prev <> size) AS changes, count(*) FILTER (prev = size) AS duplicates FROM (SELECT *, lag(size) OVER (PARTITION BY file_path ORDER BY seq) AS prev FROM (SELECT 'f' || user_id AS file_path, CAST(length(event_type) AS BIGINT) AS size, CAST(event_id AS BIGINT) AS seq FROM events)) GROUP BY file_path")
@@ -796,7 +807,7 @@ def stream_ledger(spark, d):
     cut = df.agg(F.percentile_approx("seq", 0.5)).first()[0] or 0
     at = scratch_path(spark, "stream")
     for i, part in enumerate((df.where(F.col("seq") <= cut), df.where(F.col("seq") > cut))):
-        part.coalesce(1).write.parquet(f"{at}/in/part={i}")
+        part.write.parquet(f"{at}/in/part={i}")
         events = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{at}/in")
         stream.stream_ledger(events, f"{at}/ledger", f"{at}/checkpoint").awaitTermination()
     return stream.read_stream_ledger(spark, f"{at}/ledger", 1)
@@ -805,7 +816,7 @@ def stream_ledger(spark, d):
 @query(W("inv") + f"SELECT file_path, file_mtime <= {_CUT} AS settled FROM inv")
 def settle_stream(spark, d):
     df = frame(spark, d, "inv").select("file_path", "file_size_bytes", "file_mtime")
-    rows, at = _as_stream(spark, df.coalesce(1), "settle")
+    rows, at = _as_stream(spark, df, "settle")
     now = datetime.fromisoformat(NOW)
     stream.settle_stream(rows, at, at + "/checkpoint", lambda n: now, SETTLE).awaitTermination()
     settled = spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{at}/settled").withColumn("settled", F.lit(True))
