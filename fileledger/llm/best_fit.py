@@ -64,6 +64,18 @@ def best_fit(lengths: list[int], size: int) -> list[list[int]]:
     return rows
 
 
+def leaving(rows: list[list[int]], lengths: list[int], enough: float, most: int) -> list[list[int]]:
+    """The rows of at least ``enough`` ids, and the fullest others while more than ``most`` ids would stay behind."""
+    sums = [sum(lengths[k] for k in r) for r in rows]
+    wait, out = sum(sums), []
+    for i in sorted(range(len(rows)), key=lambda i: -sums[i]):
+        if sums[i] < enough and wait <= most:
+            break
+        out.append(i)
+        wait -= sums[i]
+    return [rows[i] for i in sorted(out)]
+
+
 def packed_matrix(docs: DataFrame, size: int = 2048, vocabulary: str = VOCABULARY, end: int = 0, pad: int = 0, window_tokens: int = 1 << 20, full: float = 0.98) -> DataFrame:
     """``docs (doc_id, text, ...)`` to one row per packed matrix row.
 
@@ -72,7 +84,7 @@ def packed_matrix(docs: DataFrame, size: int = 2048, vocabulary: str = VOCABULAR
     padding, if there is any); ``doc_ids`` and ``doc_starts``, each piece's document and the place of its first id in it.
     A document's ids are its tokens and then ``end``; every id lies in exactly one piece.
 
-    Rows below ``full`` wait for the next window of documents, at most once each window. Null text counts as empty,
+    Rows below ``full`` wait for the next window of documents; of more than a window of waiting ids the fullest rows go. Null text counts as empty,
     null doc_ids stay, repeated rows are packed each, other columns are ignored; an empty table gives no rows.
     """
 
@@ -103,8 +115,8 @@ def packed_matrix(docs: DataFrame, size: int = 2048, vocabulary: str = VOCABULAR
                     pieces += [(doc_id, s, ids[s : s + size]) for s in range(0, len(ids), size)]
                     fresh += len(ids)
                 if fresh >= window_tokens:
-                    rows = best_fit([len(p[2]) for p in pieces], size)
-                    ready = [r for r in rows if sum(len(pieces[k][2]) for k in r) >= full * size]
+                    lengths = [len(p[2]) for p in pieces]
+                    ready = leaving(best_fit(lengths, size), lengths, full * size, window_tokens)
                     kept = {k for r in ready for k in r}
                     for i in range(0, len(ready), 256):
                         yield emit(ready[i : i + 256])

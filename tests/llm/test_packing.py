@@ -146,3 +146,11 @@ def test_matrix_file(spark, sf, tmp_path):
     B.write_matrix(B.packed_matrix(docs), str(tmp_path / "m"))
     back = spark.read.parquet(str(tmp_path / "m")).collect()
     assert B.as_matrix([r.ids for r in back]).shape[1] == 2048
+
+
+def test_rows_that_never_fill_do_not_wait_for_the_end(spark):
+    n = 300
+    docs = spark.createDataFrame([(i, " a" * (1100 + i * 7919 % 800)) for i in range(n)], "doc_id long, text string").coalesce(1)
+    rows = sorted(B.packed_matrix(docs, window_tokens=20_000).collect(), key=lambda r: r.row_id)
+    assert sorted(d for r in rows for d in r.doc_ids) == list(range(n))
+    assert all(max(rows[k].doc_ids) < k + 100 for k in range(n))
