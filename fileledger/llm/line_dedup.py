@@ -27,25 +27,28 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     return whole.where(F.length("line") >= min_chars).select("doc_id", "site", "t0", "t1", "pos", *(k.alias(f"h{i}") for i, k in enumerate(text_key(F.col("line")))))
 
 
-def spread_lines(lines: DataFrame, min_sites: int, lg_k: int = 12) -> DataFrame:
+def spread_lines(lines: DataFrame, min_sites: int, scratch: Scratch, lg_k: int = 12) -> DataFrame:
     """``lines (h0, h1, site, doc_id, pos)`` to the lines on at least ``min_sites`` sites: ``h0, h1, first``.
 
-    ``first`` is the smallest ``(doc_id, pos)`` at which the line stands. Null sites don't count.
+    ``first`` is the smallest ``(doc_id, pos)`` at which the line stands. Null sites don't count. The exact counts start
+    from distinct (line, site) pairs, so that a task passes on one row a site of a line, however often it has the line.
     """
     sketches = lines.groupBy("h0", "h1").agg(F.hll_sketch_agg("site", lg_k).alias("sketch"), F.min(F.struct("doc_id", "pos")).alias("first"))
     error = NEAR_ERRORS * 1.04 / (2 ** (lg_k / 2))
     low, high = min(min_sites - 1, min_sites * (1 - error)), max(min_sites + 1, min_sites * (1 + error))
-    spread = sketches.select("h0", "h1", "first", F.hll_sketch_estimate("sketch").alias("estimate")).where(F.col("estimate") >= low)
-    near = spread.where(F.col("estimate") <= high).select("h0", "h1")
-    exact = lines.join(near, ["h0", "h1"], "left_semi").groupBy("h0", "h1").agg(F.count_distinct("site").alias("sites"))
-    return spread.join(exact, ["h0", "h1"], "left").where(F.when(F.col("sites").isNull(), F.col("estimate") > high).otherwise(F.col("sites") >= min_sites)).select("h0", "h1", "first")
+    spread = scratch.save(sketches.select("h0", "h1", "first", F.hll_sketch_estimate("sketch").alias("estimate")).where(F.col("estimate") >= low), "spread")
+    near = small(spread.where(F.col("estimate") <= high).select("h0", "h1"))
+    pairs = lines.where("site is not null").select("h0", "h1", "site").distinct()
+    exact = pairs.join(near, ["h0", "h1"], "left_semi").groupBy("h0", "h1").agg(F.count(F.lit(1)).alias("sites"))
+    is_near = F.col("estimate") <= high
+    return spread.join(exact, ["h0", "h1"], "left").where(F.when(is_near, F.coalesce("sites", F.lit(0)) >= min_sites).otherwise(F.lit(True))).select("h0", "h1", "first")
 
 
-def line_dedup(docs: DataFrame, min_sites: int = 6, min_chars: int = 20, keep_first: bool = True) -> DataFrame:
+def line_dedup(docs: DataFrame, min_sites: int = 6, min_chars: int = 1, keep_first: bool = True) -> DataFrame:
     """``docs (doc_id, text, source, ...)`` without the lines that stand on ``min_sites`` sites (sources) or more.
 
-    Lines are parted by ``\\n`` and compared with white space at both ends off (spaces only); shorter ones than
-    ``min_chars`` always stay. With ``keep_first`` a line stays where it first stands (smallest doc_id, then
+    Lines are parted by ``\\n`` and compared with white space at both ends off (spaces only). Empty ones always stay, and
+    those shorter than ``min_chars``, if a caller sets it. With ``keep_first`` a line stays where it first stands (smallest doc_id, then
     position), so that no content leaves the corpus. All columns stay, with ``text`` cleaned; the columns
     ``n_lines`` (before) and ``n_removed`` are added, or replaced if the table has such columns.
 
@@ -54,7 +57,7 @@ def line_dedup(docs: DataFrame, min_sites: int = 6, min_chars: int = 20, keep_fi
     """
     scratch = Scratch(docs.sparkSession, "lines")
     lines = scratch.save(_lines(docs, min_chars), "lines")
-    common = scratch.save(spread_lines(lines, min_sites), "common")
+    common = scratch.save(spread_lines(lines, min_sites, scratch), "common")
     found = lines.join(small(common), ["h0", "h1"])
     if keep_first:
         found = found.where(~(F.struct("doc_id", "pos").eqNullSafe(F.col("first"))))

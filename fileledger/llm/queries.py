@@ -91,7 +91,7 @@ WITH lines AS (
   FROM (SELECT doc_id, text, source, string_split(text, chr(10)) AS s FROM documents)
 ), keyed AS (SELECT doc_id, text, source, pos, line, trim(line, ' ') AS bare FROM lines),
 common AS (
-  SELECT bare, min({'d': doc_id, 'p': pos}) AS first FROM keyed WHERE length(bare) >= 20
+  SELECT bare, min({'d': doc_id, 'p': pos}) AS first FROM keyed WHERE bare <> ''
   GROUP BY bare HAVING count(DISTINCT source) >= 6
 ), judged AS (
   SELECT k.*, c.bare IS NOT NULL AND {'d': k.doc_id, 'p': k.pos} <> c.first AS gone

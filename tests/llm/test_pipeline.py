@@ -19,7 +19,7 @@ def test_stages_against_brute_force(spark, sf):
         seen.append((before.collect(), docs.collect()))
     scores = {r.doc_id: r.predicted for r in quality.quality_scores(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")).collect()}
     assert {r.doc_id for r in seen[0][1]} == {r.doc_id for r in seen[0][0] if scores[r.doc_id]} and len(seen[0][1]) < len(seen[0][0])
-    lines = brute_lines([(r.doc_id, r.text, r.source) for r in seen[1][0]], 6, 20)
+    lines = brute_lines([(r.doc_id, r.text, r.source) for r in seen[1][0]], 6, 1)
     old = {r.doc_id: r.text for r in seen[1][0]}
     assert {r.doc_id: r.text for r in seen[1][1]} == {d: t for d, t in lines.items() if t == old[d] or t.strip(" ")}
     assert all(r.n_chars == len(r.text) for r in seen[1][1])
