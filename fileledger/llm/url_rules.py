@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import small
 
+#: Parts into which urls are dealt for the rules that have no token.
+SALTS = 32
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Generic rules: hosts and paths that name spam, gambling, pills, adult pages, link farms and trackers.
@@ -73,17 +75,21 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     count once; rules with null patterns match nothing. Other columns are ignored.
 
     Each distinct url is judged once; rules are sent to every executor if a count shows that they are few, else both
-    sides are shuffled by token.
+    sides are shuffled by token. Rules without a token meet every url; there the urls are dealt by a salt.
     """
     urls = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
     rules = rules.where(F.col("pattern").isNotNull()).select("pattern", "rule", "action", F.col("class").cast("int").alias("class"), F.col("rank").cast("int").alias("rank")).distinct()
     keyed = rules.withColumn("regex", regex_of(F.col("pattern"))).withColumn("token", F.explode_outer(literal_tokens(F.col("pattern"))))
     distinct = urls.select("url").distinct().select("url", F.concat(host_of(F.col("url")), path_of(F.col("url"))).alias("site"))
-    words = distinct.select("url", "site", F.explode(F.array_union(tokens_of(F.col("site")), F.array(F.lit("")))).alias("token"))
+    words = distinct.select("url", "site", F.explode(tokens_of(F.col("site"))).alias("token"))
     tokens = small(keyed.where("token is not null").select("token").distinct())
     seen = words.join(tokens, "token").groupBy("token").agg(F.count(F.lit(1)).alias("urls"))
     filed = keyed.join(seen, "token", "left").groupBy("pattern", "rule", "action", "class", "rank", "regex").agg(F.coalesce(F.min_by("token", F.struct(F.coalesce("urls", F.lit(0)), "token")), F.lit("")).alias("token"))
-    fetched = words.join(small(filed, 100_000), "token").where(F.expr("site rlike regex"))
+    by_token = words.join(small(filed.where("token <> ''"), 100_000), "token")
+    dealt = distinct.withColumn("salt", F.pmod(F.xxhash64("url"), F.lit(SALTS)).cast("int"))
+    always = dealt.join(small(filed.where("token = ''").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), 100_000), "salt")
+    tried = ["url", "site", "regex", "class", "rank", "rule", "action"]
+    fetched = by_token.select(*tried).unionByName(always.select(*tried)).where(F.expr("site rlike regex"))
     best = fetched.groupBy("url").agg(F.max(F.struct("class", "rank", "rule", "action")).alias("best"))
-    out = urls.join(best.withColumnRenamed("url", "u"), F.col("url") == F.col("u"), "left")
+    out = urls.join(best.withColumnRenamed("url", "u"), F.col("url").eqNullSafe(F.col("u")), "left")
     return out.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("best.rule").alias("rule"), F.col("best.class").alias("class"), F.coalesce("best.action", F.lit(default)).alias("verdict"))

@@ -50,6 +50,26 @@ def test_tokens_are_whole_in_every_match(spark):
     assert got["||porn"] == [] and got["-pills."] == ["pills"] and got["free-download*crack"] == [] and got["spam-farm."] == ["farm"]
 
 
+def test_null_urls_meet_rules_of_the_empty_text(spark):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "http://a.b/")], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in U.judge_urls(df, U.rule_table(spark, [("*", "block")], False)).collect()}
+    assert got == {1: "block", 2: "block", 3: "block"}
+
+
+def test_thousands_of_rules(spark):
+    names = [f"{a}{b}" for a in ("ads", "shop", "news", "blog", "x") for b in range(400)]
+    made = [(f"||{n}.com^", "block") if i % 3 else (f"/{n}/*/{i % 7}^", "allow") for i, n in enumerate(names)] + [(f"{n}-{i % 11}.", "block") for i, n in enumerate(names[:500])]
+    urls = [f"https://{'www.' if i % 2 else ''}{n}.com/{names[i * 31 % len(names)]}/q/{i % 9}" for i, n in enumerate(names[::5])] + [f"http://pre{n}-{i % 11}.org/" for i, n in enumerate(names[::9])]
+    got = {r.page_id: (r.rule, r.verdict) for r in U.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), U.rule_table(spark, made, False)).collect()}
+    tests = [(re.compile(_re2(p)), p, a) for p, a in made]
+    hits = 0
+    for i, u in enumerate(urls):
+        fits = [(len(p), p, a) for x, p, a in tests if x.search("".join(split(u)))]
+        hits += bool(fits)
+        assert got[i] == (max(fits)[1:] if fits else (None, "allow")), u
+    assert hits > 100
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame([(1, "http://a.net/", 5), (1, "http://a.net/", 5), (None, "http://a.net/", 5), (2, None, 5), (3, "http://h/" + "a-" * 100_000, 5)], "page_id long, url string, token int")
     out = U.judge_urls(df, rules(spark))
