@@ -55,6 +55,8 @@ FORMS = [
     ("card", r"(?<![\d-])\d{4}[ -]\d{6}[ -]\d{4,5}(?!\d)"),
     ("secret", r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])"),
 ]
+#: Calling codes: of one digit, of two, and all others of three.
+_CALLING_CODE = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 ANY_FORM = "|".join(f"(?:{form})" for _, form in FORMS)
 
 _ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
@@ -208,9 +210,14 @@ def _new_ssn(x: Column, key: str) -> Column:
 
 
 def _new_phone(x: Column, key: str) -> Column:
-    code = F.regexp_extract(x, r"^\+(?:1|[2-9]\d{0,2}(?=[ .(-]))", 0)
-    whole = lambda r: F.concat(F.substr(x, F.lit(1), F.length(x) - F.length(r)), _overlay(r, permute_string(_digits(r), F.lit("phone"), key), "[0-9]"))
-    return F.when(F.length(_digits(x)).between(8, 15), let(F.substr(x, F.length(code) + 1, F.length(x)), whole))
+    """A calling code stays, wherever the separators stand; the digits after it are permuted, so that all spellings of a number stay linked."""
+
+    def made(digits: Column) -> Column:
+        code = F.when(x.startswith("+"), F.regexp_extract(digits, _CALLING_CODE, 0)).otherwise(F.lit(""))
+        whole = lambda c: _overlay(x, F.concat(c, permute_string(F.substr(digits, F.length(c) + 1, F.length(digits)), F.lit("phone"), key)), "[0-9]")
+        return F.when(F.length(digits).between(8, 15), let(code, whole))
+
+    return let(_digits(x), made)
 
 
 def _new_card(x: Column, key: str) -> Column:

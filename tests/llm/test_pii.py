@@ -90,6 +90,18 @@ def test_formats_stay_and_equal_values_stay_linked(spark):
     assert rows[6].text.split("+")[1].startswith("44 ") and rows[6].kinds == ["phone", "phone"]
 
 
+def test_spellings_of_a_phone_number_stay_linked(spark):
+    groups = [["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958", "+44 (20) 7946 0958", "+44.20.7946.0958"], ["+1 212 555 0100", "+12125550100", "+1 (212) 555-0100"], ["+351 21 123 4567", "+351211234567"], ["+49 30 1234 5678", "+493012345678"]]
+    rows = replaced(spark, *(" x ".join(g) for g in groups))
+    for r, g in zip(rows, groups):
+        bare = {re.sub(r"\D", "", t) for t in r.text.split(" x ")}
+        old = re.sub(r"\D", "", g[0])
+        assert len(bare) == 1 and bare != {old} and r.kinds == ["phone"] * len(g), r.text
+        assert bare.pop()[: len(old) - 9].startswith(re.match("1|44|351|49", old)[0])
+    national, abroad = replaced(spark, "(212) 555-0100", "+1 212 555 0100")
+    assert re.sub(r"\D", "", abroad.text) == "1" + re.sub(r"\D", "", national.text)
+
+
 def iban(country, own):
     check = 98 - int("".join(str(int(c, 36)) for c in own + country + "00")) % 97
     bare = f"{country}{check:02}{own}"
