@@ -1,51 +1,145 @@
-"""Leaf blocks of a web page, in page order, with their tag paths."""
+"""Leaf blocks of a web page, in page order, with their tag paths.
+
+Time and memory are linear in the page's length, whatever its nesting, stray quotes and unclosed elements: an open
+element points to its parent, and counts of open elements tell whether a tag ends any of them before they are looked for.
+"""
 
 from __future__ import annotations
 
 import html
 import re
-from dataclasses import dataclass
+from collections import Counter
 
+#: A comment, a tag with its attributes (a ``>`` in a quoted value doesn't end it), or a declaration.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|iframe|textarea)\b(?>\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</\1\s*+[^>]*>|\Z)"
-    r"|<(/?)([a-z][^\s/>]*)((?>\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
-    r"|<(/?)([a-z][^\s/>]*)([^>]*)(?:>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<(/?)([a-z][^\s/>]*)((?>=\s*+(?>\"[^\"]*\"|'[^']*')|[^>])*+)(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[^\W\d_a-zA-Z]+")
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements whose content is not markup, each with the form of its end tag.
+_RAW = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE) for name in ("script", "style", "title", "iframe", "textarea")}
+#: Of these, without an end tag, the rest of the page is theirs; of the others only the start tag goes.
+_TO_THE_END = frozenset(["script", "style"])
+#: Void elements that neither end a block nor add anything to it.
+_VOID = frozenset("area base col embed img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 #: Embedded content stands in a line of text: what is in it or after it belongs to the same block.
 _INLINE |= frozenset("audio canvas math noscript object svg video".split())
 _INLINE |= frozenset("annotation menclose mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 _INLINE |= frozenset("circle defs ellipse g line path polygon polyline rect symbol text tspan use".split())
-_BREAKS = frozenset(["br", "wbr", "img", "input"])
-#: An open element that such a start tag ends.
-_ENDED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+#: Open elements that such a start tag ends; any other block ends a paragraph.
+_ENDED = {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "option": ("option", "p")}
+_ENDABLE = frozenset(name for names in _ENDED.values() for name in names)
+#: Elements outside of which a start tag ends nothing.
 _SCOPES = frozenset(["ul", "ol", "dl", "table", "div", "article", "section", "body", "td"])
 
 
-@dataclass
+class Element:
+    """An open element: its own path tokens, its parent, its nearest block element and the scope that it stands in."""
+
+    __slots__ = ("block", "inline", "inside", "mask", "name", "parent", "scope", "tokens")
+
+    def __init__(self, name: str, tokens: tuple[str, ...], parent: Element | None):
+        self.name, self.tokens, self.parent, self.mask = name, tokens, parent, None
+        is_block = parent is None or name not in _INLINE
+        self.block = self if is_block else parent.block
+        self.inline: Counter | None = None  # of a block element: the inline elements open in it
+        self.inside: Counter | None = None  # of a scope: the elements open in it that a start tag can end
+        self.scope = self if parent is None or name in _SCOPES else parent.scope
+
+    def path(self) -> tuple[str, ...]:
+        parts, node = [], self
+        while node is not None:
+            parts.append(node.tokens)
+            node = node.parent
+        return tuple(t for tokens in reversed(parts) for t in tokens)
+
+
 class Block:
-    """Text between two block boundaries: white space made single spaces, references decoded."""
+    """Text between two block boundaries, white space made single spaces, references decoded; and its block element."""
+
+    __slots__ = ("element", "leaf", "linked", "text")
 
-    text: str
-    path: tuple[str, ...]
-    leaf: str
-    linked: int
+    def __init__(self, text: str, element: Element, linked: int):
+        self.text, self.element, self.leaf, self.linked = text, element, element.name, linked
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Tags and words of class, id and role, from the page's root to the block's element."""
+        return self.element.path()
+
+
+class _Open:
+    """The stack of open elements, with counts that say what a tag can end."""
+
+    def __init__(self) -> None:
+        self.stack = [Element("", (), None)]
+        self.names: Counter = Counter()
+        self.links = 0
+
+    def push(self, name: str, tokens: tuple[str, ...]) -> None:
+        top = self.stack[-1]
+        node = Element(name, tokens, top)
+        self.stack.append(node)
+        self.names[name] += 1
+        self.links += name == "a"
+        if node.block is not node:
+            node.block.inline = node.block.inline or Counter()
+            node.block.inline[name] += 1
+        elif name in _ENDABLE:
+            top.scope.inside = top.scope.inside or Counter()
+            top.scope.inside[name] += 1
+
+    def pop(self) -> Element:
+        node = self.stack.pop()
+        self.names[node.name] -= 1
+        self.links -= node.name == "a"
+        if node.block is not node:
+            node.block.inline[node.name] -= 1
+        elif node.name in _ENDABLE:
+            node.parent.scope.inside[node.name] -= 1
+        return node
+
+    def end(self, name: str) -> None:
+        """An end tag: of a block element up to the last one open, of an inline element only within its block."""
+        if name in _INLINE:
+            inline = self.stack[-1].block.inline
+            if not inline or not inline[name]:
+                return
+        elif not self.names[name]:
+            return
+        while self.pop().name != name:
+            pass
+
+    def make_room(self, name: str) -> None:
+        """End the elements that a start tag of a block ends."""
+        names = _ENDED.get(name, ("p",))
+        while True:
+            scope = self.stack[-1].scope
+            if scope.inside and any(scope.inside[n] for n in names):
+                while self.pop().name not in names:
+                    pass
+                if len(names) == 1:
+                    return
+            elif scope.parent is not None and scope.name in names:
+                while self.pop() is not scope:
+                    pass
+            else:
+                return
 
 
 def blocks_of(page: str | None) -> list[Block]:
     """The page's blocks that have text; script, style, title, iframe and textarea have none. Null and empty pages have no blocks."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = [("", ())]
+    tree = _Open()
     pieces: list[str] = []
-    opened: tuple[str, tuple[str, ...]] = stack[0]
-    links = linked = 0
+    element = tree.stack[0]
+    linked = 0
     page = page or ""
+    endless: set[str] = set()
 
     def close() -> None:
         nonlocal linked
@@ -53,63 +147,56 @@ def blocks_of(page: str | None) -> list[Block]:
             raw = "".join(pieces)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                out.append(Block(text, opened[1], opened[0], linked))
+                out.append(Block(text, element, linked))
             pieces.clear()
         linked = 0
 
     def add(raw: str) -> None:
-        nonlocal opened, linked
+        nonlocal element, linked
         if not pieces:
             if raw.isspace():
                 return
-            opened = next((x for x in reversed(stack) if x[0] not in _INLINE), stack[0])
+            element = tree.stack[-1].block
         pieces.append(raw)
-        if links:
+        if tree.links:
             linked += len(raw)
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
-        name = m[3] or m[6]
-        if name is None:
-            if m[1]:
-                close()
+        if m[2] is None:
             continue
-        name, ends, attributes = name.lower(), m[2] or m[5], m[4] or m[7] or ""
-        if name in _BREAKS:
+        name, ends, attributes = m[2].lower(), m[1], m[3]
+        if name == "br":
             if pieces:
                 pieces.append(" ")
             continue
+        if name in _VOID:
+            continue
         if name not in _INLINE:
             close()
         if ends:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    links -= sum(x[0] == "a" for x in stack[i:])
-                    del stack[i:]
-                    break
-                if name in _INLINE and stack[i][0] not in _INLINE:
-                    break
+            tree.end(name)
             continue
-        if name in _VOID:
-            continue
-        if name not in _INLINE:
-            ended = _ENDED.get(name, ())
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in ended or stack[i][0] == "p":
-                    links -= sum(x[0] == "a" for x in stack[i:])
-                    del stack[i:]
-                    if not ended:
-                        break
-                elif stack[i][0] in _SCOPES:
-                    break
         if attributes.endswith("/"):
             continue
+        if name in _RAW:
+            got = None if name in endless else _RAW[name].search(page, at)
+            if got:
+                at = got.end()
+            else:
+                endless.add(name)
+                if name in _TO_THE_END:
+                    at = len(page)
+            continue
+        if name == "hr":
+            continue
+        if name not in _INLINE:
+            tree.make_room(name)
         words = [w.lower() for got in _NAMES.findall(attributes) for w in _WORD.findall("".join(got))] if attributes else []
-        stack.append((name, stack[-1][1] + ("t:" + name, *("c:" + w for w in words))))
-        links += name == "a"
+        tree.push(name, ("t:" + name, *("c:" + w for w in words)))
     if at < len(page):
         add(page[at:])
     close()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .html_blocks import Block, blocks_of
+from .html_blocks import Block, Element, blocks_of
 
 PATH_DIMS, WORD_DIMS, MEASURES, HIDDEN = 256, 64, 8, 24
 DIMS = PATH_DIMS + WORD_DIMS + MEASURES
@@ -43,29 +43,38 @@ class _Slots(dict):
 _PATH_SLOTS, _WORD_SLOTS = _Slots(PATH_DIMS), _Slots(WORD_DIMS)
 
 
+def path_mask(element: Element) -> int:
+    """The slots of an element's path as bits; each element keeps its own, made from its parent's."""
+    todo = []
+    node: Element | None = element
+    while node is not None and node.mask is None:
+        todo.append(node)
+        node = node.parent
+    mask = node.mask if node is not None else 0
+    for node in reversed(todo):
+        for token in node.tokens:
+            mask |= 1 << _PATH_SLOTS[token]
+        node.mask = mask
+    return mask
+
+
 def vectors(blocks: list[Block]) -> np.ndarray:
     """One row per block of a page."""
     n = len(blocks)
     x = np.zeros((n, DIMS), np.float32)
     if not n:
         return x
-    at, slots, words, measures = [], [], [], []
-    known: dict = {}
+    masks, words, measures = [], [], []
     sizes = np.empty(n, np.int64)
     for i, b in enumerate(blocks):
-        key = (b.path, b.leaf)
-        path = known.get(key)
-        if path is None:
-            path = known[key] = [_PATH_SLOTS[t] for t in b.path] + [_PATH_SLOTS["l:" + b.leaf]]
-        slots += path
-        at.append(len(path))
+        masks.append((path_mask(b.element) | 1 << _PATH_SLOTS["l:" + b.leaf]).to_bytes(PATH_DIMS // 8, "little"))
         own = b.text.split(" ")
         sizes[i] = len(own)
         words += [_WORD_SLOTS[w] for w in own]
         chars = len(b.text)
         measures.append((chars, min(1.0, b.linked / chars), min(1.0, b.text.count(",") * 10 / chars), b.text[-1] in ".!?", i / n, i + 1 == n, b.leaf in ("h1", "h2", "h3", "h4")))
     rows = np.arange(n)
-    x[np.repeat(rows, at), slots] = 1
+    x[:, :PATH_DIMS] = np.unpackbits(np.frombuffer(b"".join(masks), np.uint8).reshape(n, -1), axis=1, bitorder="little")
     counts = np.bincount(np.repeat(rows, sizes) * WORD_DIMS + np.array(words), minlength=n * WORD_DIMS).reshape(n, WORD_DIMS)
     x[:, PATH_DIMS : PATH_DIMS + WORD_DIMS] = np.sqrt(counts / sizes[:, None])
     m = np.array(measures, np.float32)
@@ -284,14 +293,19 @@ def main_texts(pages: list[str | None], labeller: Labeller) -> list[str]:
     return ["\n".join(b.text for b, c in zip(blocks, chance, strict=True) if c >= 0.5) for blocks, chance in zip(parsed, chances, strict=True)]
 
 
+_WEIGHTS: dict[int, dict[str, np.ndarray]] = {}
+
+
 def _weights(spark: SparkSession, pages: int) -> dict[str, np.ndarray]:
-    """A trained labeller's weights, about 70,000 numbers; trained in a task, where numpy has the task's cores."""
+    """A trained labeller's weights, about 70,000 numbers; trained once a process, in a task, where numpy has the task's cores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _ in batches:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(trained(pages).p)], pa.binary())], names=["weights"])
 
-    return pickle.loads(spark.range(0, 1, 1, 1).mapInArrow(run, "weights binary").first()["weights"])
+    if pages not in _WEIGHTS:
+        _WEIGHTS[pages] = pickle.loads(spark.range(0, 1, 1, 1).mapInArrow(run, "weights binary").first()["weights"])
+    return _WEIGHTS[pages]
 
 
 def extract_main(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> DataFrame:

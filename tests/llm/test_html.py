@@ -1,4 +1,6 @@
 import random
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -39,6 +41,37 @@ def test_embedded_content_is_not_skipped(page, want):
     assert texts(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<p>super<wbr>cali a<img src=x>b c<input>d</p>", ["supercali ab cd"]),
+    ("<p>a<link rel=x>b<meta itemprop=y content=z>c<hr>d</p>", ["abc", "d"]),
+    ("<iframe src=x /><p>a</p><script src=y /><p>b</p><title/>c", ["a", "b", "c"]),
+    ("<title>open<p>a</p><iframe>b", ["open", "a", "b"]),
+    ('<p>a<a href="x>y" title=\'b">c\'>d</a><a "e>f</a>', ["adf"]),
+    ("<!--><p>a</p><!-- x --!>b", ["a", "b"]),
+    ("<script>a</scripting>b</script >c", ["c"]),
+    ("<table><tr><td>a<p>b<td>c<tr><td>d<table><tr><td>e<td>f</table>g</table>h", ["a", "b", "c", "d", "e", "f", "g", "h"]),
+    ("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>", ["a", "b", "c", "d", "e"]),
+])
+def test_void_raw_and_ended_elements(page, want):
+    assert texts(page) == want
+
+
+@pytest.mark.parametrize("page", [
+    "<div>x" * 100_000, "<div><b>x" * 50_000, "<p>" + "<i>" * 100_000 + "</b>" * 100_000, "<h1>" * 60_000 + "<li>x</li>" * 40_000, "<title>" * 50_000 + "x",
+    "<a \"<a '>'\" " * 50_000 + "'", "<a href=\"x><a href='y>" * 50_000, "<li>x" * 100_000, "<b>" * 100_000 + "<p>x</p>" * 50_000, "</div>" * 200_000, "<!--" * 100_000, "<a =" * 100_000 + '"',
+])
+def test_odd_nesting_takes_linear_time_and_memory(page):
+    tracemalloc.start()
+    began = time.time()
+    H.vectors(blocks_of(page)[:10])
+    blocks = blocks_of(page)
+    for b in blocks[-5:]:
+        H.path_mask(b.element)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert time.time() - began < 15 and peak < 100 << 20, (time.time() - began, peak >> 20)
+
+
 def test_article_with_embedded_content(spark):
     words = "The council met on Monday and agreed on the plan for the old harbour, which opens again in spring."
     page = f'<html><body><nav><a href="/">Home</a></nav><article><h1>Harbour plan</h1><svg class="i"/><p>{words}</p><p>A ratio of <math><mi>x</mi></math> was {words}</p><video src=a><p>Last {words}</p></article></body></html>'
