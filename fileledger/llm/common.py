@@ -3,6 +3,7 @@ checked size, and word shingles as 64-bit hashes."""
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -70,6 +71,8 @@ def text_key(text) -> list:
 
 # --- word shingles ---------------------------------------------------------------------------------------------
 
+#: Words of more bytes than this are hashed by BLAKE2b.
+LONG_WORD = 255
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTES = np.random.default_rng(20_240_501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -85,7 +88,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n:
         size = max(1 << 16, 1 << (n - 1).bit_length())
         for k, base in enumerate((_BASE, _BASE_INV)):
@@ -96,17 +99,24 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of a text, in order, with A-Z lower-cased."""
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of a text, in order, with A-Z lower-cased.
+
+    A polynomial modulo 2**64 has known colliding strings from about a thousand characters on, so long words are hashed by BLAKE2b.
+    """
+    data = text.encode("utf-8", "surrogatepass").lower()
+    raw = np.frombuffer(data, np.uint8)
     if not len(raw):
         return np.empty(0, np.uint64)
     values = _BYTES[raw]
     inside = np.concatenate(([0], (values != 0).view(np.int8), [0]))
     edges = np.diff(inside)
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    powers, inverse = _powers(len(raw))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * powers, dtype=np.uint64)))
-    return mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    up, inverse = powers(len(raw))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * up, dtype=np.uint64)))
+    out = mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return out
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix64, shingles, small, strings
+from .common import Scratch, mix64, shingles, small, strings, text_key
 from .components import connected_components
 
 _SEED = 41
@@ -123,7 +123,7 @@ def block_pairs(n: np.ndarray, comp: np.ndarray, slot: np.ndarray, sigs: np.ndar
     return np.concatenate([x for x, _ in kept]), np.concatenate([y for _, y in kept])
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands: int = 48, rows: int = 6, miss: float = 1e-7, batch: int = 32, leaders: tuple[int, ...] = (1, 8), block: int = 1024) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, **options) -> DataFrame:
     """``docs (doc_id, text, ...)`` to one row per row: ``doc_id, n_shingles, component_id, kept``.
 
     Two texts are linked if ``100 * |A & B| >= threshold_pct * |A | B|`` for their sets of distinct ``k``-word
@@ -138,11 +138,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
     The chance that a pair at the threshold shares none of the bands is ``(1 - t**rows) ** bands``, 5e-7 by default;
     all other steps are exact, with no cap on buckets, members or pairs.
     """
-    spark = docs.sparkSession
+    out = components_of(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), k, threshold_pct, **options)
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48, rows: int = 6, miss: float = 1e-7, batch: int = 32, leaders: tuple[int, ...] = (1, 8), block: int = 1024) -> DataFrame:
+    """``base (doc_id long, text string)`` to ``doc_id, t0, t1, n, comp`` of each row: its text's key, its set's size, its component (null without shingles or id)."""
+    spark = base.sparkSession
     scratch = Scratch(spark, "near")
     count = bands * rows
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed_schema = "doc_id long, fp1 long, fp2 long, n long, sig binary, bands array<long>"
+    base = base.select("doc_id", "text", *(key.alias(f"t{i}") for i, key in enumerate(text_key(F.col("text")))))
+    signed_schema = "doc_id long, t0 long, t1 long, fp1 long, fp2 long, n long, sig binary, bands array<long>"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = permutations(count)
@@ -162,14 +169,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
                     for out, x in zip((fp1, fp2, n, sigs, keys), row, strict=True):
                         out.append(x)
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in keys]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(n, pa.int64()), pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))], names=["doc_id", "fp1", "fp2", "n", "sig", "bands"])
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in (0, 2, 3)), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(n, pa.int64()), pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))], names=["doc_id", "t0", "t1", "fp1", "fp2", "n", "sig", "bands"])
 
     signed = scratch.save(base.mapInArrow(sign, signed_schema), "signed")
     classes = scratch.save(signed.where("n > 0 and doc_id is not null").groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("cid"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "classes")
 
     every = classes.select(F.explode("bands").alias("b"), "cid", "n")
-    shared = every.groupBy("b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("b")
-    members = scratch.save(every.join(shared, "b").withColumn("comp", F.col("cid")), "members")
+    shared = scratch.save(every.groupBy("b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("b"), "shared")
+    members = scratch.save(every.join(small(shared), "b").withColumn("comp", F.col("cid")), "members")
     ids = scratch.save(members.select("cid").distinct(), "ids")
     sigs = scratch.save(classes.select("cid", "sig", "bands").join(ids, "cid"), "sigs")
     texts = scratch.save(base.join(small(ids), F.col("doc_id") == F.col("cid"), "left_semi").select(F.col("doc_id").alias("cid"), "text").distinct(), "texts")
@@ -262,11 +269,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
             links = both.mapInArrow(confirm, pair_schema)
         else:  # what the leaders haven't joined
             heads = None
-            blocks = split.select("lb", F.ceil(F.greatest(F.col("size") / block, F.col("bulk") / (block * 1024))).cast("int").alias("blocks"))
-            dealt = members.join(blocks, F.col("b") == F.col("lb")).join(sigs, "cid").withColumn("slot", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-            dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / threshold_pct) + 1e-9).cast("int") if threshold_pct < 100 else F.col("n").cast("int")
+            left = members.join(split.select("lb"), F.col("b") == F.col("lb"), "left_semi").withColumn("class", size_class)
+            blocks = left.groupBy("b", "class").agg(F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n") / (block * 1024))).cast("int").alias("blocks"))
+            # sets of linked texts have sizes of one class or of two neighbouring ones, so a block meets only blocks of these
+            blocks = blocks.groupBy(F.col("b").alias("lb")).agg(F.map_from_entries(F.collect_list(F.struct("class", "blocks"))).alias("of_class"))
+            dealt = left.join(blocks, F.col("b") == F.col("lb")).join(sigs, "cid")
+            number = lambda c, i: c.cast("long") * (1 << 32) + i
+            dealt = dealt.withColumn("slot", number(F.col("class"), F.pmod(F.xxhash64("cid"), F.try_element_at("of_class", F.col("class")))))
+            near = F.filter(F.array(*(F.col("class") + i for i in (-1, 0, 1))), lambda c: F.map_contains_key("of_class", c))
+            dealt = dealt.withColumn("other", F.explode(F.flatten(F.transform(near, lambda c: F.transform(F.sequence(F.lit(0), F.try_element_at("of_class", c) - 1), lambda i: number(c, i))))))
             groups = dealt.select("b", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "cid", "n", "comp", "sig", "bands")
-            involved = scratch.save(groups.repartition(*group).sortWithinPartitions(*group).mapInArrow(compare, "b long, i int, j int, cid long, comp long, partners array<long>"), "involved")
+            involved = scratch.save(groups.repartition(*group).sortWithinPartitions(*group).mapInArrow(compare, "b long, i long, j long, cid long, comp long, partners array<long>"), "involved")
             links = involved.join(texts, "cid").repartition(*group).sortWithinPartitions(*group).mapInArrow(settle, pair_schema)
         links = scratch.save(links, "links")
         found = connected_components(links.select(F.col("ca").alias("u"), F.col("cb").alias("v")), scratch)
@@ -284,12 +298,33 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, bands:
     labels = classes.select("fp1", "fp2", "n", F.col("cid").alias("comp"))
     for found in maps:
         labels = labels.join(found, F.col("comp") == F.col("node"), "left").select("fp1", "fp2", "n", F.coalesce("component", "comp").alias("comp"))
-    out = signed.select("doc_id", "fp1", "fp2", "n").join(labels, ["fp1", "fp2", "n"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return signed.select("doc_id", "t0", "t1", "fp1", "fp2", "n").join(labels, ["fp1", "fp2", "n"], "left").select("doc_id", "t0", "t1", "n", "comp")
+
+
+#: Ids given to texts without one start here, so that documents with ids are kept before them.
+_NAMELESS = 1 << 62
 
 
-def dedup(docs: DataFrame, **options) -> DataFrame:
-    """The documents of which :func:`near_duplicates` keeps one in each group, with all their columns."""
-    gone = small(near_duplicates(docs, **options).where("not kept").select(F.col("doc_id").alias("gone")).distinct())
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+def dedup(docs: DataFrame, k: int = 5, threshold_pct: int = 80, **options) -> DataFrame:
+    """One document of each group of :func:`near_duplicates`, with all its columns: of the smallest doc_id, then of the least text hash.
+
+    Rows without a doc_id take part: each distinct text counts as one document with an id above all others. Of rows
+    that repeat a document's id and text one stays, whatever their other columns hold. Rows with null, empty and blank texts belong to no
+    group and all stay.
+    """
+    text = F.col("doc.text").cast("string")
+    own = docs.select(F.struct(*docs.columns).alias("doc"))  # apart from our own names
+    t0, t1 = text_key(text)
+    own = own.select("doc", F.coalesce(F.col("doc.doc_id").cast("long"), _NAMELESS + F.pmod(t0, F.lit(1 << 61))).alias("id"), t0.alias("t0"), t1.alias("t1"))
+    scratch = Scratch(docs.sparkSession, "dedup")
+    found = components_of(own.select(F.col("id").alias("doc_id"), text.alias("text")), k, threshold_pct, **options).where("n > 0")
+    found = scratch.save(found.groupBy("doc_id", "t0", "t1").agg(F.first("comp").alias("comp"), F.count(F.lit(1)).alias("rows")), "found")
+    first = found.where("doc_id = comp").groupBy("comp").agg(F.min(F.struct("t0", "t1")).alias("first"))
+    judged = found.join(first, "comp").withColumn("kept", (F.col("doc_id") == F.col("comp")) & (F.struct("t0", "t1") == F.col("first")))
+    judged = scratch.save(judged.where("not kept or rows > 1").select(F.col("doc_id").alias("g"), F.col("t0").alias("g0"), F.col("t1").alias("g1"), "kept"), "judged")
+    same = (F.col("id") == F.col("g")) & (F.col("t0") == F.col("g0")) & (F.col("t1") == F.col("g1"))
+    out = own.join(small(judged), same, "left_anti")
+    repeated = judged.where("kept")
+    if repeated.limit(1).count():
+        out = out.unionByName(own.join(small(repeated), same, "left_semi").groupBy("id", "t0", "t1").agg(F.first("doc").alias("doc")).select(*own.columns))
+    return out.select("doc.*")

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from fileledger.llm import near_dedup as N
-from fileledger.llm.common import shingles
+from fileledger.llm.common import shingles, word_hashes
 from fileledger.llm.components import connected_components
 from fileledger.llm.common import Scratch
 
@@ -85,6 +85,37 @@ def test_odd_rows(odd_docs, no_docs):
     kept = N.dedup(odd_docs, k=2)
     assert kept.columns == odd_docs.columns
     assert sorted(r.doc_id for r in kept.select("doc_id").collect() if r.doc_id is not None) == [1, 3, 4, 5, 6, 7, 9, 10, 11]
+    assert [r.text for r in kept.collect() if r.doc_id is None] == [None]
+    assert N.dedup(no_docs).collect() == []
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b, near = prose(1, 60), prose(2, 60), prose(1, 60) + " more"
+    rows = [(1, a, "x"), (1, a, "y"), (None, a, "x"), (None, a, "x"), (None, b, "x"), (None, b, "y"), (7, near, "x"), (7, prose(3, 60), "x"), (1, near, "x"), (None, " ", "x"), (None, " ", "x"), (9, None, "x"), (9, None, "x")]
+    left = N.dedup(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    groups = lambda texts: sum(r.text in texts for r in left)
+    assert groups({a, near}) == 1 and groups({b}) == 1 and groups({prose(3, 60)}) == 1 and groups({" "}) == 2 and groups({None}) == 2 and len(left) == 7
+    assert {r.doc_id for r in left if r.text in (a, near)} == {1}
+
+
+def test_long_words_of_a_known_collision_differ():
+    bits = [bin(i).count("1") % 2 for i in range(1 << 12)]
+    x, y = "".join("ab"[i] for i in bits), "".join("ba"[i] for i in bits)
+    assert word_hashes(x)[0] != word_hashes(y)[0] and word_hashes(x)[0] == word_hashes(x.upper())[0]
+
+
+def test_bucket_of_many_sizes_above_one_block(spark):
+    """All texts share a template, so that buckets are large, and no leader joins them."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(120):
+        template = prose(1, 60).split()
+        words = template + prose(10 + i // 2, rng.choice([20, 25, 40])).split()
+        if i % 2:
+            words[rng.randrange(len(words))] = "changed"
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2, leaders=(1,), block=8).collect()}
+    assert got == brute(rows, 2)
 
 
 def test_bounds_of_the_posterior():
