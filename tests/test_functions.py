@@ -14,7 +14,7 @@ def values(spark, rows, expr, kind="string"):
 
 NAMES = {
     "2025-01-15_data.tdms": datetime(2025, 1, 15), "experiment_2025-01-15T14-30-00.tdms": datetime(2025, 1, 15, 14, 30), "data_20250115.tdms": datetime(2025, 1, 15), "experiment_20250115_143000.tdms": datetime(2025, 1, 15, 14, 30),
-    "data.tdms": None, "data_99999999.tdms": None, "2025-13-40_20250115.x": datetime(2025, 1, 15), "20250115_250000": None, "a_2025-01-15T14:30-00_x": None, "2025-01-15T24:00:00": None, "0000-01-01": None, "": None, None: None,
+    "data.tdms": None, "data_99999999.tdms": None, "2025-13-40_20250115.x": datetime(2025, 1, 15), "20250115_250000": None, "a_2025-01-15T14:30-00_x": None, "2025-01-15T24:00:00": None, "0000-01-01": None, "2025-01-15_10-20-30.tdms": datetime(2025, 1, 15), "2025-01-15T10-20-60_20240102.x": datetime(2024, 1, 2), "2025-01-15T10-20.x": datetime(2025, 1, 15), "x20250115_1234.x": datetime(2025, 1, 15), "2025-02-29_20250301_000000": datetime(2025, 3, 1), "": None, None: None,
 }
 
 
