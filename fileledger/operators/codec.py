@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import saved
+from ..sources.scratch import publish, remove, saved
 
 #: How far from a whole number of steps a gap between levels may be.
 GRID_TOLERANCE = 1e-4
@@ -21,6 +21,10 @@ MAX_BITS = 24
 FULL = 2**23 - 1
 #: Above so many levels no grid is looked for: its codes could not fit 24 bits.
 MAX_FIT_LEVELS = 1 << MAX_BITS
+#: Property names that say that samples are scaled on reading, and the highest rate of the stored format.
+SCALE_PREFIX = "NI_Scale"
+SCALE_NAMES = ["NI_Scaling_Status", "NI_Number_Of_Scales"]
+HIGHEST_RATE = 655_350
 
 
 def bits_equal(a: Column, b: Column) -> Column:
@@ -28,9 +32,15 @@ def bits_equal(a: Column, b: Column) -> Column:
     return a.cast("string").eqNullSafe(b.cast("string"))
 
 
+def _levels(signals: DataFrame) -> DataFrame:
+    """The levels with their samples, and whether -0.0 is among these."""
+    minus = F.bool_or(F.coalesce(F.col("value").cast("string") == "-0.0", F.lit(False)))
+    return signals.groupBy("signal_id", F.col("value").alias("level")).agg(F.count(F.lit(1)).alias("samples"), minus.alias("minus_zero"))
+
+
 def signal_levels(signals: DataFrame) -> DataFrame:
     """``signal_id, level, samples``: the distinct values of each signal; -0.0 and 0.0 are one level."""
-    return signals.groupBy("signal_id", F.col("value").alias("level")).agg(F.count(F.lit(1)).alias("samples"))
+    return _levels(signals).drop("minus_zero")
 
 
 def fit_grid(levels: DataFrame) -> DataFrame:
@@ -38,7 +48,7 @@ def fit_grid(levels: DataFrame) -> DataFrame:
 
     The step is the least gap; every gap must be a whole number of steps up to the tolerance; then the step is refined
     by least squares over all levels, summed in level order so that the last bit doesn't depend on partitions. A single
-    level has step 1. Levels that are NaN or infinite aren't on a grid.
+    level has step 1. Levels that are null, NaN or infinite aren't on a grid, not even single ones.
     """
     per = levels.groupBy("signal_id").agg(F.count(F.lit(1)).alias("n_levels"), F.max("level").alias("top"), F.min("level").alias("grid_offset"))
     gaps = levels.withColumn("gap", F.col("level") - F.lag("level").over(Window.partitionBy("signal_id").orderBy("level")))
@@ -47,13 +57,13 @@ def fit_grid(levels: DataFrame) -> DataFrame:
     off = gaps.where("gap is not null").join(least, "signal_id").groupBy("signal_id").agg(F.max(whole).alias("worst"))
     fit = per.join(least, "signal_id").join(off, "signal_id", "left")
     finite = (F.col("top") < F.lit(float("inf"))) & (F.col("grid_offset") > F.lit(float("-inf")))
-    fit = fit.withColumn("on_grid", (F.col("n_levels") == 1) | F.coalesce(finite & (F.col("least_gap") > 0) & (F.col("worst") <= GRID_TOLERANCE) & (F.col("n_levels") <= MAX_FIT_LEVELS), F.lit(False)))
+    fit = fit.withColumn("on_grid", F.coalesce(finite & ((F.col("n_levels") == 1) | ((F.col("least_gap") > 0) & (F.col("worst") <= GRID_TOLERANCE) & (F.col("n_levels") <= MAX_FIT_LEVELS))), F.lit(False)))
     of_grid = levels.join(fit.where("on_grid and n_levels > 1").select("signal_id", "grid_offset", "least_gap"), "signal_id")
     order = Window.partitionBy("signal_id").orderBy("level").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     k = F.rint((F.col("level") - F.col("grid_offset")) / F.col("least_gap"))
     sums = of_grid.select("signal_id", "level", F.sum(k * (F.col("level") - F.col("grid_offset"))).over(order).alias("num"), F.sum(k * k).over(order).alias("den"))
     refined = sums.groupBy("signal_id").agg((F.max_by("num", "level") / F.max_by("den", "level")).alias("refined"))
-    return fit.join(refined, "signal_id", "left").select("signal_id", "n_levels", "grid_offset", F.when(F.col("n_levels") == 1, F.lit(1.0)).when(F.col("on_grid"), F.col("refined")).alias("step"), "on_grid")
+    return fit.join(refined, "signal_id", "left").select("signal_id", "n_levels", "grid_offset", F.when(F.col("on_grid"), F.when(F.col("n_levels") == 1, F.lit(1.0)).otherwise(F.col("refined"))).alias("step"), "on_grid")
 
 
 def affine_codes(signals: DataFrame, fit: DataFrame) -> DataFrame:
@@ -86,13 +96,19 @@ def bits_for_codes(low: Column, high: Column) -> Column:
     return F.greatest(F.lit(2), F.coalesce(up, F.lit(2)), F.coalesce(down, F.lit(2))).cast("int")
 
 
-def encoding_stats(signals: DataFrame, fit: DataFrame) -> DataFrame:
-    """For each signal: its level count, the width of affine codes and whether they are exact, the width of level numbers."""
-    codes = affine_codes(signals, fit)
-    back = F.col("grid_offset") + F.col("code") * F.col("step")
-    affine = codes.groupBy("signal_id").agg(bits_for_codes(F.min("code"), F.max("code")).alias("affine_bits"), F.bool_and(bits_equal(back, F.col("value"))).alias("affine_exact"))
-    index_bits = bits_for_codes(F.lit(0), F.col("n_levels") - 1)
-    return fit.join(affine, "signal_id", "left").withColumn("index_bits", index_bits)
+def encoding_stats(levels: DataFrame, fit: DataFrame) -> DataFrame:
+    """For each signal: its level count, the width of affine codes and whether they are exact, the width of level numbers, the scale of fixed-point codes.
+
+    All of it follows from the levels, so the samples aren't read; ``minus_zero`` says that a level of zero has samples of
+    -0.0, which no code keeps.
+    """
+    grid = fit.select("signal_id", "n_levels", "grid_offset", "step", "on_grid")
+    code = F.rint((F.col("level") - F.col("grid_offset")) / F.col("step"))
+    coded = levels.join(grid, "signal_id").withColumn("code", F.when(F.col("on_grid"), code).cast("long"))
+    same = bits_equal(F.col("grid_offset") + F.col("code") * F.col("step"), F.col("level")) & ~F.col("minus_zero")
+    largest = F.max(F.abs("level"))
+    sums = coded.groupBy("signal_id").agg(bits_for_codes(F.min("code"), F.max("code")).alias("affine_bits"), F.bool_and(same).alias("affine_exact"), F.when(largest == 0, F.lit(1.0)).otherwise(largest).alias("largest"), F.sum("samples").alias("n_samples"))
+    return fit.join(sums, "signal_id").withColumn("index_bits", bits_for_codes(F.lit(0), F.col("n_levels") - 1))
 
 
 def choose_encoding(stats: DataFrame, exact: bool = True) -> DataFrame:
@@ -104,38 +120,53 @@ def choose_encoding(stats: DataFrame, exact: bool = True) -> DataFrame:
     return out.withColumn("bits_per_sample", F.when(F.col("code_bits") <= 16, 16).otherwise(24))
 
 
+def _value(level: Column) -> Column:
+    """A sample from its code, as its signal's encoding says."""
+    return (
+        F.when(F.col("encoding") == "affine_codes", F.col("grid_offset") + F.col("code") * F.col("step"))
+        .when(F.col("encoding") == "indexed", level)
+        .otherwise(F.col("code").cast("double") / (F.pow(F.lit(2.0), F.col("bits_per_sample") - 1) - 1) * F.col("scale"))
+    )
+
+
 def encode_signals(signals: DataFrame, exact: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(codes, meta, levels)`` of all signals. Levels, fits and encodings are written once, since each is used several times.
+    """``(codes, meta, levels)`` of all signals. Levels, encodings and codes are written once, since each is used several times.
 
-    ``codes (signal_id, idx, code)``; ``meta`` has encoding, bits_per_sample, grid_offset, step, scale, n_levels and
-    n_samples; ``levels (signal_id, level_idx, level)`` of the indexed signals. Empty signals have no rows anywhere;
-    see :func:`route` for them.
+    ``codes (signal_id, idx, code)``; ``meta`` has encoding, bits_per_sample, grid_offset, step, scale, n_levels, n_samples,
+    and, from decoding every code that was written, ``exact`` and ``max_abs_error``; ``levels (signal_id, level_idx, level)``
+    of the indexed signals. With ``exact``, a signal that doesn't decode bit for bit has no codes and no levels, only its
+    row in ``meta``. Empty signals have no rows anywhere; see :func:`route` for them.
     """
-    levels = saved(signal_levels(signals), "levels")
-    fit = saved(fit_grid(levels), "fit")
-    chosen = saved(choose_encoding(encoding_stats(signals, fit), exact), "encodings")
-    plain = signals.join(chosen.select("signal_id", "encoding"), "signal_id")
-    of = lambda name: plain.where(F.col("encoding") == name).drop("encoding")
-    index = level_index(levels.join(chosen.where("encoding = 'indexed'").select("signal_id"), "signal_id", "left_semi"))
-    scaled = fixed_point_codes(of("fixed_point"))
-    codes = affine_codes(of("affine_codes"), fit).select("signal_id", "idx", "code").unionByName(indexed_codes(of("indexed"), index).select("signal_id", "idx", "code")).unionByName(scaled.select("signal_id", "idx", "code"))
-    counts = levels.groupBy("signal_id").agg(F.sum("samples").alias("n_samples"))
-    affine = F.col("encoding") == "affine_codes"
-    meta = chosen.join(counts, "signal_id").join(scaled.groupBy("signal_id").agg(F.first("scale").alias("scale")), "signal_id", "left")
-    meta = meta.select("signal_id", "encoding", "bits_per_sample", F.when(affine, F.col("grid_offset")).alias("grid_offset"), F.when(affine, F.col("step")).alias("step"), "scale", "n_levels", "n_samples")
-    return codes, meta, index.select("signal_id", "level_idx", "level")
+    levels = saved(_levels(signals), "levels")
+    fit = fit_grid(levels)
+    chosen = choose_encoding(encoding_stats(levels, fit), exact)
+    affine, fixed = F.col("encoding") == "affine_codes", F.col("encoding") == "fixed_point"
+    chosen = saved(chosen.select("signal_id", "encoding", "bits_per_sample", F.when(affine, F.col("grid_offset")).alias("grid_offset"), F.when(affine, F.col("step")).alias("step"), F.when(fixed, F.col("largest")).alias("scale"), "n_levels", "n_samples"), "encodings")
+    index = saved(level_index(levels.join(chosen.where("encoding = 'indexed'").select("signal_id"), "signal_id", "left_semi")), "index")
+    of = signals.select("signal_id", "idx", "value").join(chosen.select("signal_id", "encoding", "grid_offset", "step", "scale", "bits_per_sample"), "signal_id")
+    computed = F.when(affine, F.rint((F.col("value") - F.col("grid_offset")) / F.col("step"))).otherwise(F.rint(F.col("value") / F.col("scale") * F.lit(float(FULL))))
+    plain = of.where("encoding <> 'indexed'").withColumn("code", computed.cast("long")).withColumn("level", F.lit(None).cast("double"))
+    at = index.select(F.col("signal_id").alias("__s"), "level", F.col("level_idx").alias("code"))
+    indexed = of.where("encoding = 'indexed'").join(at, (F.col("signal_id") == F.col("__s")) & F.col("value").eqNullSafe(F.col("level"))).drop("__s")
+    both = plain.unionByName(indexed.select(*plain.columns))
+    coded = saved(both.select("signal_id", "idx", "code", "value", _value(F.col("level")).alias("back")), "codes")
+    same = bits_equal(F.col("value"), F.col("back"))
+    error = F.max(F.when(same, F.lit(0.0)).otherwise(F.abs(F.col("value") - F.col("back"))))
+    report = coded.groupBy("signal_id").agg(F.count(F.lit(1)).alias("n_decoded"), F.bool_and(same).alias("same"), error.alias("max_abs_error"))
+    meta = saved(chosen.join(report, "signal_id").withColumn("exact", F.col("same") & (F.col("n_decoded") == F.col("n_samples"))).drop("same", "n_decoded"), "meta")
+    codes, index = coded.select("signal_id", "idx", "code"), index.select("signal_id", "level_idx", "level")
+    if exact:
+        good = meta.where("exact").select("signal_id")
+        codes, index = codes.join(good, "signal_id", "left_semi"), index.join(good, "signal_id", "left_semi")
+    return codes, meta, index
 
 
 def decode(codes: DataFrame, meta: DataFrame, levels: DataFrame) -> DataFrame:
-    """``signal_id, idx, value`` from codes, as each signal's encoding says."""
-    m = codes.join(meta.select("signal_id", "encoding", "grid_offset", "step", "scale", "bits_per_sample"), "signal_id")
-    m = m.join(levels.select("signal_id", F.col("level_idx").alias("code"), "level"), ["signal_id", "code"], "left")
-    value = (
-        F.when(F.col("encoding") == "affine_codes", F.col("grid_offset") + F.col("code") * F.col("step"))
-        .when(F.col("encoding") == "indexed", F.col("level"))
-        .otherwise(F.col("code").cast("double") / (F.pow(F.lit(2.0), F.col("bits_per_sample") - 1) - 1) * F.col("scale"))
-    )
-    return m.select("signal_id", "idx", value.alias("value"))
+    """``signal_id, idx, value`` from codes, as each signal's encoding says; only indexed codes meet the levels."""
+    m = codes.select("signal_id", "idx", "code").join(meta.select("signal_id", "encoding", "grid_offset", "step", "scale", "bits_per_sample"), "signal_id")
+    plain = m.where("encoding <> 'indexed'").select("signal_id", "idx", _value(F.lit(None).cast("double")).alias("value"))
+    indexed = m.where("encoding = 'indexed'").join(levels.select("signal_id", F.col("level_idx").alias("code"), "level"), ["signal_id", "code"], "left")
+    return plain.unionByName(indexed.select("signal_id", "idx", F.col("level").alias("value")))
 
 
 def roundtrip_report(signals: DataFrame, decoded: DataFrame) -> DataFrame:
@@ -201,14 +232,38 @@ def signal_meta(meta: DataFrame, hashes: DataFrame, timing: DataFrame) -> DataFr
 def rebuild_signals(codes: DataFrame, meta: DataFrame, levels: DataFrame, expected: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Decoded signals whose hash is as expected, and one ``signal_id, ok, error`` row for each expected signal.
 
-    ``expected (signal_id, data_xxh64)``. Nothing of a signal with another hash comes out.
+    ``expected (signal_id, data_xxh64)``. The decoded samples are written once, hashed as they are read again, and nothing
+    of a signal with another hash comes out.
     """
-    signals = decode(codes, meta, levels)
+    staged = saved(decode(codes, meta, levels), "rebuilt")
+    result = saved(_against(staged, expected), "result")
+    return staged.join(result.where("ok").select("signal_id"), "signal_id", "left_semi"), result
+
+
+def _against(signals: DataFrame, expected: DataFrame) -> DataFrame:
+    """``signal_id, ok, error`` of expected hashes against those of signals."""
     got = signal_xxh64(signals).select("signal_id", F.col("data_xxh64").alias("got"))
     judged = expected.select("signal_id", "data_xxh64").join(got, "signal_id", "left")
     error = F.when(F.col("got").isNull(), "no samples").when(~F.col("got").eqNullSafe(F.col("data_xxh64")), F.concat(F.lit("data hash "), F.col("got"), F.lit(" is not as expected")))
-    result = judged.select("signal_id", error.isNull().alias("ok"), error.alias("error"))
-    return signals.join(result.where("ok").select("signal_id"), "signal_id", "left_semi"), result
+    return judged.select("signal_id", error.isNull().alias("ok"), error.alias("error"))
+
+
+def publish_rebuilt(codes: DataFrame, meta: DataFrame, levels: DataFrame, expected: DataFrame, path: str) -> DataFrame:
+    """Rebuild signals into ``path``, a new folder of Parquet files: one ``signal_id, ok, error`` row for each expected signal.
+
+    The good signals are written beside ``path``, read again and hashed again; the folder gets its name only if all of
+    them still are as expected, and is removed otherwise.
+    """
+    good, result = rebuild_signals(codes, meta, levels, expected)
+    spark, stage = codes.sparkSession, f"{path}.part"
+    good.write.mode("overwrite").parquet(stage)
+    again = _against(spark.read.schema(good.schema).parquet(stage), expected.join(result.where("ok").select("signal_id"), "signal_id", "left_semi"))
+    bad = saved(again.where("not ok").select("signal_id"), "reread")
+    if bad.limit(1).count():
+        remove(spark, stage)
+        return result.join(bad.withColumn("__bad", F.lit(True)), "signal_id", "left").select("signal_id", F.lit(False).alias("ok"), F.coalesce("error", F.when(F.col("__bad"), "reads back differently").otherwise("not published with others")).alias("error"))
+    publish(spark, stage, path)
+    return result
 
 
 def channel_shape(channels: DataFrame) -> DataFrame:
@@ -217,7 +272,7 @@ def channel_shape(channels: DataFrame) -> DataFrame:
     return out.withColumn("single", (F.col("n_groups") == 1) & (F.col("n_channels") == 1))
 
 
-def codec_eligibility(ledger: DataFrame, channels: DataFrame, enabled: bool = True, least_bytes: int = 10 << 20, extension: str = ".tdms", highest_rate: int = 655_350) -> DataFrame:
+def codec_eligibility(ledger: DataFrame, channels: DataFrame, enabled: bool = True, least_bytes: int = 10 << 20, extension: str = ".tdms", highest_rate: int = HIGHEST_RATE) -> DataFrame:
     """``file_path, eligible, decline_reason`` of records, by the first reason that holds.
 
     ``channels (file_path, group_name, channel_name, properties map<string, struct<t, dt, v>>)``.
@@ -228,7 +283,7 @@ def codec_eligibility(ledger: DataFrame, channels: DataFrame, enabled: bool = Tr
     prop = lambda name: F.try_element_at("properties", F.lit(name))["v"]
     step = prop("wf_increment").try_cast("double")
     rate = F.rint(1 / F.when(step > 0, step))
-    scaled = F.exists(F.map_keys("properties"), lambda k: k.startswith("NI_Scale") | k.isin("NI_Scaling_Status", "NI_Number_Of_Scales"))
+    scaled = F.exists(F.map_keys("properties"), lambda k: k.startswith(SCALE_PREFIX) | k.isin(SCALE_NAMES))
     reason = (
         F.when(F.lit(not enabled), "switched_off")
         .when(F.lower("file_extension") != extension, "extension")

@@ -24,3 +24,21 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _place(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark knows, if it is there."""
+    fs, p = _place(spark, path)
+    fs.delete(p, True)
+
+
+def publish(spark: SparkSession, stage: str, path: str) -> None:
+    """Give a finished folder its name, which must be new."""
+    fs, p = _place(spark, path)
+    if fs.exists(p) or not fs.rename(_place(spark, stage)[1], p):
+        raise FileExistsError(path)

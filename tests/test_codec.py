@@ -31,6 +31,8 @@ def given():
         "nan": [float("nan"), 1.0, 2.0, float("inf")] * 10,
         "off": [0.0, 1.0, 2.0, 3.37] * 30,
         "one": [5.5],
+        "only_nan": [float("nan")] * 3,
+        "only_inf": [float("-inf")] * 2,
     }
 
 
@@ -38,7 +40,8 @@ def test_round_trips(spark, given):
     s = signals(spark, given).repartition(4)
     codes, meta, levels = K.encode_signals(s)
     m = {r.signal_id: r for r in meta.collect()}
-    assert {k: v.encoding for k, v in m.items()} == {"grid": m["grid"].encoding, "normal": "indexed", "constant": "affine_codes", "wide": "indexed", "zeros": "indexed", "nan": "indexed", "off": "indexed", "one": "affine_codes"}
+    assert [k for k, v in m.items() if not v.exact] == ["zeros"] and all(v.n_samples == len(given[k]) and v.max_abs_error == 0 for k, v in m.items())
+    assert {k: v.encoding for k, v in m.items()} == {"grid": m["grid"].encoding, "normal": "indexed", "constant": "affine_codes", "wide": "indexed", "zeros": "indexed", "nan": "indexed", "off": "indexed", "one": "affine_codes", "only_nan": "indexed", "only_inf": "indexed"}
     assert m["grid"].bits_per_sample == 16 and m["constant"].step == 1.0
     back = {}
     for r in K.decode(codes, meta, levels).orderBy("signal_id", "idx").collect():
@@ -48,7 +51,30 @@ def test_round_trips(spark, given):
             assert bits(back[name]) == bits(xs), name
     report = {r.signal_id: r for r in K.roundtrip_report(s, K.decode(codes, meta, levels)).collect()}
     assert [k for k, r in report.items() if not r.exact] == ["zeros"]
-    assert all(r.n_samples == r.n_decoded == len(given[k]) for k, r in report.items())
+    # what isn't exact has no codes at all, unless the caller takes losses
+    assert all(r.n_samples == len(given[k]) and r.n_decoded == (0 if k == "zeros" else len(given[k])) for k, r in report.items())
+    lossy = {r.signal_id: r for r in K.roundtrip_report(s, K.decode(*K.encode_signals(s, exact=False))).collect()}
+    assert lossy["zeros"].n_decoded == len(given["zeros"]) and lossy["zeros"].max_abs_error == 0
+
+
+def test_published_signals_are_whole_or_absent(spark, given, tmp_path, monkeypatch):
+    s = signals(spark, {k: given[k] for k in ("grid", "off", "nan")})
+    expected = K.signal_xxh64(s)
+    coded = K.encode_signals(s)
+    at = f"file://{tmp_path}/out"
+    assert K.publish_rebuilt(*coded, expected, at).where("ok").count() == 3
+    assert {tuple(r) for r in K._against(spark.read.parquet(at), expected).select("signal_id", "ok").collect()} == {("grid", True), ("off", True), ("nan", True)}
+    with pytest.raises(FileExistsError):
+        K.publish_rebuilt(*coded, expected, at)
+    real = K.rebuild_signals
+
+    def damaged(*args):
+        good, result = real(*args)
+        return good.withColumn("value", K.F.when((K.F.col("signal_id") == "off") & (K.F.col("idx") == 0), 9.0).otherwise(K.F.col("value"))), result
+
+    monkeypatch.setattr(K, "rebuild_signals", damaged)
+    errors = {r.signal_id: r.error for r in K.publish_rebuilt(*coded, expected, f"file://{tmp_path}/second").collect()}
+    assert errors["off"] == "reads back differently" and not (tmp_path / "second").exists() and not (tmp_path / "second.part").exists()
 
 
 def test_lost_samples_are_not_exact(spark):
