@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..schema import LEDGER_FIELDS, STATE, with_defaults
 
-_POINTER = "CURRENT"
+#: An empty file that a whole snapshot ends with.
+_WHOLE = "_WHOLE"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -18,30 +19,32 @@ def _fs(spark: SparkSession, path: str):
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
-    """The version that the pointer names; None if there is no ledger yet."""
-    fs, p = _fs(spark, f"{path}/{_POINTER}")
+    """The highest version that is whole; None if there is no ledger yet."""
+    fs, p = _fs(spark, path)
     if not fs.exists(p):
         return None
-    return int(re.sub(r"\D", "", spark.read.text(f"{path}/{_POINTER}").first()[0]))
+    names = (re.fullmatch(r"v(\d+)", f.getPath().getName()) for f in fs.listStatus(p))
+    for version in sorted((int(m[1]) for m in names if m), reverse=True):
+        if fs.exists(_fs(spark, f"{path}/v{version:08d}/{_WHOLE}")[1]):
+            return version
+    return None
 
 
 def write_ledger(df: DataFrame, path: str, version: int | None = None) -> int:
-    """Write a snapshot in a folder of its own, then move the pointer to it; readers see the old one or the new one.
+    """Write a snapshot in a folder of its own, and then the empty file that makes it whole.
 
-    Gives the version, one above the current one by default.
+    Making that file is one step, so readers see the snapshot before or this one, whenever the writer stops; what a
+    stopped writer left is written over. Gives the version, one above the current one by default.
     """
     spark = df.sparkSession
-    now = current_version(spark, path)
-    version = (0 if now is None else now + 1) if version is None else version
-    with_defaults(df).write.mode("overwrite").parquet(f"{path}/v{version:08d}")
-    fs, tmp = _fs(spark, f"{path}/{_POINTER}.tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(f"{version}\n".encode()))
-    out.close()
-    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_POINTER}")
-    if fs.exists(pointer):
-        fs.delete(pointer, False)
-    fs.rename(tmp, pointer)
+    if version is None:
+        now = current_version(spark, path)
+        version = 0 if now is None else now + 1
+    at = f"{path}/v{version:08d}"
+    fs, whole = _fs(spark, f"{at}/{_WHOLE}")
+    fs.delete(whole, False)
+    with_defaults(df).write.mode("overwrite").parquet(at)
+    fs.create(whole, True).close()
     return version
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.scan import file_info
+from .scratch import saved
 
 _ROWS = "path string, is_dir boolean, file_size_bytes bigint, mtime double, ctime double"
 
@@ -20,7 +21,8 @@ def list_files(spark: SparkSession, root: str, ignore: list[str] | None = None,
 
     Each round lists all folders of one depth in parallel, so a deep or wide branch doesn't hold up one task; ignored
     top-level folders are never opened. Folders that can't be read are left out, and files that go meanwhile.
-    ``root`` itself must exist.
+    ``root`` itself must exist. Each depth is written once, so that all of it is of one time and a lost executor
+    doesn't list again.
     """
     if not os.path.isdir(root):
         raise FileNotFoundError(root)
@@ -50,7 +52,8 @@ def list_files(spark: SparkSession, root: str, ignore: list[str] | None = None,
     folders = spark.createDataFrame([(root,)], "path string")
     files: DataFrame | None = None
     while True:
-        found = folders.repartition(max(1, min(1000, folders.count() // batch))).mapInPandas(run, _ROWS).persist()
+        found = folders.repartition(max(1, min(1000, folders.count() // batch))).mapInPandas(run, _ROWS)
+        found = saved(found, "listing")
         here = found.where(~F.col("is_dir")).drop("is_dir")
         files = here if files is None else files.unionByName(here)
         folders = found.where("is_dir").select("path")
