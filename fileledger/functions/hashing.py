@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .paths import normalise
+
 CHUNK = 8 << 20
 
 
@@ -55,6 +57,11 @@ def hash_files(df: DataFrame, root: str, chunk: int = CHUNK) -> DataFrame:
     return df.select("file_path").mapInPandas(run, "file_path string, hash string, error string")
 
 
+def target_hash(df: DataFrame, root: str, chunk: int = CHUNK) -> DataFrame:
+    """``df (file_path, ...)`` to ``file_path, hash, error`` of the copies below the target's root; a copy that isn't there has an error."""
+    return hash_files(df.select(normalise(F.col("file_path")).alias("file_path")), root, chunk)
+
+
 def compare_hash(expected: Column, found: Column, error: Column) -> Column:
     """``struct(ok, message)`` of a check: the error first, then a missing hash, then the two hashes."""
     same = expected.eqNullSafe(found)

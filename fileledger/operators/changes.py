@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import desired_tree, first_segment, priority_rank, target_path
+from ..functions.paths import desired_tree, priority_rank, target_path
 from ..schema import ACTIONABLE, LEDGER_FIELDS
 from .ledger import pending_transfers
 from .scan import prune_ignored, stamp
@@ -149,6 +149,3 @@ def capacity_check(plan: DataFrame, free: DataFrame, floor_gb: float = 100) -> D
     reason = F.when(left < F.lit(int(floor_gb * 1024**3)), "below_floor").when(planned > left, "does_not_fit")
     return free.join(sums, "target", "left").select("target", planned.alias("planned_bytes"), "free_bytes", reason.isNotNull().alias("refused"), reason.alias("reason"))
 
-
-def top_of(path: Column) -> Column:
-    return first_segment(path)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_conn_error
-from .ledger import upsert
 from .scan import stamp
 
 
@@ -25,8 +24,8 @@ def resolve_outcomes(outcomes: DataFrame) -> DataFrame:
     )
     message = (
         F.when(~F.col("success"), F.col("error"))
-        .when(F.col("remote_error").isNotNull(), F.concat(F.lit("Verification failed: "), F.col("remote_error")))
-        .when(result == "checksum_mismatch", F.concat(F.lit("Post-transfer mismatch: sent="), F.coalesce("sent_checksum", F.lit("none")), F.lit(" remote="), F.coalesce("remote_checksum", F.lit("none"))))
+        .when(F.col("remote_error").isNotNull(), F.concat(F.lit("the copy could not be read back: "), F.col("remote_error")))
+        .when(result == "checksum_mismatch", F.concat(F.lit("the copy differs: hash of what was sent "), F.coalesce("sent_checksum", F.lit("none")), F.lit(", of what is there "), F.coalesce("remote_checksum", F.lit("none"))))
     )
     return outcomes.withColumn("result", result).withColumn("message", message)
 
@@ -109,10 +108,6 @@ def current_errors(ledger: DataFrame) -> DataFrame:
     return ledger.withColumn("current_error", F.when(F.col("transfer_status").isin("failed", "checksum_mismatch"), F.col("last_error")))
 
 
-def save_outcomes(ledger: DataFrame, changed: DataFrame) -> DataFrame:
-    return upsert(ledger, changed)
-
-
 # --- runs of failures, by pass ------------------------------------------------------------------------------------
 
 
@@ -179,22 +174,28 @@ def final_outcomes(outcomes: DataFrame) -> DataFrame:
     return outcomes.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
 
 
-def spread_sample(df: DataFrame, n: int, least_bytes: int = 0) -> DataFrame:
-    """Every k-th of the rows of at least ``least_bytes``, by path, k = max(1, rows // n), and the first n of these.
+def numbered(df: DataFrame, *order: str) -> DataFrame:
+    """Adds ``seq``, from 0 in the given order. Numbers come from sorted partitions and their counts, so no task sees all rows.
 
-    Ranks come from sorted partitions and their counts, so no task sees all rows.
+    The rows must be stored ones, since they are read twice.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.where(F.col("file_size_bytes") >= least_bytes).repartitionByRange(parts, "file_path").sortWithinPartitions("file_path")
+    rows = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     rows = rows.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id() % (1 << 33))
     counts = {r["__part"]: r["c"] for r in rows.groupBy("__part").agg(F.count(F.lit(1)).alias("c")).collect()}
     total, offsets = 0, {}
     for part in sorted(counts):  # one number for each partition
         offsets[part] = total
         total += counts[part]
+    start = F.create_map(*(F.lit(x) for item in offsets.items() for x in item)) if offsets else F.lit(None).cast("map<int, long>")
+    return rows.withColumn("seq", (F.try_element_at(start, F.col("__part")) + F.col("__at")).cast("long")).drop("__part", "__at")
+
+
+def spread_sample(df: DataFrame, n: int, least_bytes: int = 0) -> DataFrame:
+    """Every k-th of the rows of at least ``least_bytes``, by path, k = max(1, rows // n), and the first n of these."""
+    rows = df.where(F.col("file_size_bytes") >= least_bytes)
+    total = rows.count()
     if not total:
         return df.limit(0)
     step = max(1, total // n)
-    start = F.create_map(*(F.lit(x) for item in offsets.items() for x in item))
-    rank = F.try_element_at(start, F.col("__part")) + F.col("__at")
-    return rows.withColumn("__rank", rank).where((F.col("__rank") % step == 0) & (F.col("__rank") < step * n)).drop("__part", "__at", "__rank")
+    return numbered(rows, "file_path").where((F.col("seq") % step == 0) & (F.col("seq") < step * n)).drop("seq")

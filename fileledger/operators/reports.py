@@ -27,10 +27,10 @@ def recent_summary(ledger: DataFrame, now: datetime | str, hours: int = 6, n: in
     issue = F.col("transfer_status").isin(ACTIONABLE)
     counts = rows.agg(F.count(F.lit(1)).alias("t"), F.count_if(F.col("transfer_status") == "verified").alias("v"), F.count_if(issue).alias("p"))
     names = top_n_with_overflow(rows.where(issue), n, "file_name")
-    head = F.format_string(f"Last {hours}h: %d files modified", F.col("t"))
-    listed = F.array_join(F.transform("names", lambda x: F.concat(F.lit("\n  - "), x)), "")
-    more = F.when(F.col("more") > 0, F.format_string("\n  ... and %d more", F.col("more"))).otherwise("")
-    text = F.when(F.col("t") == 0, "").when(F.col("p") > 0, F.concat(head, F.format_string(", %d with issues", F.col("p")), listed, more)).otherwise(F.concat(head, F.format_string(", all %d verified OK", F.col("v"))))
+    head = F.format_string(f"In {hours} hours %d files were modified", F.col("t"))
+    listed = F.array_join(F.transform("names", lambda x: F.concat(F.lit("\n* "), x)), "")
+    more = F.when(F.col("more") > 0, F.format_string("\n(%d others)", F.col("more"))).otherwise("")
+    text = F.when(F.col("t") == 0, "").when(F.col("p") > 0, F.concat(head, F.format_string("; to look at: %d", F.col("p")), listed, more)).otherwise(F.concat(head, F.format_string("; verified: %d", F.col("v"))))
     return counts.join(F.broadcast(names), how="cross").select(text.alias("summary"))  # one row by one row
 
 

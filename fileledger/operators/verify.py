@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import base_name, normalise, quarantine_path, target_path, with_suffix
+from ..functions.paths import normalise, quarantine_path, target_path, with_suffix
 from .scan import stamp
 
 
@@ -98,6 +98,3 @@ def chain_links(ledger: DataFrame, found: DataFrame) -> DataFrame:
     steps = F.array(*(F.struct(F.lit(name).alias("link"), F.lit(i).alias("link_order"), F.col(a).alias("expected"), F.col(b).alias("found")) for i, (name, a, b) in enumerate(pairs, 1)))
     return joined.select("file_path", F.explode(steps).alias("s")).select("file_path", "s.*")
 
-
-def mismatched_names(verdicts: DataFrame) -> DataFrame:
-    return verdicts.where(F.col("verdict") == "remote_mismatch").select(F.coalesce("file_name", base_name(F.col("file_path"))).alias("name"), "file_path")

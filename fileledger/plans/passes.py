@@ -9,8 +9,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_files
-from ..functions.paths import normalise, target_path
+from ..functions.hashing import hash_files, target_hash
+from ..functions.paths import target_path
 from ..operators import changes, ledger, outcomes, reports, scan, verify
 from ..schema import INVENTORY
 from ..sources import copying, ledger_store, listing
@@ -35,17 +35,28 @@ class PassConfig:
     parallelism: int = 8
     cursor: str = "settled"
     replica: str | None = None
+    least_free_gb: float = 100
+    mismatch_limit: int = 5
+    streak_limit: int = 12
+    wave_files: int = 20_000
 
 
 @dataclass
 class PassResult:
-    """What a pass found and did."""
+    """What a pass found and did.
+
+    ``superseded`` lists copies that a change of tree leaves behind. ``refused`` holds the targets without room for the
+    plan, in which case nothing was copied and nothing recorded. ``stopped`` says why a pass gave up part of its plan.
+    """
 
     plan: DataFrame
     outcomes: DataFrame | None
     ledger: DataFrame
     state: DataFrame
     stats: DataFrame | None
+    superseded: DataFrame | None = None
+    refused: DataFrame | None = None
+    stopped: str | None = None
 
 
 def _saved(df: DataFrame, config: PassConfig, name: str) -> DataFrame:
@@ -81,8 +92,58 @@ def _publish(records: DataFrame, state: DataFrame, config: PassConfig) -> None:
         ledger_store.replicate_ledger(records, config.replica, version)
 
 
+def copy_in_waves(queue: DataFrame, config: PassConfig) -> tuple[DataFrame, str | None]:
+    """Copy ``queue (seq, file_path, target_file)`` in waves, and stop at a sign of general failure: all tries, and why it stopped.
+
+    Waves start small and double, so that a server that refuses every file is asked for a few only. After each,
+    the mismatches of the pass and its running failures of the connection are counted in the plan's order; the files of later waves
+    stay as they are. A wave that already failed in a row isn't tried a second time.
+    """
+    spark, folder = queue.sparkSession, f"{config.work}/{uuid.uuid4().hex}-tries"
+    total, at, size, number = queue.count(), 0, max(16, 2 * config.parallelism), 0
+    mismatches, stopped = 0, None
+    before: DataFrame | None = None  # the last outcomes of earlier waves, as many as a streak needs
+    schema = copying.copy_files(queue, config.source, "/", config.parallelism).schema
+
+    def judged(tries: DataFrame) -> DataFrame:
+        last = outcomes.resolve_outcomes(outcomes.final_outcomes(tries)).join(queue.select("file_path", "seq"), "file_path")
+        return last.select(F.lit(0).alias("pass_id"), "seq", "success", "error", "result")
+
+    def refused(wave: DataFrame) -> bool:
+        return outcomes.conn_streak_abort_point(wave if before is None else before.unionByName(wave), config.streak_limit).limit(1).count() > 0
+
+    def copied(files: DataFrame, attempt: int) -> DataFrame:
+        nonlocal number
+        number += 1
+        copying.copy_files(files, config.source, "/", config.parallelism, attempt).write.parquet(f"{folder}/part={number}")
+        return spark.read.schema(schema).parquet(f"{folder}/part={number}")
+
+    while at < total and not stopped:
+        wave = queue.where(F.col("seq").between(at, at + size - 1))
+        tries = copied(wave, 1)
+        if not refused(judged(tries)):
+            again = outcomes.retry_plan(tries)
+            if again.limit(1).count():
+                tries = tries.unionByName(copied(wave.join(again.select("file_path"), "file_path", "left_semi"), 2))
+        done = _saved(judged(tries), config, "judged")
+        if outcomes.mismatch_abort_point(done, config.mismatch_limit - mismatches).limit(1).count():
+            stopped = f"{config.mismatch_limit} copies differ from what was sent"
+        elif refused(done):
+            stopped = f"{config.streak_limit} failures of the connection in a row"
+        mismatches += done.where("result = 'checksum_mismatch'").count()
+        tail = done if before is None else before.unionByName(done)
+        before = _saved(tail.orderBy(F.desc("seq")).limit(config.streak_limit), config, "tail")
+        at, size = at + size, min(2 * size, config.wave_files)
+    tries = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(folder) if number else spark.createDataFrame([], schema)
+    return tries, stopped
+
+
 def run_pass(spark: SparkSession, config: PassConfig, now: datetime, full: bool = False, dry_run: bool = False) -> PassResult:
-    """One incremental pass, or a full one that ignores the cursor. A dry run plans and changes nothing."""
+    """One incremental pass, or a full one that ignores the cursor. A dry run plans and changes nothing.
+
+    A plan that a target has no room for is refused as a whole; a pass that meets general failure stops, keeps what it did and
+    leaves the rest pending.
+    """
     state = _saved(load_state(spark, config), config, "state")
     records = _saved(ledger_store.read_ledger(spark, config.ledger_path), config, "ledger")
     since = None if full else state.first()["last_scan_time"]
@@ -98,24 +159,30 @@ def run_pass(spark: SparkSession, config: PassConfig, now: datetime, full: bool
     good, bad = checked.where("error is null"), checked.where("error is not null")
     updated = changes.apply_changes(records, good, now, config.compression)
     updated = updated.unionByName(changes.stub_failed_checks(bad.select(*inventory.columns), updated, now, config.compression).select(*updated.columns))
-    updated, _ = changes.reroute(updated, config.compression)
+    updated, superseded = changes.reroute(updated, config.compression)
     candidates = updated.join(good.select("file_path"), "file_path", "left_semi")
     place = target_path(F.col("file_path"), F.col("remote_tree"), config.target, config.compressed_target)
-    there = hash_files(candidates.select(place.alias("file_path")), "/").where("error is null").select("file_path", "hash")
+    there = target_hash(candidates.select(place.alias("file_path")), "/").where("error is null").select("file_path", "hash")
     plan = _saved(changes.order_plan(changes.plan_transfers(candidates, there, config.target, config.compressed_target), config.priority), config, "plan")
+    superseded = _saved(superseded, config, "superseded")
     if dry_run:
-        return PassResult(plan, None, records, state, None)
-    send = plan.where("needs_transfer").join(updated.select("file_path", "remote_tree"), "file_path").select("file_path", place.alias("target_file"))
-    first = _saved(copying.copy_files(send, config.source, "/", config.parallelism), config, "tries")
-    retry = outcomes.retry_plan(first)
-    second = _saved(copying.copy_files(send.join(retry.select("file_path"), "file_path", "left_semi"), config.source, "/", config.parallelism, attempt=2), config, "tries")
-    tries = first.unionByName(second)
+        return PassResult(plan, None, records, state, None, superseded)
+    root = F.when((F.col("remote_tree") == "compressed") & F.lit(bool(config.compressed_target)), F.lit(config.compressed_target or "")).otherwise(F.lit(config.target))
+    send = plan.where("needs_transfer").join(updated.select("file_path", "remote_tree"), "file_path")
+    send = _saved(send.select("file_path", "file_size_bytes", "rank", place.alias("target_file"), root.alias("target")), config, "send")
+    roots = [config.target, *([config.compressed_target] if config.compressed_target else [])]
+    room = changes.capacity_check(send, copying.free_space(spark, roots), config.least_free_gb)
+    refused = _saved(room.where("refused"), config, "refused")
+    if refused.limit(1).count():
+        return PassResult(plan, None, records, state, None, superseded, refused)
+    queue = _saved(outcomes.numbered(send, "rank", "file_path"), config, "queue")
+    tries, stopped = copy_in_waves(queue, config)
     done = outcomes.apply_outcomes(changes.settle_matches(updated, plan, now), tries, now)
     done = _saved(done, config, "ledger")
     next_state = _saved(ledger.advance_cursor(state, done, now, config.cursor, config.settle_minutes), config, "state")
     _publish(done, next_state, config)
     stats = reports.sync_stats(scanned, plan, outcomes.resolve_outcomes(outcomes.final_outcomes(tries)), again)
-    return PassResult(plan, tries, done, next_state, stats)
+    return PassResult(plan, tries, done, next_state, stats, superseded, None, stopped)
 
 
 def run_verification(spark: SparkSession, config: PassConfig, now: datetime, quarantine: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -124,7 +191,7 @@ def run_verification(spark: SparkSession, config: PassConfig, now: datetime, qua
     local = hash_files(records, config.source).where("error is null").select("file_path", "hash")
     local = _saved(local, config, "local")
     artifacts = verify.expand_checks(records.join(local.select("file_path", F.col("hash").alias("now_local")), "file_path"), config.target, config.compressed_target)
-    target = hash_files(artifacts.select(normalise(F.col("artifact")).alias("file_path")).distinct(), "/").select(F.col("file_path").alias("artifact"), "hash", "error")
+    target = target_hash(artifacts.select(F.col("artifact").alias("file_path")).distinct(), "/").select(F.col("file_path").alias("artifact"), "hash", "error")
     verdicts = _saved(verify.verify_ledger(records, local, target, config.target, config.compressed_target), config, "verdicts")
     if quarantine:
         _saved(copying.move_files(verify.quarantine_plan(verdicts, now)), config, "moves")

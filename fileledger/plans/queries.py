@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +18,9 @@ from ..operators import scan as S
 from ..operators import verify as V
 from ..schema import STATUSES
 from ..sources import copying, ledger_store, listing, signals_store
-from ..sources.scratch import scratch_path
+from ..sources.scratch import saved, scratch_path
 from ..streaming import stream
+from . import passes as P
 from .frames import NOW, PACKED, ROOT, SETTLE, SINCE, frame, table
 from .frames import with_sql as W
 
@@ -162,6 +163,95 @@ def copy_files(spark, d):
     return tries.groupBy(paths.first_segment(F.col("file_path")).alias("top")).agg(F.sum("bytes_transferred").alias("bytes"), F.bool_and(ok).alias("verified"))
 
 
+def _damaged(spark, root: str, top: str) -> None:
+    """One byte more at the end of each text below one top-level folder."""
+
+    def run(frames):
+        for frame in frames:
+            for path in frame["file_path"]:
+                with open(f"{root}/{path}", "ab") as f:
+                    f.write(b"!")
+            yield frame
+
+    files = listing.list_files(spark, root).where(F.col("file_path").startswith(f"{top}/") & F.lower("file_extension").isin(".txt")).select("file_path")
+    files.mapInPandas(run, "file_path string").write.format("noop").mode("overwrite").save()
+
+
+def _first_top(spark, d) -> str:
+    return "source=" + (table(spark, d, "documents").agg(F.min("source")).first()[0] or "")
+
+
+@query("SELECT top, bytes, top <> (SELECT 'source=' || min(source) FROM documents) AS there FROM (" + _FILE_BYTES + ")")
+def target_hash(spark, d):
+    """Of the copies of all folders but one; those that aren't there have an error."""
+    root, to = _as_files(spark, d)
+    files = S.filter_extension(listing.list_files(spark, root), [".txt"]).select("file_path", "file_size_bytes")
+    files = saved(files, "files")
+    saved(copying.copy_files(files.where(~F.col("file_path").startswith(_first_top(spark, d) + "/")), root, to), "tries")
+    here = hashing.hash_files(files, root).select("file_path", F.col("hash").alias("expected"))
+    joined = hashing.target_hash(files, to).join(here, "file_path").join(files, "file_path")
+    there = F.col("error").isNull() & (F.col("hash") == F.col("expected"))
+    return joined.groupBy(paths.first_segment(F.col("file_path")).alias("top")).agg(F.sum("file_size_bytes").alias("bytes"), F.bool_and(there).alias("there"))
+
+
+def _pass_config(spark, d) -> P.PassConfig:
+    """An archive of the documents' texts, and empty folders for its copy and its ledger."""
+    root, to = _as_files(spark, d)
+    return P.PassConfig(root, to, f"file://{root}-ledger", f"file://{root}-work", extensions=[".txt"], least_free_gb=0)
+
+
+def _by_top(df: DataFrame, *keys) -> DataFrame:
+    return df.groupBy(paths.first_segment(F.col("file_path")).alias("top"), *keys).agg(F.sum("file_size_bytes").alias("bytes"))
+
+
+def _later() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None) + timedelta(minutes=1)
+
+
+@query("SELECT top, 'verified' AS transfer_status, CAST(1 AS INTEGER) AS transfer_attempts, bytes FROM (" + _FILE_BYTES + ")")
+def run_pass(spark, d):
+    """The ledger after a first pass."""
+    config = _pass_config(spark, d)
+    return _by_top(P.run_pass(spark, config, _later()).ledger, "transfer_status", "transfer_attempts")
+
+
+@query("SELECT top, top = (SELECT 'source=' || min(source) FROM documents) AS needs_transfer, CASE WHEN top = (SELECT 'source=' || min(source) FROM documents) THEN 'different_there' ELSE 'not_actionable' END AS reason, bytes FROM (" + _FILE_BYTES + ")")
+def run_pass_full(spark, d):
+    """After a first pass, damage to one folder of the copy and a verification, a full pass plans that folder and no other."""
+    config, now = _pass_config(spark, d), _later()
+    P.run_pass(spark, config, now)
+    _damaged(spark, config.target, _first_top(spark, d))
+    P.run_verification(spark, config, now + timedelta(minutes=1), quarantine=False)
+    return _by_top(P.run_pass(spark, config, now + timedelta(minutes=2), full=True).plan, "needs_transfer", "reason")
+
+
+@query("SELECT top, true AS needs_transfer, 'absent' AS reason, bytes, CAST(0 AS BIGINT) AS recorded FROM (" + _FILE_BYTES + ")")
+def dry_run(spark, d):
+    """The whole plan, and no ledger."""
+    config = _pass_config(spark, d)
+    plan = P.run_pass(spark, config, _later(), dry_run=True).plan
+    recorded = ledger_store.read_ledger(spark, config.ledger_path).count()
+    return _by_top(plan, "needs_transfer", "reason").withColumn("recorded", F.lit(recorded))
+
+
+@query("SELECT top, CASE WHEN top = (SELECT 'source=' || min(source) FROM documents) THEN 'remote_mismatch' ELSE 'ok' END AS verdict, bytes FROM (" + _FILE_BYTES + ")")
+def run_verification(spark, d):
+    """One folder of the copy is damaged."""
+    config, now = _pass_config(spark, d), _later()
+    P.run_pass(spark, config, now)
+    _damaged(spark, config.target, _first_top(spark, d))
+    verdicts, _ = P.run_verification(spark, config, now + timedelta(minutes=1))
+    sizes = ledger_store.read_ledger(spark, config.ledger_path).select("file_path", "file_size_bytes")
+    return _by_top(verdicts.select("file_path", "verdict").join(sizes, "file_path"), "verdict")
+
+
+@query("SELECT name, 'is a path' AS problem FROM (SELECT DISTINCT source || CASE WHEN doc_id % 2 = 0 THEN '/' || lang ELSE '' END AS name FROM documents) WHERE contains(name, '/')")
+def priority_audit(spark, d):
+    """Names of a priority list that hold separators; without an inventory nothing else is wrong with a name."""
+    names = table(spark, d, "documents").select(F.concat("source", F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("/"), "lang")).otherwise("")).alias("name")).distinct()
+    return S.audit_names(names)
+
+
 # --- B: filters and functions ---------------------------------------------------------------------------------------
 
 
@@ -219,12 +309,12 @@ def count_files(spark, d):
     return S.count_files(_scan(spark, d))
 
 
-_NAME = "(CASE o_orderkey % 7 WHEN 0 THEN 'run_' || {d1} || 'T10-20-30.tdms' WHEN 1 THEN {d1} || '_x.tdms' WHEN 2 THEN 'd' || {d2} || '_235959.tdms' WHEN 3 THEN {d2} || '.tdms' WHEN 4 THEN {d2} || '_250000.tdms' WHEN 5 THEN '2025-13-40_' || {d2} || '.x' ELSE o_orderpriority END)"
+_NAME = "(CASE o_orderkey % 9 WHEN 0 THEN 'run_' || {d1} || 'T10-20-30.tdms' WHEN 1 THEN {d1} || '_x.tdms' WHEN 2 THEN 'd' || {d2} || '_235959.tdms' WHEN 3 THEN {d2} || '.tdms' WHEN 4 THEN {d2} || '_250000.tdms' WHEN 5 THEN '2025-13-40_' || {d2} || '.x' WHEN 6 THEN {d1} || '_10-20-30.tdms' WHEN 7 THEN {d1} || 'T10:20-30_' || {d2} || '_000001' ELSE o_orderpriority END)"
 _DUCK_NAME = _NAME.format(d1="strftime(o_orderdate, '%Y-%m-%d')", d2="strftime(o_orderdate, '%Y%m%d')")
 
 
-@query(f"""SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN CAST(o_orderdate AS DATE) + INTERVAL 37230 SECOND WHEN 2 THEN CAST(o_orderdate AS DATE) + INTERVAL 86399 SECOND
-WHEN 1 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) WHEN 3 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) WHEN 5 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS filename_timestamp
+@query(f"""SELECT o_orderkey, CASE o_orderkey % 9 WHEN 0 THEN CAST(o_orderdate AS DATE) + INTERVAL 37230 SECOND WHEN 2 THEN CAST(o_orderdate AS DATE) + INTERVAL 86399 SECOND WHEN 7 THEN CAST(o_orderdate AS DATE) + INTERVAL 1 SECOND
+WHEN 1 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) WHEN 3 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) WHEN 5 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) WHEN 6 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS filename_timestamp
 FROM (SELECT o_orderkey, o_orderdate, {_DUCK_NAME} AS name FROM orders)""")
 def filename_timestamp(spark, d):
     name = F.expr(_NAME.format(d1="date_format(o_orderdate, 'yyyy-MM-dd')", d2="date_format(o_orderdate, 'yyyyMMdd')"))
@@ -406,7 +496,7 @@ def unverified(spark, d):
     return L.unverified(frame(spark, d, "ledger"), "2023-12-31 06:00:00").select("file_path", "last_verified_remote")
 
 
-_TRY = "SELECT *, CASE WHEN NOT success OR remote_error IS NOT NULL THEN 'failed' WHEN remote_checksum = sent_checksum THEN 'verified' ELSE 'checksum_mismatch' END AS result, CASE WHEN NOT success THEN error WHEN remote_error IS NOT NULL THEN 'Verification failed: ' || remote_error WHEN remote_checksum <> sent_checksum THEN 'Post-transfer mismatch: sent=' || sent_checksum || ' remote=' || remote_checksum END AS message FROM (SELECT * FROM tries UNION ALL SELECT * FROM tries2)"
+_TRY = "SELECT *, CASE WHEN NOT success OR remote_error IS NOT NULL THEN 'failed' WHEN remote_checksum = sent_checksum THEN 'verified' ELSE 'checksum_mismatch' END AS result, CASE WHEN NOT success THEN error WHEN remote_error IS NOT NULL THEN 'the copy could not be read back: ' || remote_error WHEN remote_checksum <> sent_checksum THEN 'the copy differs: hash of what was sent ' || sent_checksum || ', of what is there ' || remote_checksum END AS message FROM (SELECT * FROM tries UNION ALL SELECT * FROM tries2)"
 
 
 def _tries(spark, d):
@@ -544,7 +634,7 @@ _ISSUES = "transfer_status IN ('pending', 'failed', 'checksum_mismatch')"
 
 @query(W("ledger") + f""", r AS (SELECT * FROM ledger WHERE {_RECENT}), n AS (SELECT file_name, row_number() OVER (ORDER BY file_path, file_name) AS k FROM r WHERE {_ISSUES}),
 c AS (SELECT count(*) AS t, count(*) FILTER (transfer_status = 'verified') AS v, count(*) FILTER ({_ISSUES}) AS p FROM r)
-SELECT CASE WHEN t = 0 THEN '' WHEN p > 0 THEN 'Last 6h: ' || t || ' files modified, ' || p || ' with issues' || (SELECT string_agg(chr(10) || '  - ' || file_name, '' ORDER BY k) FROM n WHERE k <= 5) || CASE WHEN p > 5 THEN chr(10) || '  ... and ' || (p - 5) || ' more' ELSE '' END ELSE 'Last 6h: ' || t || ' files modified, all ' || v || ' verified OK' END AS summary FROM c""")
+SELECT CASE WHEN t = 0 THEN '' WHEN p > 0 THEN 'In 6 hours ' || t || ' files were modified; to look at: ' || p || (SELECT string_agg(chr(10) || '* ' || file_name, '' ORDER BY k) FROM n WHERE k <= 5) || CASE WHEN p > 5 THEN chr(10) || '(' || (p - 5) || ' others)' ELSE '' END ELSE 'In 6 hours ' || t || ' files were modified; verified: ' || v END AS summary FROM c""")
 def recent_summary(spark, d):
     return R.recent_summary(frame(spark, d, "ledger"), NOW)
 

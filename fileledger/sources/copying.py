@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.hashing import CHUNK, file_xxh64
 
@@ -84,3 +84,20 @@ def move_files(moves: DataFrame, root_of: str = "") -> DataFrame:
             yield pd.DataFrame(rows, columns=["artifact", "moved_to", "error"])
 
     return moves.select("artifact", "moved_to").mapInPandas(run, "artifact string, moved_to string, error string")
+
+
+def free_space(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """``target, free_bytes`` of mounted folders, asked in a task; of a folder that isn't there yet, its nearest parent's."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for folder in frame["target"]:
+                at = folder
+                while not os.path.isdir(at):
+                    at = os.path.dirname(at) or "/"
+                s = os.statvfs(at)
+                rows.append((folder, s.f_bavail * s.f_frsize))
+            yield pd.DataFrame(rows, columns=["target", "free_bytes"])
+
+    return spark.createDataFrame([(f,) for f in folders], "target string").mapInPandas(run, "target string, free_bytes bigint")

@@ -124,8 +124,8 @@ def test_first_bad_check_decides(spark):
 
 def test_recent_summary(spark):
     led = ledger(spark, [(f"f{i}", "failed" if i < 7 else "verified", f"f{i}", NOW) for i in range(9)], "file_path string, transfer_status string, file_name string, file_mtime timestamp_ntz")
-    assert R.recent_summary(led, NOW).first().summary == "Last 6h: 9 files modified, 7 with issues" + "".join(f"\n  - f{i}" for i in range(5)) + "\n  ... and 2 more"
-    assert R.recent_summary(led.where("transfer_status = 'verified'"), NOW).first().summary == "Last 6h: 2 files modified, all 2 verified OK"
+    assert R.recent_summary(led, NOW).first().summary == "In 6 hours 9 files were modified; to look at: 7" + "".join(f"\n* f{i}" for i in range(5)) + "\n(2 others)"
+    assert R.recent_summary(led.where("transfer_status = 'verified'"), NOW).first().summary == "In 6 hours 2 files were modified; verified: 2"
     assert R.recent_summary(led.limit(0), NOW).first().summary == ""
 
 

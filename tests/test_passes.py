@@ -5,6 +5,7 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from fileledger.plans.passes import PassConfig, run_pass, run_verification
 from fileledger.schema import with_defaults
@@ -23,7 +24,7 @@ def put(root, path, data, at):
 def config(tmp_path):
     for x in ("src", "dst", "led", "work"):
         os.makedirs(tmp_path / x)
-    return PassConfig(str(tmp_path / "src"), str(tmp_path / "dst"), str(tmp_path / "led"), str(tmp_path / "work"), extensions=[".tdms"], ignore=["skip"], settle_minutes=10, parallelism=2, replica=str(tmp_path / "rep"))
+    return PassConfig(str(tmp_path / "src"), str(tmp_path / "dst"), str(tmp_path / "led"), str(tmp_path / "work"), extensions=[".tdms"], ignore=["skip"], settle_minutes=10, parallelism=2, replica=str(tmp_path / "rep"), least_free_gb=0)
 
 
 def test_listing(spark, tmp_path):
@@ -78,6 +79,76 @@ def test_two_passes_and_a_verification(spark, config):
     assert again.plan.count() == 2 and again.plan.where("needs_transfer").count() == 0
 
 
+def many(config, n, at):
+    for i in range(n):
+        put(config.source, f"run/f{i:03}.tdms", b"x%d" % i, at)
+
+
+def status_counts(spark, config):
+    return {r.transfer_status: r["count"] for r in ledger_store.read_ledger(spark, config.ledger_path).groupBy("transfer_status").count().collect()}
+
+
+def test_a_pass_stops_at_the_fifth_mismatch(spark, config, monkeypatch):
+    now = datetime(2024, 5, 1, 12)
+    many(config, 60, now - timedelta(hours=1))
+    real = copying.copy_files
+
+    def damaged(plan, source, target, parallelism=8, attempt=1):
+        out = real(plan, source, target, parallelism, attempt)
+        return out.withColumn("remote_checksum", F.when(F.substring("file_path", -6, 1).isin("1", "5"), "0" * 16).otherwise(F.col("remote_checksum")))
+
+    monkeypatch.setattr(copying, "copy_files", damaged)
+    got = run_pass(spark, config, now)
+    assert got.stopped.startswith("5 copies differ")
+    # waves of 16 and 32 files: the fifth mismatch is in the second
+    assert status_counts(spark, config) == {"verified": 38, "checksum_mismatch": 10, "pending": 12}
+    monkeypatch.setattr(copying, "copy_files", real)
+    again = run_pass(spark, config, now + timedelta(hours=1))
+    assert again.stopped is None and status_counts(spark, config) == {"verified": 60}
+
+
+def test_a_server_that_refuses_is_asked_for_one_wave(spark, config, monkeypatch):
+    now = datetime(2024, 5, 1, 12)
+    many(config, 60, now - timedelta(hours=1))
+    real = copying.copy_files
+    asked = []
+
+    def refusing(plan, source, target, parallelism=8, attempt=1):
+        asked.append(attempt)
+        out = real(plan, source, target, parallelism, attempt)
+        return out.withColumn("success", F.lit(False)).withColumn("raised", F.lit(True)).withColumn("error", F.lit("Connection reset by peer"))
+
+    monkeypatch.setattr(copying, "copy_files", refusing)
+    got = run_pass(spark, config, now)
+    assert got.stopped.startswith("12 failures") and got.outcomes.count() == 16 and asked.count(2) == 0
+    assert status_counts(spark, config) == {"failed": 16, "pending": 44}
+
+
+def test_single_failures_are_tried_again(spark, config, monkeypatch):
+    now = datetime(2024, 5, 1, 12)
+    many(config, 30, now - timedelta(hours=1))
+    real = copying.copy_files
+
+    def shaky(plan, source, target, parallelism=8, attempt=1):
+        out = real(plan, source, target, parallelism, attempt)
+        fails = F.substring("file_path", -6, 1).isin("3", "4") & F.lit(attempt == 1)
+        return out.withColumn("success", ~fails & F.col("success")).withColumn("error", F.when(fails, "timed out").otherwise(F.col("error")))
+
+    monkeypatch.setattr(copying, "copy_files", shaky)
+    got = run_pass(spark, config, now)
+    assert got.stopped is None and status_counts(spark, config) == {"verified": 30} and got.outcomes.where("attempt = 2").count() == 6
+
+
+def test_a_plan_without_room_is_refused(spark, config):
+    now = datetime(2024, 5, 1, 12)
+    many(config, 3, now - timedelta(hours=1))
+    config.least_free_gb = 1e9
+    got = run_pass(spark, config, now)
+    r = got.refused.first()
+    assert r.reason == "below_floor" and r.planned_bytes == 6 and got.plan.count() == 3
+    assert ledger_store.current_version(spark, config.ledger_path) is None and os.listdir(config.target) == []
+
+
 def test_copy_failures(spark, tmp_path):
     put(tmp_path / "s", "ok", b"1", datetime(2024, 1, 1))
     plan = spark.createDataFrame([("ok",), ("gone",)], "file_path string")
@@ -100,6 +171,34 @@ def test_ledger_versions_and_documents(spark, tmp_path):
     assert state.first().total_files_tracked == 2
 
 
+def test_a_writer_that_stops_leaves_the_ledger_as_it_was(spark, tmp_path, monkeypatch):
+    at = str(tmp_path / "l")
+    df = with_defaults(spark.createDataFrame([("a",)], "file_path string"))
+    assert ledger_store.write_ledger(df, at) == 0
+    real = ledger_store._fs
+
+    class Stopped(Exception):
+        pass
+
+    def stop_at_the_mark(spark, path):
+        fs, p = real(spark, path)
+
+        class Fs:
+            def __getattr__(self, name):
+                if name == "create":
+                    raise Stopped
+                return getattr(fs, name)
+
+        return Fs(), p
+
+    monkeypatch.setattr(ledger_store, "_fs", stop_at_the_mark)
+    with pytest.raises(Stopped):
+        ledger_store.write_ledger(df.union(df).union(df), at)
+    monkeypatch.setattr(ledger_store, "_fs", real)
+    assert ledger_store.current_version(spark, at) == 0 and ledger_store.read_ledger(spark, at).count() == 1
+    assert ledger_store.write_ledger(df.union(df), at) == 1 and ledger_store.read_ledger(spark, at).count() == 2
+
+
 def test_fold_events_by_batches(spark):
     rows = [("a", 1, 1), ("a", 1, 2), ("a", 2, 3), ("b", 5, 4), ("a", 2, 5), ("b", 6, 6)]
     df = spark.createDataFrame(rows, "file_path string, file_size_bytes long, seq long")
