@@ -9,14 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in ``spark.checkpoint.dir``; where that is unset, in a temporary folder, in local mode only."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A new path in ``spark.checkpoint.dir``, deleted when the driver's process ends; where that is unset, in a temporary folder, in local mode only."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    fs, p = _place(spark, path)
+    fs.mkdirs(p.getParent())
+    fs.deleteOnExit(p)
+    return path
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
