@@ -1,6 +1,8 @@
 """From raw documents to packed training sequences.
 
-Each stage takes ``(spark, docs, sf_dir)`` and works on all rows that the stage before it kept; all but the last return
+Null, empty and very long texts, ties, repeated rows, empty tables and extra columns: each stage does what its operator's
+docstring says. Documents with null or empty texts score low and go in the first stage; later stages keep them. Null
+doc_ids take part everywhere; columns of any name pass through all stages but the last. Each stage takes ``(spark, docs, sf_dir)`` and works on all rows that the stage before it kept; all but the last return
 the columns of ``documents``. ``run`` writes each stage's result to the shared folder and reads it again.
 """
 
@@ -9,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fileledger.llm import decontaminate, line_dedup, near_dedup, quality, tier_packing
-from fileledger.llm.common import Scratch
+from fileledger.llm.common import Scratch, passing_tables
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, from ``documents`` to packed pieces."""
+    """All stages, from ``documents`` to packed pieces; what a stage read and what it wrote on the way go when its result is written."""
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        with passing_tables():
+            done = scratch.save(stage(spark, docs, sf_dir), name)
+        scratch.drop(docs)
+        docs = done
     return docs

@@ -7,6 +7,8 @@ sizes finds that row in logarithmic time.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch
 from .tokens import VOCABULARY, closed_ids
 
 
@@ -130,9 +133,38 @@ def packed_matrix(docs: DataFrame, size: int = 2048, vocabulary: str = VOCABULAR
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def write_matrix(packed: DataFrame, path: str) -> None:
-    """Write the rows of :func:`packed_matrix` as Parquet; a file's ``ids`` column is its matrix."""
-    packed.write.parquet(path)
+def write_matrix(packed: DataFrame, folder: str, rows: int = 8192) -> DataFrame:
+    """Write rows of :func:`packed_matrix` as binary files into a folder that every executor mounts: one row per file, ``file, n_rows, n_tokens``.
+
+    ``file.bin`` is the id matrix, row by row, of little-endian unsigned 32-bit ids, and can be mapped into memory;
+    ``file.npz`` holds the rows' ids, ``cu_seqlens`` and ``resets`` one after the other with ``cu_splits`` and
+    ``reset_splits``, where each row's begin, and the pieces' ``doc_ids`` (-1 for null) and ``doc_starts``. A file holds at
+    most ``rows`` rows. Files are renamed into place, so that a task that runs twice writes the same files again. The
+    result is written as it is made, so the files are there when it returns.
+    """
+    scratch = Scratch(packed.sparkSession, "matrix")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.makedirs(folder, exist_ok=True)
+        part, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                piece = batch.slice(at, rows)
+                name, got = f"{part:05d}-{n:05d}", {c: piece.column(i).to_pylist() for i, c in enumerate(piece.schema.names)}
+                n += 1
+                splits = lambda lists: np.cumsum([0, *map(len, lists)])
+                flat = lambda lists, kind: np.array([-1 if x is None else x for row in lists for x in row], kind)
+                whole = f"{folder}/{name}.{uuid.uuid4().hex}.part"
+                with open(whole, "wb") as f:
+                    f.writelines(got["ids"])
+                os.replace(whole, f"{folder}/{name}.bin")
+                with open(whole, "wb") as f:
+                    np.savez(f, row_ids=np.array(got["row_id"], np.int64), cu_seqlens=flat(got["cu_seqlens"], np.int32), cu_splits=splits(got["cu_seqlens"]), resets=flat(got["resets"], np.int32), reset_splits=splits(got["resets"]), doc_ids=flat(got["doc_ids"], np.int64), doc_starts=flat(got["doc_starts"], np.int64))
+                os.replace(whole, f"{folder}/{name}.npz")
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(got["ids"])], pa.int64()), pa.array([sum(got["n_tokens"])], pa.int64())], names=["file", "n_rows", "n_tokens"])
+
+    named = packed.select("row_id", "ids", "n_tokens", "cu_seqlens", "resets", "doc_ids", "doc_starts")
+    return scratch.save(named.mapInArrow(run, "file string, n_rows long, n_tokens long"), "files")
 
 
 def as_matrix(ids: list[bytes]) -> np.ndarray:

@@ -4,37 +4,33 @@ checked size, and word shingles as 64-bit hashes."""
 from __future__ import annotations
 
 import hashlib
-import tempfile
-import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import remove, scratch_path
+
 #: Most rows of a (long, long) table that are sent to every executor; a row is under 32 bytes, so under 32 MB.
 BROADCAST_ROWS = 1_000_000
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder ``spark.checkpoint.dir``; where that is unset, a temporary one, in local mode only."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+_OPEN: list[list[Scratch]] = []
 
 
 class Scratch:
-    """Tables written to the shared folder, which cut lineage and survive lost executors."""
+    """Tables written to the shared folder, which cut lineage and survive lost executors; deleted when the driver's process ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+        self.root = scratch_path(spark, name)
         self.paths: dict[int, str] = {}
+        self.kept: list[DataFrame] = []
         self.n = 0
+        if _OPEN:
+            _OPEN[-1].append(self)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self.n += 1
@@ -42,15 +38,25 @@ class Scratch:
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
-        self.kept = [*getattr(self, "kept", []), out]  # an id must not be given to another frame
+        self.kept.append(out)  # an id must not be given to another frame
         return out
 
     def drop(self, *frames: DataFrame | None) -> None:
         """Delete tables that no later step reads."""
         for df in frames:
             if df is not None and (path := self.paths.pop(id(df), None)):
-                p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+                remove(self.spark, path)
+
+
+@contextmanager
+def passing_tables() -> Iterator[None]:
+    """Tables that operators write to the shared folder in this block are deleted at its end, when their result has been written elsewhere."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for scratch in _OPEN.pop():
+            remove(scratch.spark, scratch.root)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -175,8 +175,8 @@ def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48,
     classes = scratch.save(signed.where("n > 0 and doc_id is not null").groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("cid"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "classes")
 
     every = classes.select(F.explode("bands").alias("b"), "cid", "n")
-    shared = scratch.save(every.groupBy("b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("b"), "shared")
-    members = scratch.save(every.join(small(shared), "b").withColumn("comp", F.col("cid")), "members")
+    shared = every.groupBy("b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("b")
+    members = scratch.save(every.join(shared, "b").withColumn("comp", F.col("cid")), "members")
     ids = scratch.save(members.select("cid").distinct(), "ids")
     sigs = scratch.save(classes.select("cid", "sig", "bands").join(ids, "cid"), "sigs")
     texts = scratch.save(base.join(small(ids), F.col("doc_id") == F.col("cid"), "left_semi").select(F.col("doc_id").alias("cid"), "text").distinct(), "texts")
@@ -285,6 +285,7 @@ def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48,
         links = scratch.save(links, "links")
         found = connected_components(links.select(F.col("ca").alias("u"), F.col("cb").alias("v")), scratch)
         maps.append(found)
+        scratch.drop(links)
         if heads is None:
             break
         done = heads.select("lb", F.col("m.cid").alias("lc"))
@@ -293,7 +294,7 @@ def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48,
         rest = scratch.save(rest, "members")
         scratch.drop(members, heads)
         members = rest
-    scratch.drop(members, texts, ids, sigs)
+    scratch.drop(members, texts, ids, sigs, *tested)
 
     labels = classes.select("fp1", "fp2", "n", F.col("cid").alias("comp"))
     for found in maps:

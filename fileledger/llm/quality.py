@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -203,16 +204,24 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` or more, with all their columns; scored as they are read again."""
+    """The rows of ``docs`` that score ``threshold`` or more, with all their columns; of repeated rows all or none.
+
+    Each text is read once: its statistics are written beside the row. Null and empty texts have the score of all-zero
+    statistics. A null doc_id has no label. Without labels every score is one half, so every row stays.
+    """
     scratch = Scratch(docs.sparkSession, "quality")
-    stats = scratch.save(with_statistics(docs), "stats")
-    model = learn(stats, labels)
-    scratch.drop(stats)
-    at = docs.columns.index("text")
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*docs.columns).alias("doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            if part.num_rows:
-                yield part.filter(pa.array(model.score(np.array([statistics(t) for t in strings(part.column(at))])) >= threshold))
+            rows = [statistics(t) for t in strings(part.column(1))]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.float64())), part.column(2)], names=["doc_id", "stats", "doc"])
+
+    stats = scratch.save(whole.mapInArrow(run, f"doc_id long, stats array<double>, doc {whole.schema['doc'].dataType.simpleString()}"), "stats")
+    model = learn(stats.select("doc_id", "stats"), labels)
+
+    @F.pandas_udf("double")
+    def score(column: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.stack(column.to_numpy())) if len(column) else [], dtype=np.float64)
 
-    return docs.mapInArrow(run, docs.schema)
+    return stats.where(score(F.col("stats")) >= threshold).select("doc.*")

@@ -18,7 +18,7 @@ LONG_SPACE = re.compile(r"\s{10000}")
 
 @lru_cache(maxsize=4)
 def encoder(vocabulary: str = VOCABULARY, twin: bool = True) -> Callable[[list[str]], list[list[int]]]:
-    """From texts to id lists; strings of special tokens in a text are ordinary text. Loaded once per worker.
+    """From texts without strings of added tokens to id lists; see :func:`ids_of` for all texts. Loaded once per worker.
 
     ``vocabulary`` names a file of the public tokenizers: ``*.json`` (tokenizers) or ``*.tiktoken`` (tiktoken).
     """

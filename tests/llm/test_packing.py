@@ -1,5 +1,7 @@
+import random
 import zlib
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +12,7 @@ from tokenizers import Tokenizer
 
 from fileledger.llm import best_fit as B
 from fileledger.llm import tier_packing as T
-from fileledger.llm.tokens import closed_ids, encoder
+from fileledger.llm.tokens import closed_ids, encoder, ids_of
 
 
 @given(st.text(max_size=200))
@@ -19,10 +21,11 @@ def test_twin_vocabulary_gives_the_same_ids(text):
     assert encoder("byte_bpe_50k.json")([text]) == encoder("byte_bpe_50k.json", twin=False)([text])
 
 
-def test_special_strings_are_text():
-    text = "a <|endoftext|> b"
-    assert encoder("byte_bpe_50k.json")([text]) == encoder("byte_bpe_50k.json", twin=False)([text])
-    assert 50256 not in encoder("byte_bpe_50k.json")([text])[0]
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "a", "Wort", "\n", "é", "1"]) | st.text(max_size=5), max_size=12).map("".join))
+@settings(max_examples=400, deadline=None)
+def test_special_strings_are_tokens(text):
+    assert ids_of([text]) == [contract(text)]
+    assert ids_of([text])[0].count(50256) == text.count("<|endoftext|>")
 
 
 def test_twin_vocabulary_on_documents(spark, sf):
@@ -30,8 +33,13 @@ def test_twin_vocabulary_on_documents(spark, sf):
     assert encoder("byte_bpe_50k.json")(texts) == encoder("byte_bpe_50k.json", twin=False)(texts)
 
 
+@lru_cache
+def plain_tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def contract(text):
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer = plain_tokenizer()
     return tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -141,16 +149,44 @@ def test_matrix_round_trip(spark, sf, window):
     assert sum(r.n_tokens for r in rows) / m.size > 0.9
 
 
-def test_matrix_file(spark, sf, tmp_path):
-    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(20)
-    B.write_matrix(B.packed_matrix(docs), str(tmp_path / "m"))
-    back = spark.read.parquet(str(tmp_path / "m")).collect()
-    assert B.as_matrix([r.ids for r in back]).shape[1] == 2048
-
-
 def test_rows_that_never_fill_do_not_wait_for_the_end(spark):
     n = 300
     docs = spark.createDataFrame([(i, " a" * (1100 + i * 7919 % 800)) for i in range(n)], "doc_id long, text string").coalesce(1)
     rows = sorted(B.packed_matrix(docs, window_tokens=20_000).collect(), key=lambda r: r.row_id)
     assert sorted(d for r in rows for d in r.doc_ids) == list(range(n))
     assert all(max(rows[k].doc_ids) < k + 100 for k in range(n))
+
+
+def test_tiers_waste_less_than_a_plain_packer(spark):
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, " a" * rng.choice([3, 40, 300, 700, 900, 1500])) for i in range(400)], "doc_id long, text string").coalesce(1)
+    rows = T.pack_tiers(docs, window_tokens=20_000).collect()
+    lengths = [r.doc_tokens for r in rows if r.start == 0]
+    room: list[int] = []
+    for n in (min(n - s, 1024) for n in lengths for s in range(0, n, 1024)):  # first fit, documents in order
+        at = next((i for i, r in enumerate(room) if r >= n), None)
+        if at is None:
+            room.append(1024 - n)
+        else:
+            room[at] -= n
+    sizes = {r.sequence_id: r.context for r in rows}
+    assert sum(sizes.values()) == sum(lengths) <= 1024 * len(room)  # no padding
+    assert sum(n for n in sizes.values() if n == 1024) > 0.8 * sum(lengths)
+
+
+def test_binary_files_hold_the_matrix(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(3)
+    packed = spark.createDataFrame(B.packed_matrix(docs, size=512).collect(), B.packed_matrix(docs).schema).repartition(2)
+    files = B.write_matrix(packed, str(tmp_path / "out"), rows=50).collect()
+    want = {r.row_id: r for r in packed.collect()}
+    assert sum(f.n_rows for f in files) == len(want) and sum(f.n_tokens for f in files) == sum(r.n_tokens for r in want.values()) and max(f.n_rows for f in files) <= 50
+    for f in files:
+        m = np.memmap(tmp_path / "out" / f"{f.file}.bin", "<u4", "r").reshape(f.n_rows, 512)
+        z = np.load(tmp_path / "out" / f"{f.file}.npz")
+        for i, row_id in enumerate(z["row_ids"].tolist()):
+            r = want.pop(row_id)
+            a, b = z["cu_splits"][i : i + 2]
+            c, d = z["reset_splits"][i : i + 2]
+            assert m[i].tobytes() == r.ids and z["cu_seqlens"][a:b].tolist() == r.cu_seqlens and z["resets"][c:d].tolist() == r.resets
+            assert z["doc_ids"][a - i : b - i - 1].tolist() == r.doc_ids and z["doc_starts"][a - i : b - i - 1].tolist() == r.doc_starts
+    assert not want and not list((tmp_path / "out").glob("*.part"))

@@ -34,3 +34,13 @@ def test_stages_against_brute_force(spark, sf):
 
 def test_names():
     assert [n for n, _ in P.STAGES] == ["quality", "line_dedup", "near_dedup", "decontamination", "packing"] and all(re.fullmatch(r"\w+", n) for n, _ in P.STAGES)
+
+
+def test_odd_rows_in_every_stage(spark, sf, odd_docs, no_docs):
+    docs, scratch = odd_docs, Scratch(spark, "odd")
+    for name, stage in P.STAGES[:-1]:
+        assert stage(spark, no_docs, sf).collect() == []
+        got = scratch.save(stage(spark, docs, sf), name)
+        assert got.columns == docs.columns and got.count() <= docs.count()
+    packed = P.packing_stage(spark, odd_docs, sf)
+    assert packed.where("start = 0").count() == odd_docs.count() and P.packing_stage(spark, no_docs, sf).count() == 0
