@@ -8,24 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import LEDGER_FIELDS, STATE, with_defaults
+from .scratch import place
 
 #: An empty file that a whole snapshot ends with.
 _WHOLE = "_WHOLE"
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
-
-
 def current_version(spark: SparkSession, path: str) -> int | None:
     """The highest version that is whole; None if there is no ledger yet."""
-    fs, p = _fs(spark, path)
+    fs, p = place(spark, path)
     if not fs.exists(p):
         return None
     names = (re.fullmatch(r"v(\d+)", f.getPath().getName()) for f in fs.listStatus(p))
     for version in sorted((int(m[1]) for m in names if m), reverse=True):
-        if fs.exists(_fs(spark, f"{path}/v{version:08d}/{_WHOLE}")[1]):
+        if fs.exists(place(spark, f"{path}/v{version:08d}/{_WHOLE}")[1]):
             return version
     return None
 
@@ -41,7 +37,7 @@ def write_ledger(df: DataFrame, path: str, version: int | None = None) -> int:
         now = current_version(spark, path)
         version = 0 if now is None else now + 1
     at = f"{path}/v{version:08d}"
-    fs, whole = _fs(spark, f"{at}/{_WHOLE}")
+    fs, whole = place(spark, f"{at}/{_WHOLE}")
     fs.delete(whole, False)
     with_defaults(df).write.mode("overwrite").parquet(at)
     fs.create(whole, True).close()

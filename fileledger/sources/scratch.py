@@ -17,7 +17,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root}/{name}-{uuid.uuid4().hex}"
-    fs, p = _place(spark, path)
+    fs, p = place(spark, path)
     fs.mkdirs(p.getParent())
     fs.deleteOnExit(p)
     return path
@@ -30,19 +30,20 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _place(spark: SparkSession, path: str):
+def place(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as Spark's JVM has them."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder of any file system that Spark knows, if it is there."""
-    fs, p = _place(spark, path)
+    fs, p = place(spark, path)
     fs.delete(p, True)
 
 
 def publish(spark: SparkSession, stage: str, path: str) -> None:
     """Give a finished folder its name, which must be new."""
-    fs, p = _place(spark, path)
-    if fs.exists(p) or not fs.rename(_place(spark, stage)[1], p):
+    fs, p = place(spark, path)
+    if fs.exists(p) or not fs.rename(place(spark, stage)[1], p):
         raise FileExistsError(path)

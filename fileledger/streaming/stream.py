@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ledger import latest
 from ..operators.scan import stamp
+from ..sources.scratch import place, remove
 
 
 def fold_events(state: DataFrame | None, events: DataFrame) -> DataFrame:
@@ -24,8 +25,6 @@ def fold_events(state: DataFrame | None, events: DataFrame) -> DataFrame:
         joined = events.join(last, "file_path", "left").where("old_seq is null or seq > old_seq")
     else:
         joined = events.withColumn("old_size", F.lit(None).cast("long")).withColumn("changes", F.lit(0).cast("long")).withColumn("duplicates", F.lit(0).cast("long"))
-    from pyspark.sql import Window
-
     before = F.lag("file_size_bytes").over(Window.partitionBy("file_path").orderBy("seq"))
     first = F.row_number().over(Window.partitionBy("file_path").orderBy("seq")) == 1
     same = F.coalesce(F.when(first, F.col("old_size")).otherwise(before) == F.col("file_size_bytes"), F.lit(False))
@@ -36,22 +35,55 @@ def fold_events(state: DataFrame | None, events: DataFrame) -> DataFrame:
     return state.join(new.select("file_path"), "file_path", "left_anti").select(*new.columns).unionByName(new)
 
 
-def stream_ledger(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep a ledger of a stream of change events under ``path``: one snapshot folder per micro-batch.
+_LEDGER = "file_path string, file_size_bytes bigint, seq bigint, changes bigint, duplicates bigint"
+
+
+def _versions(spark: SparkSession, path: str) -> dict[int, list[int]]:
+    """The batches in which each bucket was written, in order."""
+    fs, at = place(spark, f"{path}/batch=*/bucket=*")
+    found: dict[int, list[int]] = {}
+    for f in fs.globStatus(at) or []:
+        folder = f.getPath()
+        found.setdefault(int(folder.getName().split("=")[1]), []).append(int(folder.getParent().getName().split("=")[1]))
+    return {bucket: sorted(batches) for bucket, batches in found.items()}
+
+
+def _latest(spark: SparkSession, path: str, below: int | None, buckets: set[int] | None = None) -> DataFrame | None:
+    """The last rows of buckets, of batches before ``below``."""
+    last = {b: max((n for n in batches if below is None or n < below), default=None) for b, batches in _versions(spark, path).items() if buckets is None or b in buckets}
+    paths = [f"{path}/batch={n:08d}/bucket={b}" for b, n in last.items() if n is not None]
+    return spark.read.schema(_LEDGER).parquet(*paths) if paths else None
+
+
+def stream_ledger(events: DataFrame, path: str, checkpoint: str, buckets: int = 64, keep: int = 3) -> StreamingQuery:
+    """Keep a ledger of a stream of change events under ``path``; :func:`read_stream_ledger` gives the latest.
 
-    A batch that is run again writes the same snapshot again. ``read_stream_ledger`` gives the latest.
+    Paths are dealt to ``buckets`` by hash. A micro-batch rewrites only the buckets that its events touch, and the last
+    ``keep`` versions of a bucket stay. A batch that is run again starts from the versions before it and writes the same again.
     """
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = spark.read.parquet(f"{path}/batch={batch_id - 1:08d}") if batch_id else None
-        fold_events(state, batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id:08d}")
+        bucket = F.pmod(F.xxhash64("file_path"), F.lit(buckets)).cast("int")
+        batch.persist()
+        try:
+            touched = {r["b"] for r in batch.select(bucket.alias("b")).distinct().collect()}  # at most ``buckets`` rows
+            state = _latest(spark, path, batch_id, touched) if touched else None
+            new = fold_events(state, batch).withColumn("bucket", bucket)
+            new.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/batch={batch_id:08d}")
+        finally:
+            batch.unpersist()
+        for b, batches in _versions(spark, path).items():
+            for old in [n for n in batches if n <= batch_id][:-keep]:
+                remove(spark, f"{path}/batch={old:08d}/bucket={b}")
 
     return events.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_stream_ledger(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/batch={batch_id:08d}")
+def read_stream_ledger(spark: SparkSession, path: str, batch_id: int | None = None) -> DataFrame:
+    """The ledger after a batch, one of the last few; after the last one by default."""
+    found = _latest(spark, path, None if batch_id is None else batch_id + 1)
+    return spark.createDataFrame([], _LEDGER) if found is None else found
 
 
 def split_settled(held: DataFrame | None, rows: DataFrame, now: datetime, minutes: float) -> tuple[DataFrame, DataFrame]:

@@ -175,7 +175,7 @@ def test_a_writer_that_stops_leaves_the_ledger_as_it_was(spark, tmp_path, monkey
     at = str(tmp_path / "l")
     df = with_defaults(spark.createDataFrame([("a",)], "file_path string"))
     assert ledger_store.write_ledger(df, at) == 0
-    real = ledger_store._fs
+    real = ledger_store.place
 
     class Stopped(Exception):
         pass
@@ -191,10 +191,10 @@ def test_a_writer_that_stops_leaves_the_ledger_as_it_was(spark, tmp_path, monkey
 
         return Fs(), p
 
-    monkeypatch.setattr(ledger_store, "_fs", stop_at_the_mark)
+    monkeypatch.setattr(ledger_store, "place", stop_at_the_mark)
     with pytest.raises(Stopped):
         ledger_store.write_ledger(df.union(df).union(df), at)
-    monkeypatch.setattr(ledger_store, "_fs", real)
+    monkeypatch.setattr(ledger_store, "place", real)
     assert ledger_store.current_version(spark, at) == 0 and ledger_store.read_ledger(spark, at).count() == 1
     assert ledger_store.write_ledger(df.union(df), at) == 1 and ledger_store.read_ledger(spark, at).count() == 2
 
@@ -207,6 +207,22 @@ def test_fold_events_by_batches(spark):
     assert {tuple(r) for r in state.select("file_path", "file_size_bytes", "seq", "changes", "duplicates").collect()} == whole == {("a", 2, 5, 2, 2), ("b", 6, 6, 2, 0)}
 
 
+def test_stream_ledger_rewrites_touched_buckets_and_keeps_few(spark, tmp_path):
+    schema = "file_path string, file_size_bytes long, seq long"
+    every = [(f"f{i}", i, i) for i in range(40)]
+    batches = [every, [("f1", 5, 100), ("f1", 5, 101)], [("f1", 6, 102)], [("f2", 9, 103)], [("f1", 6, 104)], [("f1", 7, 105)]]
+    at = f"file://{tmp_path}/ledger"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream.stream_ledger(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), at, str(tmp_path / "cp"), buckets=8, keep=2).awaitTermination()
+    whole = {tuple(r) for r in stream.fold_events(None, spark.createDataFrame([r for rows in batches for r in rows], schema)).select("file_path", "file_size_bytes", "seq", "changes", "duplicates").collect()}
+    got = stream.read_stream_ledger(spark, at).select("file_path", "file_size_bytes", "seq", "changes", "duplicates")
+    assert {tuple(r) for r in got.collect()} == whole
+    versions = stream._versions(spark, at)
+    assert len(versions) == 8 and all(len(v) <= 2 for v in versions.values()) and sum(map(len, versions.values())) <= 10
+    assert stream.read_stream_ledger(spark, f"file://{tmp_path}/none").count() == 0
+
+
 def test_held_rows_come_later(spark):
     now = datetime(2024, 1, 1, 12)
     df = spark.createDataFrame([("a", now - timedelta(hours=1)), ("b", now), ("c", now - timedelta(minutes=10))], "file_path string, file_mtime timestamp_ntz")
