@@ -69,6 +69,8 @@ def test_query_finds_planted_and_nothing_else(spark, odd_docs, no_docs):
     assert got == [(50, 1, 0), (50, 1, 0), (51, 0, 0)]
     blocks = sorted((r.doc_id, r.item_id or 0, r.edits) for r in D.benchmark_matches(docs, bench, block_chars=1).collect())
     assert set(blocks) == set(got)
+    in_blocks = D.drop_contaminated(docs, bench, block_chars=1)
+    assert in_blocks.columns == docs.columns and sorted(r.doc_id or 0 for r in in_blocks.collect()) == sorted(r.doc_id or 0 for r in D.drop_contaminated(docs, bench).collect())
     left = D.drop_contaminated(docs, bench)
     assert left.columns == docs.columns and left.count() == odd_docs.count()
     assert D.benchmark_matches(no_docs, bench).count() == 0 and D.benchmark_matches(docs, bench.limit(0)).count() == 0
