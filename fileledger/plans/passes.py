@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_files, target_hash
 from ..functions.paths import target_path
-from ..operators import changes, ledger, outcomes, reports, scan, verify
+from ..operators import changes, codec, ledger, outcomes, reports, scan, verify
 from ..schema import INVENTORY
-from ..sources import copying, ledger_store, listing
+from ..sources import copying, encoded, ledger_store, listing
 
 
 @dataclass
 class PassConfig:
-    """Where things are and how a pass behaves. All folders are mounted on every executor."""
+    """Where things are and how a pass behaves. All folders are mounted on every executor.
+
+    With ``compression``, a ``compressed_target`` and the tables ``signals (file_path, idx, value)`` and ``channels (file_path, group_name,
+    channel_name, properties)``, files whose one signal codes keep exactly are sent encoded, and rebuilt at the target.
+    """
 
     source: str
     target: str
@@ -36,6 +40,10 @@ class PassConfig:
     cursor: str = "settled"
     replica: str | None = None
     least_free_gb: float = 100
+    signals: str | None = None
+    channels: str | None = None
+    encode_least_bytes: int = 10 << 20
+    decode_limit: int = 5
     mismatch_limit: int = 5
     streak_limit: int = 12
     wave_files: int = 20_000
@@ -47,6 +55,7 @@ class PassResult:
 
     ``superseded`` lists copies that a change of tree leaves behind. ``refused`` holds the targets without room for the
     plan, in which case nothing was copied and nothing recorded. ``stopped`` says why a pass gave up part of its plan.
+    ``outcomes`` are the tries of plain copies, ``encoded`` those of encoded ones.
     """
 
     plan: DataFrame
@@ -57,6 +66,7 @@ class PassResult:
     superseded: DataFrame | None = None
     refused: DataFrame | None = None
     stopped: str | None = None
+    encoded: DataFrame | None = None
 
 
 def _saved(df: DataFrame, config: PassConfig, name: str) -> DataFrame:
@@ -138,6 +148,49 @@ def copy_in_waves(queue: DataFrame, config: PassConfig) -> tuple[DataFrame, str
     return tries, stopped
 
 
+def send_in_codes(send: DataFrame, records: DataFrame, config: PassConfig) -> tuple[DataFrame | None, str | None]:
+    """Send those files of the plan encoded that can be: an outcome row for each of these, and why it stopped; None if none can.
+
+    Files are rebuilt in waves that double; after rebuilding has failed too often in a row, the rest stays pending.
+    """
+    spark = send.sparkSession
+    if not (config.compression and config.signals and config.channels and config.compressed_target):
+        return None, None
+    planned = records.join(send.select("file_path"), "file_path", "left_semi")
+    eligible = _saved(codec.codec_eligibility(planned, spark.read.parquet(config.channels), True, config.encode_least_bytes), config, "eligible")
+    signals = spark.read.parquet(config.signals).join(eligible.where("eligible").select("file_path"), "file_path", "left_semi").withColumnRenamed("file_path", "signal_id")
+    codes, meta, levels = codec.encode_signals(signals)
+    routes = codec.route(eligible, meta.select(F.col("signal_id").alias("file_path"), "exact"))
+    chosen = send.join(routes.where("route = 'encoded'").select("file_path"), "file_path", "left_semi")
+    chosen = _saved(outcomes.numbered(_saved(chosen.select(F.col("file_path").alias("signal_id"), "rank"), config, "chosen"), "rank", "signal_id"), config, "encoded")
+    total, at, size, tries, stopped = chosen.count(), 0, max(16, 2 * config.parallelism), [], None
+    if not total:
+        return None, None
+    hashes = _saved(codec.signal_xxh64(signals.join(chosen.select("signal_id"), "signal_id", "left_semi")), config, "hashes")
+    before: DataFrame | None = None
+    while at < total and not stopped:
+        wave = chosen.where(F.col("seq").between(at, at + size - 1))
+        mine = lambda df, wave=wave: df.join(wave.select("signal_id"), "signal_id", "left_semi")
+        written = _saved(encoded.write_encoded(mine(codes), mine(meta), mine(levels), config.compressed_target), config, "written")
+        done = _saved(encoded.send_encoded(written, mine(meta), hashes, config.compressed_target, config.target), config, "sent")
+        tries.append(done)
+        judged = done.join(wave.select(F.col("signal_id").alias("file_path"), "seq"), "file_path").select(F.lit(0).alias("pass_id"), "seq", "success", "decode_failure")
+        judged = judged if before is None else before.unionByName(judged)
+        if outcomes.decode_halt_point(judged, config.decode_limit).limit(1).count():
+            stopped = f"{config.decode_limit} rebuilt files in a row failed"
+        # successes clear a streak and other failures don't count, so the last few of the others are enough
+        since = F.coalesce(F.lit(judged.where("success").agg(F.max("seq")).first()[0]), F.lit(-1))
+        before = _saved(judged.where((F.col("seq") > since) & F.col("decode_failure")).orderBy(F.desc("seq")).limit(config.decode_limit), config, "tail")
+        at, size = at + size, min(2 * size, config.wave_files)
+    out = tries[0]
+    for more in tries[1:]:
+        out = out.unionByName(more)
+    if stopped:  # those not tried take no other way in this pass
+        rest = chosen.where(F.col("seq") >= at).select(F.col("signal_id").alias("file_path"))
+        out = out.unionByName(rest, allowMissingColumns=True)
+    return out, stopped
+
+
 def run_pass(spark: SparkSession, config: PassConfig, now: datetime, full: bool = False, dry_run: bool = False) -> PassResult:
     """One incremental pass, or a full one that ignores the cursor. A dry run plans and changes nothing.
 
@@ -175,14 +228,21 @@ def run_pass(spark: SparkSession, config: PassConfig, now: datetime, full: bool
     refused = _saved(room.where("refused"), config, "refused")
     if refused.limit(1).count():
         return PassResult(plan, None, records, state, None, superseded, refused)
+    in_codes, halted = send_in_codes(send, updated, config)
+    if in_codes is not None:
+        send = _saved(send.join(in_codes.select("file_path"), "file_path", "left_anti"), config, "plain")
     queue = _saved(outcomes.numbered(send, "rank", "file_path"), config, "queue")
     tries, stopped = copy_in_waves(queue, config)
     done = outcomes.apply_outcomes(changes.settle_matches(updated, plan, now), tries, now)
+    if in_codes is not None:
+        in_codes = in_codes.where("attempt is not null")
+        done = outcomes.apply_encoded_outcomes(done, in_codes, now)
+        done = outcomes.reroute_index_siblings(done, in_codes.where("success").select("file_path"))
     done = _saved(done, config, "ledger")
     next_state = _saved(ledger.advance_cursor(state, done, now, config.cursor, config.settle_minutes), config, "state")
     _publish(done, next_state, config)
     stats = reports.sync_stats(scanned, plan, outcomes.resolve_outcomes(outcomes.final_outcomes(tries)), again)
-    return PassResult(plan, tries, done, next_state, stats, superseded, None, stopped)
+    return PassResult(plan, tries, done, next_state, stats, superseded, None, stopped or halted, in_codes)
 
 
 def run_verification(spark: SparkSession, config: PassConfig, now: datetime, quarantine: bool = True) -> tuple[DataFrame, DataFrame]:

@@ -4,12 +4,14 @@ import json
 import os
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from fileledger.plans.passes import PassConfig, run_pass, run_verification
 from fileledger.schema import with_defaults
-from fileledger.sources import copying, ledger_store, listing, signals_store
+from fileledger.sources import copying, encoded, ledger_store, listing, signals_store
 from fileledger.streaming import stream
 
 
@@ -149,6 +151,59 @@ def test_a_plan_without_room_is_refused(spark, config):
     assert ledger_store.current_version(spark, config.ledger_path) is None and os.listdir(config.target) == []
 
 
+def test_encoded_route(spark, config, tmp_path, monkeypatch):
+    now = datetime(2024, 5, 1, 12)
+    values = {"run/grid.tdms": [0.5 + 0.25 * (i * 7 % 40) for i in range(900)], "run/levels.tdms": [((i * 31) % 50) ** 0.5 for i in range(300)], "run/minus.tdms": [0.0, -0.0, 1.0]}
+    for name in [*values, "run/none.tdms", "run/grid.tdms_index"]:
+        put(config.source, name, b"container of " + name.encode(), now - timedelta(hours=1))
+    timing = {"wf_increment": ("np", "float64", "2e-05"), "wf_start_time": ("dt64", None, "2024-01-01")}
+    spark.createDataFrame([(f, "g", "c", timing) for f in values], "file_path string, group_name string, channel_name string, properties map<string, struct<t: string, dt: string, v: string>>").write.parquet(str(tmp_path / "ch"))
+    spark.createDataFrame([(f, i, x) for f, xs in values.items() for i, x in enumerate(xs)], "file_path string, idx long, value double").write.parquet(str(tmp_path / "sig"))
+    config.extensions, config.compression, config.compressed_target = [".tdms", ".tdms_index"], True, str(tmp_path / "packed")
+    config.signals, config.channels, config.encode_least_bytes = str(tmp_path / "sig"), str(tmp_path / "ch"), 1
+    got = run_pass(spark, config, now)
+    led = {r.file_path: r for r in got.ledger.collect()}
+    assert {p: (r.transfer_status, r.compressed) for p, r in led.items()} == {"run/grid.tdms": ("verified", True), "run/levels.tdms": ("verified", True), "run/minus.tdms": ("verified", False), "run/none.tdms": ("verified", False), "run/grid.tdms_index": ("verified", False)}
+    for name in ("run/grid.tdms", "run/levels.tdms"):
+        data = np.array(values[name], "<f8").tobytes()
+        assert open(f"{config.target}/{name}", "rb").read() == data
+        assert led[name].data_checksum == led[name].remote_checksum == xxhash.xxh64_hexdigest(data) and 0 < led[name].compressed_bytes < len(data) + 300
+    assert open(f"{config.target}/run/minus.tdms", "rb").read() == b"container of run/minus.tdms"
+    assert got.outcomes.count() == 3 and got.encoded.count() == 2
+    verdicts, _ = run_verification(spark, config, now + timedelta(minutes=5))
+    assert {r.verdict for r in verdicts.collect()} == {"ok"}
+    # a damaged encoded file is found, and the file is sent in codes again
+    with open(f"{config.compressed_target}/run/levels.flac", "ab") as f:
+        f.write(b"x")
+    verdicts, _ = run_verification(spark, config, now + timedelta(minutes=6))
+    assert {r.file_path: r.label for r in verdicts.where("verdict = 'remote_mismatch'").collect()} == {"run/levels.tdms": "encoded"}
+    again = run_pass(spark, config, now + timedelta(minutes=7))
+    assert [r.file_path for r in again.encoded.collect()] == ["run/levels.tdms"] and status_counts(spark, config) == {"verified": 5}
+    # rebuilding that fails leaves nothing at the target
+    os.remove(f"{config.target}/run/grid.tdms")
+    how = json.load(open(f"{config.compressed_target}/run/grid.json"))
+    (tmp_path / "bad.json").write_text(json.dumps(how | {"data_xxh64": "0" * 16}))
+    with pytest.raises(ValueError):
+        encoded.rebuild_file(f"{config.compressed_target}/run/grid.flac", str(tmp_path / "bad.json"), f"{config.target}/run/grid.tdms")
+    assert sorted(os.listdir(f"{config.target}/run")) == ["levels.tdms", "minus.tdms", "none.tdms"]
+
+
+def test_rebuilding_that_keeps_failing_halts_the_encoded_route(spark, config, tmp_path, monkeypatch):
+    now = datetime(2024, 5, 1, 12)
+    many(config, 30, now - timedelta(hours=1))
+    names = [f"run/f{i:03}.tdms" for i in range(30)]
+    timing = {"wf_increment": ("np", "float64", "2e-05"), "wf_start_time": ("dt64", None, "2024-01-01")}
+    spark.createDataFrame([(f, "g", "c", timing) for f in names], "file_path string, group_name string, channel_name string, properties map<string, struct<t: string, dt: string, v: string>>").write.parquet(str(tmp_path / "ch"))
+    spark.createDataFrame([(f, i, float(i)) for f in names for i in range(3)], "file_path string, idx long, value double").write.parquet(str(tmp_path / "sig"))
+    config.compression, config.compressed_target, config.signals, config.channels, config.encode_least_bytes = True, str(tmp_path / "packed"), str(tmp_path / "sig"), str(tmp_path / "ch"), 1
+    os.makedirs(config.target, exist_ok=True)
+    with open(f"{config.target}/run", "w") as f:  # a file where the folder of rebuilt files should be
+        f.write("x")
+    got = run_pass(spark, config, now)
+    assert got.stopped.startswith("5 rebuilt files") and got.encoded.count() == 16 and got.outcomes.count() == 0
+    assert status_counts(spark, config) == {"failed": 16, "pending": 14}
+
+
 def test_copy_failures(spark, tmp_path):
     put(tmp_path / "s", "ok", b"1", datetime(2024, 1, 1))
     plan = spark.createDataFrame([("ok",), ("gone",)], "file_path string")
