@@ -119,7 +119,7 @@ def search_wide(qid: int, query: np.ndarray, ids: np.ndarray, rows: np.ndarray,
     powers = small(floors)
     about = np.ldexp(floors, -powers[:, None]) @ np.ldexp(own, -small(own))
     shift = powers - powers.max()
-    about, error = np.ldexp(about, shift), np.ldexp(np.full(len(ids), len(query) * 2.0**-48), shift) + 1e-290
+    about, error = np.ldexp(about, shift), np.ldexp(np.full(len(ids), len(query) ** 2 * 2.0**-51), shift) + 1e-290
     bar = np.sort(about - error)[-k] if len(ids) > k else -np.inf
     exact = whole_numbers(query, scale)
     found = [(sum(a * b for a, b in zip(exact, whole_numbers(rows[i], scale), strict=True)), int(ids[i])) for i in np.flatnonzero(about + error >= bar)]
