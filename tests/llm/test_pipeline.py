@@ -1,8 +1,10 @@
 import re
+import zlib
 
 import corpus_pipeline as P
 from fileledger.llm import decontaminate, quality, tier_packing
 from fileledger.llm.common import Scratch
+from fileledger.llm.tokens import closed_ids
 from pyspark.sql import functions as F
 
 from .test_line_dedup import brute as brute_lines
@@ -29,7 +31,24 @@ def test_stages_against_brute_force(spark, sf):
     assert {r.doc_id for r in seen[3][1]} == {r.doc_id for r in seen[3][0] if not any(s in decontaminate.normalise(r.text) for s in index.texts)}
     packed = P.run(spark, sf)
     assert packed.agg(F.sum("length")).first()[0] == tier_packing.pack_tiers(docs).agg(F.sum("length")).first()[0]
-    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in seen[3][1]}
+    kept = {r.doc_id: r.text for r in seen[3][1]}
+    ids = dict(zip(kept, closed_ids(list(kept.values()))))
+    pieces, sequences = {d: [] for d in kept}, {}
+    for r in packed.collect():
+        pieces[r.doc_id].append((r.start, r.length, r.ids_crc32, r.doc_tokens))
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length, r.context))
+    for d, found in pieces.items():
+        at = 0
+        for start, length, crc, tokens in sorted(found):
+            assert (start, tokens, crc) == (at, len(ids[d]), zlib.crc32(ids[d][at : at + length].astype("<u4").tobytes()))
+            at += length
+        assert at == len(ids[d])
+    for found in sequences.values():
+        at = 0
+        for offset, length, _ in sorted(found):
+            assert offset == at
+            at += length
+        assert at == found[0][2] and at & (at - 1) == 0 and at <= 1024
 
 
 def test_names():
