@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_conn_error
+from ..sources.scratch import saved
 from .scan import stamp
 
 
@@ -177,11 +178,11 @@ def final_outcomes(outcomes: DataFrame) -> DataFrame:
 def numbered(df: DataFrame, *order: str) -> DataFrame:
     """Adds ``seq``, from 0 in the given order. Numbers come from sorted partitions and their counts, so no task sees all rows.
 
-    The rows must be stored ones, since they are read twice.
+    The dealt rows are written once, since bounds of ranges are sampled and would be others when they are dealt again.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    rows = rows.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id() % (1 << 33))
+    rows = saved(rows.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id() % (1 << 33)), "numbered")
     counts = {r["__part"]: r["c"] for r in rows.groupBy("__part").agg(F.count(F.lit(1)).alias("c")).collect()}
     total, offsets = 0, {}
     for part in sorted(counts):  # one number for each partition

@@ -162,7 +162,7 @@ def send_in_codes(send: DataFrame, records: DataFrame, config: PassConfig) -> tu
     codes, meta, levels = codec.encode_signals(signals)
     routes = codec.route(eligible, meta.select(F.col("signal_id").alias("file_path"), "exact"))
     chosen = send.join(routes.where("route = 'encoded'").select("file_path"), "file_path", "left_semi")
-    chosen = _saved(outcomes.numbered(_saved(chosen.select(F.col("file_path").alias("signal_id"), "rank"), config, "chosen"), "rank", "signal_id"), config, "encoded")
+    chosen = _saved(outcomes.numbered(chosen.select(F.col("file_path").alias("signal_id"), "rank"), "rank", "signal_id"), config, "encoded")
     total, at, size, tries, stopped = chosen.count(), 0, max(16, 2 * config.parallelism), [], None
     if not total:
         return None, None

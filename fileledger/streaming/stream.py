@@ -98,7 +98,8 @@ def settle_stream(rows: DataFrame, path: str, checkpoint: str, clock: Callable[[
     """Delay the rows of a stream until ``minutes`` have passed since their ``file_mtime``.
 
     Nothing is dropped: rows too young are carried to the next batch. Batch n puts its settled rows into
-    ``path/settled/batch=n`` and what it holds into ``path/held/batch=n``; ``clock(n)`` is the time at batch n.
+    ``path/settled/batch=n`` and what it holds into ``path/held/batch=n``, of which the last two stay; ``clock(n)`` is the
+    time at batch n.
     """
 
     def one(batch: DataFrame, batch_id: int) -> None:
@@ -107,6 +108,8 @@ def settle_stream(rows: DataFrame, path: str, checkpoint: str, clock: Callable[[
         ready, wait = split_settled(held, batch, clock(batch_id), minutes)
         ready.write.mode("overwrite").parquet(f"{path}/settled/batch={batch_id:08d}")
         wait.write.mode("overwrite").parquet(f"{path}/held/batch={batch_id:08d}")
+        if batch_id > 1:  # this batch, run again, still needs the one before
+            remove(spark, f"{path}/held/batch={batch_id - 2:08d}")
 
     return rows.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
