@@ -8,19 +8,26 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: The folder of this process below each root, by application.
+_OWN: dict[tuple[str, str], str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in ``spark.checkpoint.dir``, deleted when the driver's process ends; where that is unset, in a temporary folder, in local mode only."""
+    """A new path in a folder of this process in ``spark.checkpoint.dir``, deleted when the process ends; where that is unset, in a temporary folder, in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
-    fs, p = place(spark, path)
-    fs.mkdirs(p.getParent())
-    fs.deleteOnExit(p)
-    return path
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _OWN:
+        own = f"{root}/fileledger-{uuid.uuid4().hex}"
+        fs, p = place(spark, own)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)  # only of what is there
+        _OWN[key] = own
+    return f"{_OWN[key]}/{name}-{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

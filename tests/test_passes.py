@@ -2,6 +2,9 @@
 
 import json
 import os
+import subprocess
+import sys
+import time
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -300,3 +303,16 @@ def test_codes_on_disk(spark, tmp_path):
     meta = spark.createDataFrame([("a", 16), ("b", 24)], "signal_id string, bits_per_sample int")
     signals_store.write_codes(codes, meta, str(tmp_path / "c"))
     assert {tuple(r) for r in signals_store.read_codes(spark, str(tmp_path / "c")).collect()} == {("a", 0, 5), ("b", 0, 1 << 20)}
+
+
+def test_scratch_tables_go_with_the_process(tmp_path):
+    code = "import os, sys; from fileledger.session import local_session; from fileledger.sources.scratch import saved; s = local_session(1); saved(s.range(3), 't').count(); print('MADE', len([x for x in os.listdir(sys.argv[1] + '/shared') if x.startswith('fileledger-')]))"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_GATEWAY", "SPARK_"))} | {"FILELEDGER_SCRATCH": str(tmp_path), "PYTHONPATH": root}
+    out = subprocess.run([sys.executable, "-c", code, str(tmp_path)], env=env, cwd=root, capture_output=True, text=True, timeout=300)
+    assert "MADE 1" in out.stdout, out.stderr[-2000:]
+    for _ in range(100):
+        if not [x for x in os.listdir(tmp_path / "shared") if x.startswith("fileledger-")]:
+            return
+        time.sleep(0.2)
+    raise AssertionError("the folder is still there")
