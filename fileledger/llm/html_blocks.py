@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import defaultdict
+from functools import lru_cache
 
 #: A comment, a tag with its attributes (a ``>`` in a quoted value doesn't end it), or a declaration.
 _TOKEN = re.compile(
@@ -46,8 +47,8 @@ class Element:
         self.name, self.tokens, self.parent, self.mask = name, tokens, parent, None
         is_block = parent is None or name not in _INLINE
         self.block = self if is_block else parent.block
-        self.inline: Counter | None = None  # of a block element: the inline elements open in it
-        self.inside: Counter | None = None  # of a scope: the elements open in it that a start tag can end
+        self.inline: dict[str, int] | None = None  # of a block element: the inline elements open in it
+        self.inside: dict[str, int] | None = None  # of a scope: the elements open in it that a start tag can end
         self.scope = self if parent is None or name in _SCOPES else parent.scope
 
     def path(self) -> tuple[str, ...]:
@@ -77,7 +78,7 @@ class _Open:
 
     def __init__(self) -> None:
         self.stack = [Element("", (), None)]
-        self.names: Counter = Counter()
+        self.names: dict[str, int] = defaultdict(int)
         self.links = 0
 
     def push(self, name: str, tokens: tuple[str, ...]) -> None:
@@ -87,10 +88,12 @@ class _Open:
         self.names[name] += 1
         self.links += name == "a"
         if node.block is not node:
-            node.block.inline = node.block.inline or Counter()
+            if node.block.inline is None:
+                node.block.inline = defaultdict(int)
             node.block.inline[name] += 1
         elif name in _ENDABLE:
-            top.scope.inside = top.scope.inside or Counter()
+            if top.scope.inside is None:
+                top.scope.inside = defaultdict(int)
             top.scope.inside[name] += 1
 
     def pop(self) -> Element:
@@ -107,7 +110,7 @@ class _Open:
         """An end tag: of a block element up to the last one open, of an inline element only within its block."""
         if name in _INLINE:
             inline = self.stack[-1].block.inline
-            if not inline or not inline[name]:
+            if inline is None or not inline[name]:
                 return
         elif not self.names[name]:
             return
@@ -119,7 +122,8 @@ class _Open:
         names = _ENDED.get(name, ("p",))
         while True:
             scope = self.stack[-1].scope
-            if scope.inside and any(scope.inside[n] for n in names):
+            inside = scope.inside
+            if inside is not None and (inside["p"] if len(names) == 1 else any(inside[n] for n in names)):
                 while self.pop().name not in names:
                     pass
                 if len(names) == 1:
@@ -131,6 +135,12 @@ class _Open:
                 return
 
 
+@lru_cache(maxsize=4096)
+def path_tokens(name: str, attributes: str) -> tuple[str, ...]:
+    """A tag and the words of its class, id and role."""
+    return ("t:" + name, *("c:" + w.lower() for got in _NAMES.findall(attributes) for w in _WORD.findall("".join(got))))
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """The page's blocks that have text; script, style, title, iframe and textarea have none. Null and empty pages have no blocks."""
     out: list[Block] = []
@@ -195,8 +205,7 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         if name not in _INLINE:
             tree.make_room(name)
-        words = [w.lower() for got in _NAMES.findall(attributes) for w in _WORD.findall("".join(got))] if attributes else []
-        tree.push(name, ("t:" + name, *("c:" + w for w in words)))
+        tree.push(name, (path_tokens if len(attributes) < 256 else path_tokens.__wrapped__)(name, attributes))
     if at < len(page):
         add(page[at:])
     close()

@@ -43,6 +43,14 @@ class _Slots(dict):
 _PATH_SLOTS, _WORD_SLOTS = _Slots(PATH_DIMS), _Slots(WORD_DIMS)
 
 
+@lru_cache(maxsize=4096)
+def _bits(tokens: tuple[str, ...]) -> int:
+    out = 0
+    for token in tokens:
+        out |= 1 << _PATH_SLOTS[token]
+    return out
+
+
 def path_mask(element: Element) -> int:
     """The slots of an element's path as bits; each element keeps its own, made from its parent's."""
     todo = []
@@ -52,8 +60,7 @@ def path_mask(element: Element) -> int:
         node = node.parent
     mask = node.mask if node is not None else 0
     for node in reversed(todo):
-        for token in node.tokens:
-            mask |= 1 << _PATH_SLOTS[token]
+        mask |= (_bits if len(node.tokens) < 32 else _bits.__wrapped__)(node.tokens)
         node.mask = mask
     return mask
 
@@ -67,7 +74,7 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     masks, words, measures = [], [], []
     sizes = np.empty(n, np.int64)
     for i, b in enumerate(blocks):
-        masks.append((path_mask(b.element) | 1 << _PATH_SLOTS["l:" + b.leaf]).to_bytes(PATH_DIMS // 8, "little"))
+        masks.append((path_mask(b.element) | _bits(("l:" + b.leaf,))).to_bytes(PATH_DIMS // 8, "little"))
         own = b.text.split(" ")
         sizes[i] = len(own)
         words += [_WORD_SLOTS[w] for w in own]
