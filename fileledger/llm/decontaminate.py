@@ -366,8 +366,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int =
         gone.append(scratch.save(found.select(*(k.alias(f"k{i}") for i, k in enumerate(text_key(F.col("text"))))).distinct(), "gone"))
         shared.destroy()
     own = docs.select(F.struct(*docs.columns).alias("doc"))  # apart from our own names
+    text = F.col("doc.text").cast("string")
+    own = own.select("doc", *(F.when(text.isNotNull(), key).alias(f"t{i}") for i, key in enumerate(text_key(text))))
     for part in gone:
-        k0, k1 = text_key(F.col("doc.text").cast("string"))
-        part = small(part)
-        own = own.join(part, (k0 == part["k0"]) & (k1 == part["k1"]) & F.col("doc.text").isNotNull(), "left_anti")
+        own = own.join(small(part), (F.col("t0") == F.col("k0")) & (F.col("t1") == F.col("k1")), "left_anti")
     return own.select("doc.*")
