@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -143,8 +144,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, **opti
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48, rows: int = 6, miss: float = 1e-7, batch: int = 32, leaders: tuple[int, ...] = (1, 8), block: int = 1024) -> DataFrame:
-    """``base (doc_id long, text string)`` to ``doc_id, t0, t1, n, comp`` of each row: its text's key, its set's size, its component (null without shingles or id)."""
+def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48, rows: int = 6, miss: float = 1e-7, batch: int = 32, leaders: tuple[int, ...] = (1, 8), share: int = 12, block: int = 1024) -> DataFrame:
+    """``base (doc_id long, text string)`` to ``doc_id, t0, t1, n, comp`` of each row: its text's key, its set's size, its component (null without shingles or id).
+
+    Members of a large group share most bands, and so meet the same leader in most of them. Therefore the first leaders
+    meet only one in ``share`` buckets; what they join is left out in all others.
+    """
     spark = base.sparkSession
     scratch = Scratch(spark, "near")
     count = bands * rows
@@ -252,16 +257,22 @@ def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48,
     fits = f"least(n, m.n) * 100 >= {threshold_pct} * greatest(n, m.n) and comp <> m.comp"
     tested: list[DataFrame] = []
     maps: list[DataFrame] = []
-    for turn, count_of in enumerate([*leaders, 0]):
-        split = members.groupBy(F.col("b").alias("lb")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("bulk"), *(F.min_by(F.struct("cid", "n", "comp"), F.struct(F.xxhash64("cid", F.lit(turn * 100 + i)) if turn + i else F.col("cid"), "cid")).alias(f"l{i}") for i in range(count_of))).where("lo < hi")
+    turns = [(leaders[0], share), *((n, 1) for n in leaders)] if leaders else []
+    for turn, (count_of, one_in) in enumerate([*turns, (0, 1)]):
+        chosen = F.pmod("b", F.lit(one_in)) == 0
+        here = members.where(chosen)
+        split = here.groupBy(F.col("b").alias("lb")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("bulk"), *(F.min_by(F.struct("cid", "n", "comp"), F.struct(F.xxhash64("cid", F.lit(turn * 100 + i)) if count_of > 1 else F.col("cid"), "cid")).alias(f"l{i}") for i in range(count_of))).where("lo < hi")
         if count_of:
-            heads = scratch.save(split.select("lb", F.explode(F.array_distinct(F.array(*(f"l{i}" for i in range(count_of))))).alias("m")), "heads")
+            # more leaders than one are for buckets of several blocks; the others meet as a whole in the last turn
+            heads = scratch.save(split.where(F.col("size") > (block if count_of > 1 else 0)).select("lb", F.explode(F.array_distinct(F.array(*(f"l{i}" for i in range(count_of))))).alias("m")), "heads")
             if heads.limit(1).count() == 0:
+                if one_in > 1 or count_of > 1:
+                    continue
                 break
-            pairs = members.join(heads, F.col("b") == F.col("lb")).where(fits + " and cid <> m.cid")
+            pairs = here.join(heads, F.col("b") == F.col("lb")).where(fits + " and cid <> m.cid")
             pairs = pairs.select(F.least("cid", "m.cid").alias("a"), F.greatest("cid", "m.cid").alias("b"), F.when(F.expr("cid < m.cid"), F.col("comp")).otherwise(F.col("m.comp")).alias("ca"), F.when(F.expr("cid < m.cid"), F.col("m.comp")).otherwise(F.col("comp")).alias("cb")).distinct()
-            for old in tested:
-                pairs = pairs.join(old.select("a", "b"), ["a", "b"], "left_anti")
+            if tested:
+                pairs = pairs.join(reduce(DataFrame.unionByName, tested).select("a", "b"), ["a", "b"], "left_anti")
             pairs = scratch.save(pairs, "pairs")
             tested.append(pairs)
             likely = pairs.join(sigs.select(F.col("cid").alias("b"), F.col("sig").alias("sb")), "b").join(sigs.select(F.col("cid").alias("a"), F.col("sig").alias("sa")), "a").mapInArrow(prune, pair_schema)
@@ -289,7 +300,8 @@ def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48,
         if heads is None:
             break
         done = heads.select("lb", F.col("m.cid").alias("lc"))
-        rest = members.join(done, (F.col("b") == F.col("lb")) & (F.col("cid") == F.col("lc")), "left_anti").join(split.select("lb"), F.col("b") == F.col("lb"), "left_semi")
+        rest = here.join(done, (F.col("b") == F.col("lb")) & (F.col("cid") == F.col("lc")), "left_anti").join(split.select("lb"), F.col("b") == F.col("lb"), "left_semi")
+        rest = rest if one_in == 1 else rest.unionByName(members.where(~chosen))
         rest = rest.join(found, F.col("comp") == F.col("node"), "left").select("b", "cid", "n", F.coalesce("component", "comp").alias("comp"))
         rest = scratch.save(rest, "members")
         scratch.drop(members, heads)

@@ -63,7 +63,7 @@ def test_against_brute_force(spark, k):
     rows += [(2000 + i, rows[0][1]) for i in range(20)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows, k)
-    for options in ({}, {"leaders": (), "block": 4}, {"leaders": (1,), "block": 3}):
+    for options in ({}, {"leaders": (), "block": 4}, {"leaders": (1,), "block": 3}, {"share": 1, "block": 3}):
         got = {r.doc_id: r for r in N.near_duplicates(df, k=k, **options).collect()}
         assert {d: r.component_id for d, r in got.items()} == want
         assert all(r.kept == (d == r.component_id) for d, r in got.items())
