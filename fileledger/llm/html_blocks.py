@@ -22,6 +22,7 @@ _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[^\W\d_a-zA-Z]+")
 #: Elements whose content is not markup, each with the form of its end tag.
 _RAW = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE) for name in ("script", "style", "title", "iframe", "textarea")}
+_RAW_NEXT = {name: re.compile(rf"<(/?){name}(?=[\s/>])", re.IGNORECASE) for name in _RAW}
 #: Of these, without an end tag, the rest of the page is theirs; of the others only the start tag goes.
 _TO_THE_END = frozenset(["script", "style"])
 #: Void elements that neither end a block nor add anything to it.
@@ -141,8 +142,17 @@ def path_tokens(name: str, attributes: str) -> tuple[str, ...]:
     return ("t:" + name, *("c:" + w.lower() for got in _NAMES.findall(attributes) for w in _WORD.findall("".join(got))))
 
 
+def _closed(attributes: str) -> bool:
+    """Whether a slash ends a start tag: after white space, a quote or the bare name; else it is an unquoted value's last letter."""
+    return attributes.endswith("/") and (len(attributes) == 1 or attributes[-2] in " \t\n\r\f\"'")
+
+
 def blocks_of(page: str | None) -> list[Block]:
-    """The page's blocks that have text; script, style, title, iframe and textarea have none. Null and empty pages have no blocks."""
+    """The page's blocks that have text; script, style, title, iframe and textarea have none. Null and empty pages have no blocks.
+
+    HTML knows no closed script, XHTML does. A closed start tag of these five is taken as such unless an end tag of its name
+    comes before the next start tag of that name; in that case what lies between is raw.
+    """
     out: list[Block] = []
     tree = _Open()
     pieces: list[str] = []
@@ -190,7 +200,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if ends:
             tree.end(name)
             continue
-        if attributes.endswith("/"):
+        if _closed(attributes) and not (name in _RAW and name not in endless and (then := _RAW_NEXT[name].search(page, at)) and then[1]):
             continue
         if name in _RAW:
             got = None if name in endless else _RAW[name].search(page, at)

@@ -3,7 +3,8 @@
 A page becomes a sequence of leaf blocks. Each block is a vector: its hashed tag path (tags, class, id and role words
 of its ancestors), its hashed words, and a few measures. A bidirectional LSTM in numpy reads the sequence both ways, so
 that every block is labelled with the whole page as context. It is trained here, on pages that a grammar writes with
-known article blocks: a fixed number of pages, ``TRAIN_PAGES``.
+known article blocks: a fixed number of pages, ``TRAIN_PAGES``. Half of these pages have the usual names of containers; in the
+other half containers have random names or there are none, so that words, links, length and neighbours must decide.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ from pyspark.sql import functions as F
 
 from .html_blocks import Block, Element, blocks_of
 
-PATH_DIMS, WORD_DIMS, MEASURES, HIDDEN = 256, 64, 8, 24
+PATH_DIMS, WORD_DIMS, MEASURES, HIDDEN = 512, 128, 11, 24
 DIMS = PATH_DIMS + WORD_DIMS + MEASURES
-TRAIN_PAGES = 1200
+TRAIN_PAGES = 4000
 
 
 class _Slots(dict):
@@ -77,9 +78,11 @@ def vectors(blocks: list[Block]) -> np.ndarray:
         masks.append((path_mask(b.element) | _bits(("l:" + b.leaf,))).to_bytes(PATH_DIMS // 8, "little"))
         own = b.text.split(" ")
         sizes[i] = len(own)
-        words += [_WORD_SLOTS[w] for w in own]
+        words += [_WORD_SLOTS[w] for w in b.text.lower().split(" ")]
         chars = len(b.text)
-        measures.append((chars, min(1.0, b.linked / chars), min(1.0, b.text.count(",") * 10 / chars), b.text[-1] in ".!?", i / n, i + 1 == n, b.leaf in ("h1", "h2", "h3", "h4")))
+        before = blocks[i - 1].element.parent if i else None
+        after = blocks[i + 1].element.parent if i + 1 < n else None
+        measures.append((chars, min(1.0, b.linked / chars), min(1.0, b.text.count(",") * 10 / chars), b.text[-1] in ".!?", i / n, i + 1 == n, b.leaf in ("h1", "h2", "h3", "h4"), i == 0, before is b.element.parent, after is b.element.parent))
     rows = np.arange(n)
     x[:, :PATH_DIMS] = np.unpackbits(np.frombuffer(b"".join(masks), np.uint8).reshape(n, -1), axis=1, bitorder="little")
     counts = np.bincount(np.repeat(rows, sizes) * WORD_DIMS + np.array(words), minlength=n * WORD_DIMS).reshape(n, WORD_DIMS)
@@ -148,7 +151,7 @@ class Labeller:
                 out[i] = y[: len(pages[i]), j]
         return out
 
-    def train(self, pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 7, batch: int = 32, rate: float = 8e-3, seed: int = 3) -> None:
+    def train(self, pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 5, batch: int = 32, rate: float = 8e-3, seed: int = 3) -> None:
         """Adam on the mean log loss of blocks, through time."""
         rng, h = np.random.default_rng(seed), HIDDEN
         m, v, t = {k: np.zeros_like(x) for k, x in self.p.items()}, {k: np.zeros_like(x) for k, x in self.p.items()}, 0
@@ -158,6 +161,9 @@ class Labeller:
             for at in starts:
                 group = order[at : at + batch]
                 x, mask = self._pad([pages[i] for i in group])
+                # half of the blocks show no words and a quarter of the pages no path, so that none of them is leaned on alone
+                x[:, :, PATH_DIMS : PATH_DIMS + WORD_DIMS] *= rng.random((*x.shape[:2], 1)) < 0.5
+                x[:, :, :PATH_DIMS] *= rng.random((1, x.shape[1], 1)) < 0.75
                 y = self._pad([labels[i][:, None] for i in group])[0][:, :, 0]
                 p, grad = self.p, {}
                 g = x @ p["w"] + p["b"]
@@ -210,16 +216,32 @@ REST = {
     "footer": ["footer", "footer", "footer", "div.footer", "div#footer", "footer.site-footer", "div.copyright", "div.legal", "div.bottom", "section.footer"],
 }
 _SYLLABLES = "an ba ce di en fo gu ha in ko le mi na or pu qua re sa ti un ver wi xa ye zo the ing tion heit que ción eau ß é ñ".split()
+_COMMON = "the of and to in is that it was for on as with he his at by be this from or had not are but she which you all her an they were when we there can more der die und das ist nicht mit von auf ein eine sich le la les des est dans pour que qui sur pas el los las por con una para".split()
+#: What stands in such parts on most sites, where no name tells them.
+CUES = {
+    "menu": ["Home", "News", "About", "About us", "Contact", "Products", "Services", "Blog", "Sport", "Start", "Login", "Archive", "Events", "Support", "Shop", "Help", "Menu", "Skip to content", "Next", "Previous", "Back"],
+    "header": ["Welcome to", "Menu", "The daily", "Search", "Sign in", "Log in", "Subscribe"],
+    "advert": ["Advertisement", "Sponsored", "Anzeige", "Publicité", "Advert", "Ad:", "Buy now", "Special offer", "Order today", "Save 20% today"],
+    "notice": ["We use cookies", "This site uses cookies to improve your experience.", "By using this site you accept cookies.", "Accept all cookies", "Cookie settings", "JavaScript is disabled in your browser.", "Please enable JavaScript."],
+    "sidebar": ["Related articles", "Related", "Popular posts", "Most read", "See also", "Trending", "Recent posts", "You may also like", "Tags", "Categories", "More stories", "Recommended"],
+    "form": ["Subscribe to our newsletter", "Email", "Your email address", "Password", "Username", "Search", "Submit", "Send", "Sign up", "Name"],
+    "comments": ["Comments", "Leave a reply", "Reader comments", "3 comments", "Responses", "Discussion"],
+    "share": ["Share", "Share this", "Tweet", "Share on Facebook", "Follow us", "Email this", "Print", "WhatsApp", "Pin it"],
+    "footer": ["©", "Copyright", "All rights reserved.", "Privacy policy", "Terms of use", "Imprint", "Impressum", "Contact us", "Sitemap", "Powered by"],
+}
 
 
-def write_page(rng: random.Random) -> tuple[str, set[str]]:
-    """A page and the texts of its article's blocks."""
+def write_page(rng: random.Random, named: bool = True) -> tuple[str, set[str]]:
+    """A page and the texts of its article's blocks. Without ``named``, no name tells what a container holds: it has a random one or none, or pages are tables or bare blocks."""
     main: set[str] = set()
     odd = rng.random() < 0.2
+    natural = rng.random() < 0.6
 
     def words(low: int, high: int) -> str:
         n = rng.randint(low, high)
-        made = ["".join(rng.choice(_SYLLABLES) for _ in range(rng.randint(1, 4))) for _ in range(n)]
+        made = [rng.choice(_COMMON) if natural and rng.random() < 0.45 else "".join(rng.choice(_SYLLABLES) for _ in range(rng.randint(1, 4))) for _ in range(n)]
+        if n > 8 and rng.random() < 0.3:  # such words stand in articles too
+            made[rng.randrange(n)] = rng.choice(CUES[rng.choice(list(CUES))]).lower()
         if odd:
             made = [w.upper() + "!!" if n % 2 else w + rng.choice(["", "%%%", "***", " |"]) for w in made]
         made[0] = made[0].capitalize()
@@ -228,15 +250,62 @@ def write_page(rng: random.Random) -> tuple[str, set[str]]:
     def text() -> str:
         return words(*rng.choice([(1, 3), (3, 9), (8, 30), (20, 80)]))
 
+    def random_name() -> str:
+        letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 6)))
+        return rng.choice([f"css-{letters}{rng.randint(0, 99)}", letters, f"{letters[:2]}_{letters}", f"sc-{letters}", f"x{rng.randint(0, 999)}{letters}"])
+
+    def tag(name: str, attribute: str, inner: str) -> str:
+        extra = rng.choice(["", "", "", ' data-x="1"', ' style="margin:0"'])
+        return f"<{name}{attribute}{extra}>{inner}</{name}>"
+
+    def nameless(inner: str) -> str:
+        for _ in range(rng.choice([1, 1, 2, 3])):
+            attribute = rng.choice(["", f' class="{random_name()}"', f" class={random_name()}", f' id="{random_name()}"', f' class="{random_name()} {random_name()}"'])
+            inner = tag(rng.choice(["div", "div", "div", "section"]), attribute, inner)
+        return inner
+
     def wrap(kind: str, inner: str) -> str:
+        if not named:
+            return nameless(inner)
         for part in reversed(kind.split()):
             name = part.replace("#", ".").split(".")
-            attribute = f' {"id" if "#" in part else "class"}="{name[1]}"' if len(name) > 1 else ""
-            extra = rng.choice(["", "", "", ' data-x="1"', ' style="margin:0"'])
-            inner = f"<{name[0]}{attribute}{extra}>{inner}</{name[0]}>"
+            inner = tag(name[0], f' {"id" if "#" in part else "class"}="{name[1]}"' if len(name) > 1 else "", inner)
         return inner
 
+    def links(kind: str, most: int) -> list[str]:
+        return [f'<a href="/{i}">{rng.choice(CUES[kind]) if rng.random() < 0.6 else words(1, 3)}</a>' for i in range(rng.randint(1, most))]
+
+    def listed(items: list[str]) -> str:
+        way = rng.choice(["ul", "ul", "ul", "bar", "space", "div", "p"])
+        if way == "ul":
+            return "<ul>" + "".join(f"<li>{i}</li>" for i in items) + "</ul>"
+        return {"bar": " | ", "space": " "}[way].join(items) if way in ("bar", "space") else "".join(f"<{way}>{i}</{way}>" for i in items)
+
+    def told(kind: str) -> str:
+        """A part that its words and links tell."""
+        cue = rng.choice(CUES[kind])
+        if kind in ("menu", "share"):
+            return listed(links(kind, 7))
+        if kind == "header":
+            return rng.choice([f'<a href="/">{words(1, 2)}</a>', f"<h1><a href=/>{words(1, 3)}</a></h1>", f"<span>{cue}</span> <a href=/>{words(1, 2)}</a>", f'<a href="/"><b>{words(1, 2)}</b></a><p><a href=/x>{cue}</a></p>'])
+        if kind == "advert":
+            return rng.choice([f"{cue} {words(2, 12)}", f"<p>{cue}</p>", f'<a href="/x">{cue} {words(2, 8)}</a>', f"<p>{cue}: {words(2, 12)} <a href=/x>{words(1, 2)}</a></p>"])
+        if kind == "notice":
+            return rng.choice([f"{cue}", f"<p>{cue} {words(2, 8)}</p>", f"<p>{cue} <a href=/p>{words(1, 2)}</a></p><button>{rng.choice(['OK', 'Accept', 'Got it', 'Close'])}</button>"])
+        if kind == "sidebar":
+            return f"<{(h := rng.choice(['h2', 'h3', 'h4', 'b']))}>{cue}</{h}>" + listed([f'<a href="/{i}">{words(2, 8)}</a>' for i in range(rng.randint(1, 6))])
+        if kind == "form":
+            return f"<form><label>{cue}</label> <input name=q><button>{rng.choice(CUES['form'])}</button></form>"
+        if kind == "comments":
+            said = "".join(f"<{(d := rng.choice(['div', 'li', 'p']))}>{rng.choice(['Anna', 'Tom', 'guest', 'reader', words(1, 1)])} {rng.choice(['says:', 'wrote', 'on 3 May', '2 days ago'])} {text()} <a href=#>Reply</a></{d}>" for _ in range(rng.randint(1, 4)))
+            return f"<h3>{cue}</h3>{said}"
+        line = [cue, rng.choice(["2024", "2019", ""]), words(1, 4), *links("footer", 3)]
+        rng.shuffle(line)
+        return rng.choice(["<p>{}</p>", "{}", "<small>{}</small>"]).format(rng.choice([" ", " | ", " &middot; "]).join(["&copy; " * (rng.random() < 0.7), *line]))
+
     def rest(kind: str) -> str:
+        if not named or rng.random() < 0.2:
+            return wrap(rng.choice(REST[kind]), told(kind))
         parts = []
         for _ in range(rng.randint(1, 4)):
             shape = rng.choice(["list", "plain", "p", "div", "head", "span"]) if kind != "menu" else rng.choice(["list", "list", "inline"])
@@ -247,16 +316,20 @@ def write_page(rng: random.Random) -> tuple[str, set[str]]:
         lead = {"footer": "&copy; ", "notice": rng.choice(["Cookies ", ""])}.get(kind, "")
         return wrap(rng.choice(REST[kind]), lead + "".join(parts))
 
-    def own(low: int = 1, high: int = 1) -> str:
+    def own() -> str:
         body = text()
         main.add(" ".join(body.split()))
         return body
 
     def block() -> str:
-        shape = rng.choice(["p"] * 9 + ["open", "list", "quote", "h2", "div", "table", "br", "pre", "b", "figure", "dl"])
+        shape = rng.choice(["p"] * 9 + ["open", "list", *([] if named else ["list", "list", "h2"]), "quote", "h2", "div", "table", "grid", "br", "pre", "b", "figure", "dl"])
         if shape == "list":
-            tag = rng.choice(["ul", "ol"])
-            return f"<{tag}>" + "".join(f"<li>{own()}</li>" for _ in range(rng.randint(1, 5))) + f"</{tag}>"
+            kind = rng.choice(["ul", "ol"])
+            return f"<{kind}>" + "".join(f"<li>{own()}</li>" for _ in range(rng.randint(1, 5))) + f"</{kind}>"
+        if shape == "grid":
+            wide = rng.randint(1, 3)
+            rows = [f"<tr>{''.join(f'<th>{own()}</th>' for _ in range(wide))}</tr>"] + [f"<tr>{''.join(f'<td>{own()}</td>' for _ in range(wide))}</tr>" for _ in range(rng.randint(0, 3))]
+            return f"<table>{''.join(rows)}</table>"
         body = own()
         if shape == "p" and rng.random() < 0.2:
             first, _, more = body.partition(" ")
@@ -264,18 +337,33 @@ def write_page(rng: random.Random) -> tuple[str, set[str]]:
         return {"p": f"<p>{body}</p>", "open": f"<p>{body}", "quote": f"<blockquote><p>{body}</p></blockquote>", "h2": f"<h2>{body}</h2>", "div": f"<div>{body}</div>", "table": f"<table><tr><td>{body}</td></tr></table>", "br": f"<p>{body}<br>", "pre": f"<pre>{body}</pre>", "b": f"<p><b>{body}<br>", "figure": f"<figure><figcaption>{body}</figcaption></figure>", "dl": f"<dl><dd>{body}</dd></dl>"}[shape]
 
     article = [f"<h1>{own()}</h1>"] if rng.random() < 0.8 else []
-    for _ in range(rng.choice([1, 1, 2, 4, 7, 12, 20])):
+    for _ in range(rng.choice([1, 1, 2, 4, 7, 12, 20] if named else [1, 2, 4, 6, 9, 12, 20])):
         article.append(block())
         if rng.random() < 0.07:
             article.append(rest(rng.choice(["advert", "share", "sidebar", "form", "menu", "notice"])))
     if rng.random() < 0.12:
         article.append(rest(rng.choice(["comments", "footer", "share"])))
-    core = wrap(rng.choice(MAIN), "".join(article))
-    if rng.random() < 0.35:
+    inner = "".join(article)
+    bare = not named and rng.random() < 0.35
+    if bare and rng.random() < 0.2:  # text without any element
+        main.clear()
+        inner = own()
+    core = inner if bare else wrap(rng.choice(MAIN), inner)
+    if rng.random() < 0.35 and not bare:
         core = wrap(rng.choice(["div.wrapper", "div.container", "div.page", "div#root", "div.row div.col", "section"]), core)
-    before = "".join(rest(k) for k in ("header", "menu", "notice", "advert", "sidebar", "form") if rng.random() < 0.45)
-    after = "".join(rest(k) for k in ("advert", "share", "comments", "sidebar", "menu", "form", "notice", "footer") if rng.random() < 0.4)
-    return f'<!DOCTYPE html><html lang="en"><head><title>{words(2, 6)}</title><style>p{{margin:0}}</style></head><body>{before}<!-- x -->{core}{after}</body></html>', main
+    first = [rest(k) for k in ("header", "menu", "notice", "advert", "sidebar", "form") if rng.random() < (0.45 if named else 0.3)]
+    last = [rest(k) for k in ("advert", "share", "comments", "sidebar", "menu", "form", "notice", "footer") if rng.random() < (0.4 if named else 0.25)]
+    if not named and rng.random() < 0.3:
+        last = []
+    if not named and rng.random() < 0.25:  # a page laid out as a table
+        columns = [f"<td>{''.join(first[-1:])}</td>" if first else "", f"<td>{core}</td>", f"<td>{last[0]}</td>" if last else ""]
+        rows = [f"<tr><td>{x}</td></tr>" for x in first[:-1]] + [f"<tr>{''.join(columns)}</tr>"] + [f"<tr><td>{x}</td></tr>" for x in last[1:]]
+        page = f"<table{rng.choice(['', ' width=100%', ' border=0'])}>{''.join(rows)}</table>"
+    else:
+        page = f"{''.join(first)}<!-- x -->{core}{''.join(last)}"
+    if not named and rng.random() < 0.2:
+        return page, main
+    return f'<!DOCTYPE html><html lang="en"><head><title>{words(2, 6)}</title><style>p{{margin:0}}</style></head><body>{page}</body></html>', main
 
 
 @lru_cache(maxsize=2)
@@ -283,8 +371,8 @@ def trained(pages: int = TRAIN_PAGES, seed: int = 17) -> Labeller:
     """The labeller after training on ``pages`` written pages; always the same for the same numbers."""
     rng = random.Random(seed)
     xs, ys = [], []
-    for _ in range(pages):
-        page, main = write_page(rng)
+    for i in range(pages):
+        page, main = write_page(rng, named=i % 2 == 0)
         if blocks := blocks_of(page):
             xs.append(vectors(blocks))
             ys.append(np.array([b.text in main for b in blocks], np.float32))

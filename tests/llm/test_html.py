@@ -139,3 +139,111 @@ def test_odd_rows(spark):
     assert len(rows) == 5 and [r.text for r in rows if r.page_id in (None, 1, 3)] == ["", "", ""]
     assert {r.n_chars for r in rows if r.page_id == 2} == {5000 * 5 - 1}
     assert H.extract_main(df.limit(0)).count() == 0
+
+
+P = "The council met on Monday and agreed on the plan for the old harbour, which opens again in spring."
+Q = "After a long debate the members voted for the cheaper of two plans, and work begins in the autumn."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<p>{P}</p><p>{Q}</p>", [P, Q]),
+    (f"<html><body><div class=css-1x2y><h1>Harbour plan</h1><p>{P}</p><p>{Q}</p><ul><li>{P}</li><li>A second point</li></ul></div></body></html>", ["Harbour plan", P, Q, P, "A second point"]),
+    (f"<table><tr><td><a href=/>Home</a> <a href=/n>News</a></td><td><h1>Harbour plan</h1><p>{P}</p><p>{Q}</p></td></tr></table>", ["Harbour plan", P, Q]),
+    (f"<main><h1>Numbers</h1><table><tr><th>Year</th><th>Ships</th></tr><tr><td>2001</td><td>17</td></tr></table><p>{P}</p></main>", ["Numbers", "Year", "Ships", "2001", "17", P]),
+    (f"<article><p>{P}</p><script src=/x/>var x=1;</script><p>{Q}</p><style media=print/>p{{}}</style></article>", [P, Q]),
+    (f"<div><a href=/>Home</a> | <a href=/n>News</a></div><div><h2>Harbour</h2><p>{P}</p><p>{Q}</p></div><div>&copy; 2024 Harbour Times. All rights reserved.</div>", ["Harbour", P, Q]),
+])
+def test_pages_without_known_containers(page, want):
+    assert H.main_texts([page], H.trained())[0].split("\n") == want
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<p>a</p><script src=/x/>var x=1;</script><p>b</p>", ["a", "b"]),
+    ("<p>a</p><style media=print/>p{}</style><p>b</p>", ["a", "b"]),
+    ('<script src="x"/>var x=1;</script><p>b</p>', ["b"]),
+    ('<script src="x"/><p>a</p><script>var x;</script><p>b</p>', ["a", "b"]),
+    ("<div class=a/><p>b</p></div>c", ["b", "c"]),
+    ("<a href=/x/>link</a> more", ["link more"]),
+])
+def test_a_slash_at_the_end_of_an_unquoted_value_closes_nothing(page, want):
+    assert texts(page) == want
+
+
+def other_page(rng):
+    """Pages of another kind than the training's: real words, framework class names, and parts in other places."""
+    nouns = "river town garden council harbour engine school market winter letter painter bridge island doctor railway forest".split()
+    verbs = "opens closes follows reaches leaves crosses builds remembers carries watches".split()
+
+    def sentence():
+        return f"The {rng.choice(nouns)} {rng.choice(verbs)} the {rng.choice(['old', 'new', 'quiet', 'second'])} {rng.choice(nouns)} {rng.choice(['in the morning', 'near the border', 'after many years', 'for the first time'])}."
+
+    def name():
+        return rng.choice(["{}{}", "{}-{}", "{}__{}"]).format(rng.choice(["jss", "sc", "css", "MuiBox", "e1", "tw", "k"]), rng.randint(10, 9999))
+
+    def box(inner, depth=2):
+        for _ in range(rng.randint(1, depth)):
+            inner = f'<div class="{name()}">{inner}</div>'
+        return inner
+
+    main = []
+
+    def own(text):
+        main.append(text)
+        return text
+
+    parts = [f"<h1>{own(' '.join(rng.sample(nouns, 3)).capitalize())}</h1>"]
+    for _ in range(rng.randint(3, 9)):
+        way = rng.random()
+        body = " ".join(sentence() for _ in range(rng.randint(1, 5)))
+        if way < 0.75:
+            parts.append(f"<p>{own(body)}</p>")
+        elif way < 0.85:
+            parts.append(f"<h2>{own(' '.join(rng.sample(nouns, 2)).capitalize())}</h2><p>{own(body)}</p>")
+        else:
+            parts.append("<ul>" + "".join(f"<li>{own(sentence())}</li>" for _ in range(3)) + "</ul>")
+    menu = "".join(f"<li><a href=/{i}>{w}</a></li>" for i, w in enumerate(rng.sample(["Home", "News", "Sport", "About us", "Contact", "Shop", "Archive"], 4)))
+    before = box(f"<ul>{menu}</ul>") if rng.random() < 0.8 else ""
+    if rng.random() < 0.4:
+        before += box("We use cookies to make this site better. <a href=/c>More</a> <button>Accept</button>")
+    after = box("<h3>Related articles</h3><ul>" + "".join(f"<li><a href=/r{i}>{' '.join(rng.sample(nouns, 3))}</a></li>" for i in range(4)) + "</ul>") if rng.random() < 0.6 else ""
+    after += box(f"<p>&copy; 2023 The {rng.choice(nouns)} company. All rights reserved. <a href=/p>Privacy policy</a></p>") if rng.random() < 0.8 else ""
+    return f"<html><head><title>x</title></head><body>{box(before + box(''.join(parts)) + after, 3)}</body></html>", set(main)
+
+
+def test_pages_of_another_writer_with_random_names():
+    rng, right, total, whole = random.Random(99), 0, 0, 0
+    labeller = H.trained()
+    for _ in range(200):
+        page, main = other_page(rng)
+        blocks = blocks_of(page)
+        chance = labeller.probabilities([H.vectors(blocks)])[0]
+        good = [(c >= 0.5) == (b.text in main) for b, c in zip(blocks, chance)]
+        right, total, whole = right + sum(good), total + len(good), whole + all(good)
+    print(right / total, whole)
+    assert right / total > 0.97
+
+
+def plain_forward(labeller, x):
+    """One page, one block after another, without padding or groups."""
+    h, p = H.HIDDEN, {k: v.astype(float) for k, v in labeller.p.items()}
+    sig = lambda z: 1 / (1 + np.exp(-z))
+    out = np.zeros((len(x), 2 * h))
+    for side in (0, 1):
+        hidden, cell = np.zeros(h), np.zeros(h)
+        for t in range(len(x))[:: -1 if side else 1]:
+            z = x[t] @ p["w"][:, side * 4 * h : (side + 1) * 4 * h] + p["b"][side * 4 * h : (side + 1) * 4 * h] + hidden @ p["u"][side]
+            i, f, o, a = sig(z[:h]), sig(z[h : 2 * h]), sig(z[2 * h : 3 * h]), np.tanh(z[3 * h :])
+            cell = f * cell + i * a
+            hidden = o * np.tanh(cell)
+            out[t, side * h : (side + 1) * h] = hidden
+    return sig(out @ p["o"] + p["c"])
+
+
+def test_query_against_plain_forward_pass(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    labeller = H.trained()
+    got = {r.page_id: r.text for r in H.extract_main(pages).collect()}
+    for r in pages.limit(60).collect():
+        blocks = blocks_of(r.html)
+        chance = plain_forward(labeller, H.vectors(blocks).astype(float)) if blocks else []
+        assert got[r.page_id] == "\n".join(b.text for b, c in zip(blocks, chance) if c >= 0.5)
