@@ -2,10 +2,9 @@
 
 Terms are counted in each task first, then by two aggregations. Within a language, a term's row is its path: the sources
 in which it occurs, in order, each with its smoothed share there. Equal paths become one with a multiplicity. Sorted
-paths are the tree in depth-first order, so a task walks it with the open branch on a stack: a node's multiplicity is
-that of all paths through it, and when the branch leaves the node, its corrections against all its ancestors are added
-once. The rest of a pair's sum needs no tree: what all terms would add if they occurred in neither source, and
-what each source's own terms change in that.
+paths are the tree in depth-first order: neighbours that agree up to a depth share the node there, its multiplicity is that
+of all paths through it, and its corrections against all its ancestors are added once. The rest of a pair's sum needs no
+tree: what all terms would add if they occurred in neither source, and what each source's own terms change in that.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from .common import Scratch, small, strings
 #: ASCII letters in lower case, bytes of other characters as they are, everything else a space.
 _TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: A task hands on its counts once it holds so many.
-HELD = 200_000
+HELD = 400_000
 #: Longer texts are counted piece by piece.
 PIECE = 1 << 22
 SCALE = 1_000_000_000
@@ -51,7 +50,7 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen, terms = docs[lang, source], list(counts)
             for i in range(0, len(terms), 20_000):
                 part = terms[i : i + 20_000]
-                columns = [pa.array([lang] * len(part)), pa.array([source] * len(part)), pa.array(part, pa.binary()).cast(pa.string()), pa.array([counts[t] for t in part], pa.int64()), pa.array([seen[t] for t in part], pa.int64())]
+                columns = [pa.array([lang] * len(part), pa.string()), pa.array([source] * len(part), pa.string()), pa.array(part, pa.binary()).cast(pa.string()), pa.array([counts[t] for t in part], pa.int64()), pa.array([seen[t] for t in part], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
         n.clear()
         docs.clear()
@@ -75,63 +74,41 @@ def share(count: Column, n: Column, v: Column) -> Column:
 
 
 def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted ``lang, path, m`` to this task's sums ``lang, a, b, fix`` over the nodes ``b`` and their ancestors ``a``."""
-    sums: dict[tuple[str, str], np.ndarray] = {}  # by language and the node's source: one sum for each source before it
-    names: dict[str, dict[str, int]] = defaultdict(dict)  # a language's sources, numbered as they come
-    lang: str | None = None
-    branch: list[tuple] = []  # (source, p, z) of the open branch, root first
-    through: list[int] = []  # paths through each of its nodes so far
-
-    def close(depth: int) -> None:
-        """Leave the nodes of the open branch from this depth on."""
-        if len(branch) == depth:
-            return
-        numbers = names[lang]
-        at = np.array([numbers.setdefault(s, len(numbers)) for s, _, _ in branch], np.int64)
-        ps, zs = np.array([p for _, p, _ in branch], np.int64), np.array([z for _, _, z in branch], np.int64)
-        while len(branch) > depth:
-            source, p, z = branch.pop()
-            m, k = through.pop(), len(branch)
-            if not k:
-                continue
-            through[-1] += m
-            total = sums.get((lang, source))
-            if total is None or len(total) < len(numbers):
-                grown = np.zeros(2 * len(numbers), np.int64)
-                if total is not None:
-                    grown[: len(total)] = total
-                total = sums[lang, source] = grown
-            x, y = ps[:k], zs[:k]
-            total[at[:k]] += m * (np.abs(x - p) - np.abs(x - z) - np.abs(y - p) + np.abs(y - z))  # a branch holds a source once
-
-    def done() -> Iterator[pa.RecordBatch]:
-        for (own, source), total in sums.items():
-            by_number = list(names[own])
-            hit = np.flatnonzero(total)
-            columns = [pa.array([own] * len(hit)), pa.array([by_number[i] for i in hit.tolist()], pa.string()), pa.array([source] * len(hit), pa.string()), pa.array(total[hit])]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "a", "b", "fix"])
-        sums.clear()
-        names.clear()
+    """Sorted ``lang, path, m`` to sums ``lang, a, b, fix`` over the nodes ``b`` of each batch's tree and their ancestors ``a``.
 
+    Rows in order share a node of depth ``d`` as long as they agree up to it, so all nodes of a depth, their multiplicities and
+    their ancestors are found for a whole batch at once. A node that spans batches counts in each with the paths it has there.
+    """
     for batch in batches:
-        for own, path, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            nodes = [(e["source"], e["p"], e["z"]) for e in path]
-            common = 0
-            if own == lang:
-                for x, y in zip(branch, nodes, strict=False):
-                    if x != y:
-                        break
-                    common += 1
-            close(common)
-            if own != lang:
-                if sum(map(len, sums.values())) > HELD:
-                    yield from done()
-                lang = own
-            branch += nodes[common:]
-            through += [0] * (len(nodes) - common)
-            through[-1] += m
-    close(0)
-    yield from done()
+        paths = batch.column(1)
+        nodes, length = paths.flatten(), np.diff(paths.offsets.to_numpy())
+        at = np.concatenate(([0], np.cumsum(length)))
+        if not len(nodes):
+            continue
+        names, langs = nodes.field("source").dictionary_encode(), batch.column(0).dictionary_encode()
+        source, p, z = names.indices.to_numpy().astype(np.int64), *(nodes.field(i).to_numpy(zero_copy_only=False) for i in ("p", "z"))
+        lang = langs.indices.to_numpy().astype(np.int64)
+        through = np.concatenate(([0], np.cumsum(batch.column(2).to_numpy())))
+        k = len(names.dictionary)
+        total = np.zeros(len(langs.dictionary) * k * k, np.int64)
+        same = np.concatenate(([False], lang[1:] == lang[:-1]))  # the row goes through the same node as the one before
+        for depth in range(int(length.max())):
+            deep = length > depth
+            same &= deep & np.concatenate(([False], deep[:-1]))
+            i = np.flatnonzero(same)
+            x, y = at[i] + depth, at[i - 1] + depth
+            same[i] = (source[x] == source[y]) & (p[x] == p[y]) & (z[x] == z[y])
+            edges = np.append(np.flatnonzero(~same), len(same))
+            first = edges[:-1]
+            here = deep[first]
+            first, last = first[here], edges[1:][here]
+            m, b = through[last] - through[first], at[first] + depth
+            for up in range(depth):
+                a = at[first] + up
+                fix = m * (np.abs(p[a] - p[b]) - np.abs(p[a] - z[b]) - np.abs(p[b] - z[a]) + np.abs(z[a] - z[b]))
+                np.add.at(total, (lang[first] * k + source[a]) * k + source[b], fix)
+        hit = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(hit // (k * k))), names.dictionary.take(pa.array(hit // k % k)), names.dictionary.take(pa.array(hit % k)), pa.array(total[hit])], names=["lang", "a", "b", "fix"])
 
 
 def source_divergence(docs: DataFrame, least_docs: int = 30, top: int = 50) -> DataFrame:

@@ -338,7 +338,7 @@ def learn(docs: DataFrame, per_lang: int = 400, span: int = 200, lexicon: int =
         weights, moves = train(streams, shares, int(group.part.iloc[0]), steps, penalty)
         return pd.DataFrame({"weights": [weights.astype(np.float32).tobytes()], "moves": [moves.astype(np.float64).tobytes()]})
 
-    fitted = dealt.groupBy("part").applyInPandas(fit, "weights binary, moves binary").collect()  # one row for each part
+    fitted = dealt.repartition(4 * parts, "part").groupBy("part").applyInPandas(fit, "weights binary, moves binary").collect()  # one row for each part
     k = len(langs)
     weights = np.mean([np.frombuffer(r.weights, np.float32).reshape(SLOTS, k) for r in fitted], axis=0)
     moves = np.mean([np.frombuffer(r.moves, np.float64).reshape(k, k) for r in fitted], axis=0)
