@@ -2,9 +2,11 @@
 
 Texts with equal shingle sets form one class, and only class representatives go on. Banded MinHash keys give
 buckets. Within a bucket a few leaders are compared with the members of other components first, links join
-components, and a bucket whose members are in one component is done. What is left of a bucket is dealt to blocks of
-bounded size, and each two blocks meet in one group of rows, where only pairs of different components are compared,
-each in the first band that it shares; of these, too, no pair becomes a row.
+components, and a bucket whose members are in one component is done. Small buckets that are left are compared pair by
+pair, in the first band that a pair shares. Texts of larger ones, which share a template more often than they are copies,
+meet by their rarest shingles instead: two sets that reach the threshold share a shingle among the first of both
+in an order from rare to frequent, at places early enough for the overlap that is needed. Buckets of any kind that pass a bound are dealt to
+blocks, and each two blocks meet in one group of rows.
 Candidate pairs pass a size test, then a comparison of their signatures batch by batch which drops a pair once the
 posterior probability that its similarity reaches the threshold is below ``miss``; survivors are confirmed on their
 full shingle sets.
@@ -106,8 +108,31 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         yield rest, [0, rest.num_rows]
 
 
-def block_pairs(n: np.ndarray, comp: np.ndarray, slot: np.ndarray, sigs: np.ndarray, across: bool, floors: list[int], batch: int, threshold_pct: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of one group of rows, the places of the pairs of different components that may reach the threshold; with ``across`` only pairs of different slots."""
+#: Counters of shingles by a part of their hash; they only make the order of shingles, whose every choice is exact.
+RARITY_SLOTS = 1 << 20
+
+
+def first_shingles(hashes: np.ndarray, counts: np.ndarray, threshold_pct: int) -> np.ndarray:
+    """The shingles of a set, rare ones first, of which one at least is shared with any set that reaches the threshold."""
+    order = np.lexsort((hashes, counts[hashes & np.uint64(RARITY_SLOTS - 1)]))
+    return hashes[order[: len(hashes) - -(-threshold_pct * len(hashes) // 100) + 1]]
+
+
+def early_enough(n: np.ndarray, pos: np.ndarray, rank: np.ndarray, rows: slice, at: int, threshold_pct: int) -> np.ndarray:
+    """Which pairs (``rows`` x from ``at`` on) of sets with a common shingle at these places may have it as their first one.
+
+    The smaller set of a pair (by size, then ``rank``) has it among ``n - ceil(2 t n / (1 + t)) + 1`` first ones, as its partner is no
+    smaller; and what follows in both must be enough for the overlap ``t (n + m) / (1 + t)``.
+    """
+    leads = pos < n - -(-2 * threshold_pct * n // (100 + threshold_pct)) + 1
+    left, right, x, y = n[rows, None], n[None, at:], rank[rows, None], rank[None, at:]
+    ok = np.where((left < right) | ((left == right) & (x < y)), leads[rows, None], leads[None, at:])
+    rest = n - pos
+    return ok & ((100 + threshold_pct) * np.minimum(rest[rows, None], rest[None, at:]) >= threshold_pct * (left + right))
+
+
+def block_pairs(n: np.ndarray, comp: np.ndarray, slot: np.ndarray, sigs: np.ndarray, across: bool, floors: list[int], batch: int, threshold_pct: int, places: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Of one group of rows, the places of the pairs of different components that may reach the threshold; with ``across`` only pairs of different slots, with ``places`` (of the common shingle, and ids) only early ones."""
     size, kept = len(n), [(np.empty(0, np.int64), np.empty(0, np.int64))]
     for at in range(0, size, 128):  # a strip of the matrix of pairs at a time
         rows = slice(at, min(size, at + 128))
@@ -115,6 +140,8 @@ def block_pairs(n: np.ndarray, comp: np.ndarray, slot: np.ndarray, sigs: np.ndar
         may &= 100 * np.minimum(n[rows, None], n[None, at:]) >= threshold_pct * np.maximum(n[rows, None], n[None, at:])
         if across:
             may &= slot[rows, None] != slot[None, at:]
+        if places is not None:
+            may &= early_enough(n, *places, rows, at, threshold_pct)
         left, right = np.nonzero(np.triu(may, 1))
         left, right = left + at, right + at
         for k in range(0, len(left), 8192):
@@ -144,7 +171,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold_pct: int = 80, **opti
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48, rows: int = 6, miss: float = 1e-7, batch: int = 32, leaders: tuple[int, ...] = (1, 8), share: int = 12, block: int = 1024) -> DataFrame:
+def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48, rows: int = 6, miss: float = 1e-7, batch: int = 32, leaders: tuple[int, ...] = (1, 8), share: int = 12, block: int = 1024, dense: int = 64) -> DataFrame:
     """``base (doc_id long, text string)`` to ``doc_id, t0, t1, n, comp`` of each row: its text's key, its set's size, its component (null without shingles or id).
 
     Members of a large group share most bands, and so meet the same leader in most of them. Therefore the first leaders
@@ -226,6 +253,77 @@ def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48,
             offsets = np.concatenate(([0], np.cumsum([len(p) for p in partners]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*(pa.array(c[places]) for c in (b, i, j, cid, comp)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(partners) if partners else np.empty(0, np.int64)))], names=[*group, "cid", "comp", "partners"])
 
+    def compare_early(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Likely pairs among the rows that share an early shingle."""
+        for rows, cuts in whole_groups(batches, group):
+            i, j, slot, cid, n, comp, pos = (rows.column(c).to_numpy() for c in ("i", "j", "slot", "cid", "n", "comp", "pos"))
+            sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(i), count)
+            found = [np.empty((4, 0), np.int64)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                x, y = block_pairs(n[lo:hi], comp[lo:hi], slot[lo:hi], sig[lo:hi], bool(i[lo] != j[lo]), floors, batch, threshold_pct, (pos[lo:hi], cid[lo:hi]))
+                x, y = x + lo, y + lo
+                swap = cid[x] > cid[y]
+                x, y = np.where(swap, y, x), np.where(swap, x, y)
+                found.append(np.stack((cid[x], cid[y], comp[x], comp[y])))
+            pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs[:, pairs[0] != pairs[1]]], names=["a", "b", "ca", "cb"])
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many texts of this task have shingles of each counter."""
+        counts = np.zeros(RARITY_SLOTS, np.int64)
+        for part in batches:
+            for text in strings(part.column(0)):
+                np.add.at(counts, shingles(text, k_words) & np.uint64(RARITY_SLOTS - 1), 1)
+        full = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array(counts[full])], names=["at", "n"])
+
+    def by_early_shingles(some: DataFrame) -> DataFrame:
+        """Links between the texts of ``some (cid, comp)``, whatever buckets they share."""
+        whole = scratch.save(some.join(texts, "cid"), "dense")
+        counts = np.zeros(RARITY_SLOTS, np.int64)
+        got = whole.select("text").mapInArrow(tally, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()  # bounded by RARITY_SLOTS
+        counts[got["at"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
+        rare = spark.sparkContext.broadcast(counts)
+
+        def early(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in batches:
+                for at in range(0, part.num_rows, 128):
+                    piece = part.slice(at, 128)
+                    sets = [shingles(t, k_words) for t in strings(piece.column("text"))]
+                    heads = [first_shingles(h, rare.value, threshold_pct) for h in sets]
+                    many = [len(h) for h in heads]
+                    columns = [np.concatenate(heads).view(np.int64), np.repeat(piece.column("cid").to_numpy(), many), np.repeat([len(h) for h in sets], many), np.repeat(piece.column("comp").to_numpy(), many), np.concatenate([np.arange(m) for m in many])]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["b", "cid", "n", "comp", "pos"])
+
+        rows = scratch.save(whole.select("cid", "comp", "text").mapInArrow(early, "b long, cid long, n long, comp long, pos long"), "early")
+        met = rows.groupBy(F.col("b").alias("lb")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("lb")
+        left = scratch.save(rows.join(met, F.col("b") == F.col("lb"), "left_semi"), "early")
+        scratch.drop(rows)
+        pairs = in_blocks(left, ["pos"]).repartition(*group).sortWithinPartitions(*group).mapInArrow(compare_early, pair_schema).distinct()
+        if tested:
+            pairs = pairs.join(reduce(DataFrame.unionByName, tested).select("a", "b"), ["a", "b"], "left_anti")
+        pairs = scratch.save(pairs, "pairs")
+        both = pairs.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
+        found = scratch.save(both.select("a", "b", "ca", "cb", "ta", "tb").mapInArrow(confirm, pair_schema), "links")
+        scratch.drop(whole, left, pairs)
+        return found
+
+    def in_blocks(left: DataFrame, more: list[str]) -> DataFrame:
+        """Members ``b, cid, n, comp`` of buckets as rows of groups ``b, i, j`` of bounded size; two members of a bucket that may reach the threshold meet in one group.
+
+        Sets of linked texts have sizes of one class or of two neighbouring ones, so a block meets only blocks of these.
+        """
+        size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / threshold_pct) + 1e-9).cast("int") if threshold_pct < 100 else F.col("n").cast("int")
+        left = left.withColumn("class", size_class)
+        blocks = left.groupBy("b", "class").agg(F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n") / (block * 1024))).cast("int").alias("blocks"))
+        blocks = blocks.groupBy(F.col("b").alias("lb")).agg(F.map_from_entries(F.collect_list(F.struct("class", "blocks"))).alias("of_class"))
+        dealt = left.join(blocks, F.col("b") == F.col("lb")).join(sigs, "cid")
+        number = lambda c, i: c.cast("long") * (1 << 32) + i
+        dealt = dealt.withColumn("slot", number(F.col("class"), F.pmod(F.xxhash64("cid"), F.try_element_at("of_class", F.col("class")))))
+        near = F.filter(F.array(*(F.col("class") + i for i in (-1, 0, 1))), lambda c: F.map_contains_key("of_class", c))
+        dealt = dealt.withColumn("other", F.explode(F.flatten(F.transform(near, lambda c: F.transform(F.sequence(F.lit(0), F.try_element_at("of_class", c) - 1), lambda i: number(c, i))))))
+        return dealt.select("b", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "cid", "n", "comp", "sig", *more)
+
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The links that join a group's components, each pair confirmed on full sets; pairs already joined are passed over."""
         for rows, cuts in whole_groups(batches, group):
@@ -280,19 +378,14 @@ def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48,
             links = both.mapInArrow(confirm, pair_schema)
         else:  # what the leaders haven't joined
             heads = None
-            size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / threshold_pct) + 1e-9).cast("int") if threshold_pct < 100 else F.col("n").cast("int")
-            left = members.join(split.select("lb"), F.col("b") == F.col("lb"), "left_semi").withColumn("class", size_class)
-            blocks = left.groupBy("b", "class").agg(F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n") / (block * 1024))).cast("int").alias("blocks"))
-            # sets of linked texts have sizes of one class or of two neighbouring ones, so a block meets only blocks of these
-            blocks = blocks.groupBy(F.col("b").alias("lb")).agg(F.map_from_entries(F.collect_list(F.struct("class", "blocks"))).alias("of_class"))
-            dealt = left.join(blocks, F.col("b") == F.col("lb")).join(sigs, "cid")
-            number = lambda c, i: c.cast("long") * (1 << 32) + i
-            dealt = dealt.withColumn("slot", number(F.col("class"), F.pmod(F.xxhash64("cid"), F.try_element_at("of_class", F.col("class")))))
-            near = F.filter(F.array(*(F.col("class") + i for i in (-1, 0, 1))), lambda c: F.map_contains_key("of_class", c))
-            dealt = dealt.withColumn("other", F.explode(F.flatten(F.transform(near, lambda c: F.transform(F.sequence(F.lit(0), F.try_element_at("of_class", c) - 1), lambda i: number(c, i))))))
-            groups = dealt.select("b", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "cid", "n", "comp", "sig", "bands")
+            links, here = None, members.join(split.select("lb", "size"), F.col("b") == F.col("lb"))
+            many = here.where(F.col("size") > dense).select("cid", "comp").distinct()
+            if many.limit(1).count():
+                links = by_early_shingles(many)
+            groups = in_blocks(here.where(F.col("size") <= dense).drop("lb", "size"), ["bands"])
             involved = scratch.save(groups.repartition(*group).sortWithinPartitions(*group).mapInArrow(compare, "b long, i long, j long, cid long, comp long, partners array<long>"), "involved")
-            links = involved.join(texts, "cid").repartition(*group).sortWithinPartitions(*group).mapInArrow(settle, pair_schema)
+            few = involved.join(texts, "cid").repartition(*group).sortWithinPartitions(*group).mapInArrow(settle, pair_schema)
+            links = few if links is None else links.unionByName(few)
         links = scratch.save(links, "links")
         found = connected_components(links.select(F.col("ca").alias("u"), F.col("cb").alias("v")), scratch)
         maps.append(found)

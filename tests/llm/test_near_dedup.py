@@ -134,3 +134,68 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {i: 1 for i in range(1, 21)} | {i: 100 for i in range(100, 140)}
     none = spark.createDataFrame([], "u long, v long")
     assert connected_components(none, Scratch(spark, "t")).collect() == []
+
+
+def test_early_shingles_find_every_link(spark):
+    """All buckets go by their rarest shingles: groups near the threshold, of unequal sizes, on shared templates, with repeats and one-shingle texts."""
+    rng = random.Random(8)
+    rows, n = [], 0
+    for g in range(16):
+        base = prose(g % 5, 60).split() + prose(100 + g, rng.choice([6, 14, 40])).split()
+        for _ in range(rng.randint(2, 8)):
+            words = base[: len(base) - rng.randint(0, 9)]
+            for _ in range(rng.randint(0, 8)):
+                words[rng.randrange(len(words))] = "new%d" % rng.randint(0, 9999)
+            rows.append((n * 13 % 997, " ".join(words)))
+            n += 1
+    rows += [(2000 + i, t) for i, t in enumerate(["a b", "A b", "b a", "a", rows[3][1], rows[3][1]])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for k, every in ((2, [{"dense": 0, "leaders": ()}, {"dense": 1, "leaders": (), "block": 3}, {"dense": 3}]), (5, [{"dense": 0, "leaders": ()}])):
+        want = brute(rows, k)
+        for options in every:
+            assert {r.doc_id: r.component_id for r in N.near_duplicates(df, k=k, **options).collect()} == want
+
+
+def test_first_shingles_and_places():
+    """Two sets that reach the threshold share an early shingle at places that the test lets through, in any order of rarity."""
+    rng = np.random.default_rng(4)
+    for pct in (50, 80, 95, 100):
+        for _ in range(300):
+            size = int(rng.integers(1, 60))
+            x = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+            y = np.unique(np.concatenate((x[rng.random(len(x)) < rng.choice([0.8, 0.9, 1.0])], rng.integers(0, 1 << 63, int(rng.integers(0, 1 + size // 4)), dtype=np.uint64))))
+            if not len(y) or not N.linked(x, y, pct):
+                continue
+            counts = rng.integers(0, 3, N.RARITY_SLOTS)
+            a, b = (N.first_shingles(s, counts, pct).tolist() for s in (x, y))
+            met = [(a.index(s), b.index(s)) for s in set(a) & set(b)]
+            n = np.array([len(x), len(y)])
+            assert any(N.early_enough(n, np.array(p), np.array([1, 2]), slice(0, 2), 0, pct)[0, 1] for p in met)
+
+
+def test_texts_of_one_template_are_not_compared_pair_by_pair(spark, monkeypatch):
+    base = prose(3, 120).split()
+
+    def text(i):
+        rng, words = random.Random(i), list(base)
+        for p in rng.sample(range(120), 16):
+            words[p] = f"own{rng.randint(0, 10**9)}"
+        return " ".join(words)
+
+    sets = [shingles(text(i), 2) for i in range(300)]
+    counts = np.zeros(N.RARITY_SLOTS, np.int64)
+    for s in sets:
+        np.add.at(counts, s & np.uint64(N.RARITY_SLOTS - 1), 1)
+    where = {}
+    for i, s in enumerate(sets):
+        for pos, h in enumerate(N.first_shingles(s, counts, 80).tolist()):
+            where.setdefault(h, []).append((i, pos))
+    pairs = 0
+    for members in where.values():
+        i, pos = (np.array(c) for c in zip(*members))
+        n = np.array([len(sets[j]) for j in i])
+        pairs += int(np.triu(N.early_enough(n, pos, i, slice(0, len(i)), 0, 80), 1).sum())
+    assert pairs < 300
+    rows = [(i, text(i)) for i in range(300)]
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2).collect()}
+    assert got == {i: i for i in range(300)}
