@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from ..functions.text import is_conn_error
 from ..sources.scratch import saved
@@ -116,23 +121,57 @@ def _first(df: DataFrame, reached: Column, what: Column, name: str) -> DataFrame
     return df.where(reached).groupBy("pass_id").agg(F.min("seq").alias("seq"), F.min_by(what, "seq").alias(name))
 
 
+def _local_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted rows: hits since the last reset in this task, ``run``, and whether there was none yet, ``open``, by pass; and the task's number."""
+    number = TaskContext.get().partitionId()
+    before, run, still_open = None, 0, True  # of the last row
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        passes = batch.column("pass_id").dictionary_encode(null_encoding="encode").indices.to_numpy()
+        hits, resets = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("hit", "resets"))
+        starts = np.concatenate(([before is None or not before.equals(batch.column("pass_id")[0])], passes[1:] != passes[:-1]))
+        total = np.concatenate(([0], np.cumsum(hits)))
+        since = np.maximum.accumulate(np.where(starts | resets, np.arange(n), -1))
+        runs = total[1:] - np.where(since >= 0, total[since], -run)
+        first = np.maximum.accumulate(np.where(starts, np.arange(n), -1))
+        last_reset = np.maximum.accumulate(np.where(resets, np.arange(n), -1))
+        opened = np.where(first >= 0, last_reset < first, (last_reset < 0) & still_open)
+        before, run, still_open = batch.column("pass_id")[n - 1], int(runs[-1]), bool(opened[-1])
+        more = [pa.array(runs, pa.int64()), pa.array(opened), pa.array(np.full(n, number), pa.int64())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "run", "open", "part"])
+
+
+def _streaks(outcomes: DataFrame, hit: Column, resets: Column) -> DataFrame:
+    """Adds ``hit`` and ``streak``: hits since the last reset, by pass in order of ``seq``.
+
+    A segmented scan: rows are dealt by ranges of ``(pass_id, seq)``, so that one pass spreads over all tasks. Each task finds the
+    runs inside its range; what it hands to the next one is a summary of each of its passes (the run at its end, and whether it
+    holds no reset), and the summaries, one for each task and pass, are joined in order. Written once, since ranges are sampled.
+    """
+    parts = int(outcomes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = outcomes.withColumn("hit", F.coalesce(hit, F.lit(False))).withColumn("resets", F.coalesce(resets, F.lit(False)))
+    dealt = rows.repartitionByRange(parts, "pass_id", "seq").sortWithinPartitions("pass_id", "seq")
+    local = saved(dealt.mapInArrow(_local_runs, StructType([*rows.schema, StructField("run", LongType()), StructField("open", BooleanType()), StructField("part", LongType())])), "runs")
+    ends = local.groupBy("pass_id", "part").agg(F.max_by(F.struct("run", "open"), "seq").alias("end")).select("pass_id", "part", "end.*")
+    w = Window.partitionBy("pass_id").orderBy("part")
+    island = F.sum((~F.col("open")).cast("int")).over(w)
+    carried = ends.withColumn("island", island)
+    carried = carried.withColumn("upto", F.sum("run").over(Window.partitionBy("pass_id", "island").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)))
+    carried = carried.select(F.col("pass_id").alias("__pass"), F.col("part").alias("__part"), F.coalesce(F.lag("upto").over(w), F.lit(0)).alias("__carried"))
+    joined = local.join(carried, F.col("pass_id").eqNullSafe(F.col("__pass")) & (F.col("part") == F.col("__part")))
+    streak = F.col("run") + F.when(F.col("open"), F.col("__carried")).otherwise(0)
+    return joined.select(*outcomes.columns, F.col("hit").cast("int").alias("hit"), streak.alias("streak"))
+
+
 def mismatch_abort_point(outcomes: DataFrame, n: int = 5) -> DataFrame:
     """``pass_id, seq, mismatches``: where a pass reaches its n-th mismatch; passes that don't are absent.
 
     ``outcomes (pass_id, seq, result)``; a pass is ordered by ``seq``.
     """
-    w = Window.partitionBy("pass_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    run = F.sum((F.col("result") == "checksum_mismatch").cast("int")).over(w)
-    df = outcomes.withColumn("run", run)
-    return _first(df, F.col("run") >= n, F.col("run"), "mismatches")
-
-
-def _streaks(outcomes: DataFrame, hit: Column, resets: Column) -> DataFrame:
-    """Adds ``streak``: hits since the last reset, by pass in order."""
-    w = Window.partitionBy("pass_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    island = outcomes.withColumn("hit", hit.cast("int")).withColumn("island", F.sum(resets.cast("int")).over(w))
-    inside = Window.partitionBy("pass_id", "island").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    return island.withColumn("streak", F.sum("hit").over(inside)).drop("island")
+    df = _streaks(outcomes, F.col("result") == "checksum_mismatch", F.lit(False))
+    return _first(df, F.col("streak") >= n, F.col("streak"), "mismatches")
 
 
 def conn_streaks(outcomes: DataFrame) -> DataFrame:
