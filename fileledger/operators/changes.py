@@ -47,14 +47,17 @@ def new_records(changes: DataFrame, now: datetime | str, compression: bool = Fal
     return new.select(*((given[n] if n in given and (n in new.columns or n in ("local_checksum", "first_seen", "remote_tree")) else F.expr(d) if d else F.lit(None)).cast(t).alias(n) for n, t, d in LEDGER_FIELDS))
 
 
-def apply_changes(ledger: DataFrame, changes: DataFrame, now: datetime | str, compression: bool = False) -> DataFrame:
+def apply_changes(ledger: DataFrame, changes: DataFrame, now: datetime | str, compression: bool = False, detect: str = "size") -> DataFrame:
     """The ledger after a scan: changed and unhashed records get size and hash and become pending, new ones are added.
 
-    The modification time of a changed record stays what it was.
+    The modification time of a changed record stays what it was, but with ``detect="size_mtime"``, which compares it, it
+    becomes the scan's; else each later pass would find the file changed again.
     """
-    seen = changes.where(F.col("change").isin("changed", "unhashed")).select("file_path", F.col("file_size_bytes").alias("__size"), F.col("hash").alias("__hash"))
+    seen = changes.where(F.col("change").isin("changed", "unhashed")).select("file_path", F.col("file_size_bytes").alias("__size"), F.col("hash").alias("__hash"), F.col("file_mtime").alias("__mtime"))
     joined = ledger.join(seen.withColumn("__seen", F.lit(True)), "file_path", "left")
     put = {"file_size_bytes": F.col("__size"), "local_checksum": F.col("__hash"), "transfer_status": F.lit("pending")}
+    if detect == "size_mtime":
+        put["file_mtime"] = F.col("__mtime")
     kept = joined.select(*(F.when(F.col("__seen"), put[n]).otherwise(F.col(n)).alias(n) if n in put else F.col(n) for n in ledger.columns))
     return kept.unionByName(new_records(changes, now, compression).select(*ledger.columns))
 

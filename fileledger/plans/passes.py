@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_files, target_hash
 from ..functions.paths import target_path
+from ..functions.text import is_conn_error
 from ..operators import changes, codec, ledger, outcomes, reports, scan, verify
 from ..schema import INVENTORY
 from ..sources import copying, encoded, ledger_store, listing
+from ..sources.scratch import place, remove
 
 
 @dataclass
@@ -69,9 +71,31 @@ class PassResult:
     encoded: DataFrame | None = None
 
 
-def _saved(df: DataFrame, config: PassConfig, name: str) -> DataFrame:
+#: What a pass still needs when it has ended stands in the first folder, its steps in the second; the file marks a pass that has ended.
+_RESULTS, _STEPS, _ENDED = "results", "steps", "_ENDED"
+
+
+def _begin(spark: SparkSession, config: PassConfig) -> PassConfig:
+    """The same settings with a folder of this pass's own; the folders of passes that have ended go."""
+    fs, work = place(spark, config.work)
+    if fs.exists(work):
+        for child in fs.listStatus(work):
+            at = f"{config.work}/{child.getPath().getName()}"
+            if child.getPath().getName().startswith("pass-") and fs.exists(place(spark, f"{at}/{_ENDED}")[1]):
+                remove(spark, at)
+    return replace(config, work=f"{config.work}/pass-{uuid.uuid4().hex}")
+
+
+def _end(spark: SparkSession, config: PassConfig) -> None:
+    """Delete a pass's steps. What it gave back can be read until the next pass of the same folder begins."""
+    remove(spark, f"{config.work}/{_STEPS}")
+    fs, mark = place(spark, f"{config.work}/{_ENDED}")
+    fs.create(mark, True).close()
+
+
+def _saved(df: DataFrame, config: PassConfig, name: str, result: bool = False) -> DataFrame:
     """Write a step's result once: later steps must not copy or list again."""
-    path = f"{config.work}/{uuid.uuid4().hex}-{name}"
+    path = f"{config.work}/{_RESULTS if result else _STEPS}/{uuid.uuid4().hex}-{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -105,22 +129,26 @@ def _publish(records: DataFrame, state: DataFrame, config: PassConfig) -> None:
 def copy_in_waves(queue: DataFrame, config: PassConfig) -> tuple[DataFrame, str | None]:
     """Copy ``queue (seq, file_path, target_file)`` in waves, and stop at a sign of general failure: all tries, and why it stopped.
 
-    Waves start small and double, so that a server that refuses every file is asked for a few only. After each,
-    the mismatches of the pass and its running failures of the connection are counted in the plan's order; the files of later waves
-    stay as they are. A wave that already failed in a row isn't tried a second time.
+    Waves start small and double, so that a server that refuses every file is asked for a few only; beyond ``wave_files`` they
+    grow as long as nothing fails, so the number of waves grows with the logarithm of the queue. After each wave one aggregation counts its
+    mismatches and failures of the connection; only if these could reach a limit are they looked at in the plan's order.
+    The files of later waves stay as they are. A wave that already failed in a row isn't tried a second time.
     """
-    spark, folder = queue.sparkSession, f"{config.work}/{uuid.uuid4().hex}-tries"
+    spark, folder = queue.sparkSession, f"{config.work}/{_RESULTS}/{uuid.uuid4().hex}-tries"
     total, at, size, number = queue.count(), 0, max(16, 2 * config.parallelism), 0
-    mismatches, stopped = 0, None
-    before: DataFrame | None = None  # the last outcomes of earlier waves, as many as a streak needs
+    mismatches, run, stopped = 0, 0, None  # run: failures of the connection at the end of what has been copied
     schema = copying.copy_files(queue, config.source, "/", config.parallelism).schema
+    lost = ~F.col("success") & is_conn_error(F.col("error"))
 
-    def judged(tries: DataFrame) -> DataFrame:
-        last = outcomes.resolve_outcomes(outcomes.final_outcomes(tries)).join(queue.select("file_path", "seq"), "file_path")
-        return last.select(F.lit(0).alias("pass_id"), "seq", "success", "error", "result")
+    def judged(tries: DataFrame, wave: DataFrame) -> DataFrame:
+        last = outcomes.resolve_outcomes(outcomes.final_outcomes(tries)).join(wave.select("file_path", "seq"), "file_path")
+        return last.select(F.lit(0).alias("pass_id"), "seq", "success", "error", "result", "raised")
 
-    def refused(wave: DataFrame) -> bool:
-        return outcomes.conn_streak_abort_point(wave if before is None else before.unionByName(wave), config.streak_limit).limit(1).count() > 0
+    def refused(done: DataFrame, failures: int) -> bool:
+        if run + failures < config.streak_limit:
+            return False
+        before = spark.range(at - run, at).select(F.lit(0).alias("pass_id"), F.col("id").alias("seq"), F.lit(False).alias("success"), F.lit("connection").alias("error"), F.lit("failed").alias("result"), F.lit(True).alias("raised"))
+        return outcomes.conn_streak_abort_point(done.unionByName(before), config.streak_limit).limit(1).count() > 0
 
     def copied(files: DataFrame, attempt: int) -> DataFrame:
         nonlocal number
@@ -128,22 +156,28 @@ def copy_in_waves(queue: DataFrame, config: PassConfig) -> tuple[DataFrame, str
         copying.copy_files(files, config.source, "/", config.parallelism, attempt).write.parquet(f"{folder}/part={number}")
         return spark.read.schema(schema).parquet(f"{folder}/part={number}")
 
+    def counted(tries: DataFrame) -> tuple[int, int, int, int | None]:
+        """Files to try again, mismatches, failures of the connection, and the place of the last file without such a failure."""
+        again = ~F.col("success") & (F.col("raised") | is_conn_error(F.col("error")))
+        return judged(tries, wave).agg(F.count_if(again), F.count_if(F.col("result") == "checksum_mismatch"), F.count_if(lost), F.max(F.when(~lost, F.col("seq")))).first()
+
     while at < total and not stopped:
         wave = queue.where(F.col("seq").between(at, at + size - 1))
         tries = copied(wave, 1)
-        if not refused(judged(tries)):
+        repeat, bad, failures, other = counted(tries)
+        if repeat and not refused(judged(tries, wave), failures):
             again = outcomes.retry_plan(tries)
-            if again.limit(1).count():
-                tries = tries.unionByName(copied(wave.join(again.select("file_path"), "file_path", "left_semi"), 2))
-        done = _saved(judged(tries), config, "judged")
-        if outcomes.mismatch_abort_point(done, config.mismatch_limit - mismatches).limit(1).count():
+            tries = tries.unionByName(copied(wave.join(again.select("file_path"), "file_path", "left_semi"), 2))
+            _, bad, failures, other = counted(tries)
+        mismatches += bad
+        if mismatches >= config.mismatch_limit:
             stopped = f"{config.mismatch_limit} copies differ from what was sent"
-        elif refused(done):
+        elif refused(judged(tries, wave), failures):
             stopped = f"{config.streak_limit} failures of the connection in a row"
-        mismatches += done.where("result = 'checksum_mismatch'").count()
-        tail = done if before is None else before.unionByName(done)
-        before = _saved(tail.orderBy(F.desc("seq")).limit(config.streak_limit), config, "tail")
-        at, size = at + size, min(2 * size, config.wave_files)
+        end = min(at + size, total) - 1
+        run = run + failures if other is None else end - other
+        quiet = not (bad or failures or repeat)
+        at, size = at + size, 2 * size if quiet else min(2 * size, max(size, config.wave_files))
     tries = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(folder) if number else spark.createDataFrame([], schema)
     return tries, stopped
 
@@ -163,7 +197,8 @@ def send_in_codes(send: DataFrame, records: DataFrame, config: PassConfig) -> tu
     routes = codec.route(eligible, meta.select(F.col("signal_id").alias("file_path"), "exact"))
     chosen = send.join(routes.where("route = 'encoded'").select("file_path"), "file_path", "left_semi")
     chosen = _saved(outcomes.numbered(chosen.select(F.col("file_path").alias("signal_id"), "rank"), "rank", "signal_id"), config, "encoded")
-    total, at, size, tries, stopped = chosen.count(), 0, max(16, 2 * config.parallelism), [], None
+    total, at, size, stopped = chosen.count(), 0, max(16, 2 * config.parallelism), None
+    folder, number, schema = f"{config.work}/{_RESULTS}/{uuid.uuid4().hex}-sent", 0, None
     if not total:
         return None, None
     hashes = _saved(codec.signal_xxh64(signals.join(chosen.select("signal_id"), "signal_id", "left_semi")), config, "hashes")
@@ -172,8 +207,10 @@ def send_in_codes(send: DataFrame, records: DataFrame, config: PassConfig) -> tu
         wave = chosen.where(F.col("seq").between(at, at + size - 1))
         mine = lambda df, wave=wave: df.join(wave.select("signal_id"), "signal_id", "left_semi")
         written = _saved(encoded.write_encoded(mine(codes), mine(meta), mine(levels), config.compressed_target), config, "written")
-        done = _saved(encoded.send_encoded(written, mine(meta), hashes, config.compressed_target, config.target), config, "sent")
-        tries.append(done)
+        sent = encoded.send_encoded(written, mine(meta), hashes, config.compressed_target, config.target)
+        number, schema = number + 1, sent.schema
+        sent.write.parquet(f"{folder}/part={number}")
+        done = spark.read.schema(schema).parquet(f"{folder}/part={number}")
         judged = done.join(wave.select(F.col("signal_id").alias("file_path"), "seq"), "file_path").select(F.lit(0).alias("pass_id"), "seq", "success", "decode_failure")
         judged = judged if before is None else before.unionByName(judged)
         if outcomes.decode_halt_point(judged, config.decode_limit).limit(1).count():
@@ -181,10 +218,8 @@ def send_in_codes(send: DataFrame, records: DataFrame, config: PassConfig) -> tu
         # successes clear a streak and other failures don't count, so the last few of the others are enough
         since = F.coalesce(F.lit(judged.where("success").agg(F.max("seq")).first()[0]), F.lit(-1))
         before = _saved(judged.where((F.col("seq") > since) & F.col("decode_failure")).orderBy(F.desc("seq")).limit(config.decode_limit), config, "tail")
-        at, size = at + size, min(2 * size, config.wave_files)
-    out = tries[0]
-    for more in tries[1:]:
-        out = out.unionByName(more)
+        at, size = at + size, 2 * size
+    out = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
     if stopped:  # those not tried take no other way in this pass
         rest = chosen.where(F.col("seq") >= at).select(F.col("signal_id").alias("file_path"))
         out = out.unionByName(rest, allowMissingColumns=True)
@@ -195,8 +230,12 @@ def run_pass(spark: SparkSession, config: PassConfig, now: datetime, full: bool
     """One incremental pass, or a full one that ignores the cursor. A dry run plans and changes nothing.
 
     A plan that a target has no room for is refused as a whole; a pass that meets general failure stops, keeps what it did and
-    leaves the rest pending.
+    leaves the rest pending. With ``detect="hash"`` every scanned file is read and compared by content. The result's frames
+    stand in the pass's own folder below ``work`` and can be read until the next pass begins; all else there is deleted.
     """
+    if config.detect not in ("size", "size_mtime", "hash"):
+        raise ValueError(f"detect is {config.detect!r}, not size, size_mtime or hash")
+    config = _begin(spark, config)
     state = _saved(load_state(spark, config), config, "state")
     records = _saved(ledger_store.read_ledger(spark, config.ledger_path), config, "ledger")
     since = None if full else state.first()["last_scan_time"]
@@ -206,27 +245,34 @@ def run_pass(spark: SparkSession, config: PassConfig, now: datetime, full: bool
     rows = scan.selected(scanned)
     again = changes.requeue(records, inventory, rows, now, ignore, config.settle_minutes)
     work = changes.work_list(rows, again)
-    found = changes.detect_changes(work, records, config.detect)
-    hashes = hash_files(changes.to_hash(found), config.source)
-    checked = _saved(found.join(hashes, "file_path", "left"), config, "checked")
+    if config.detect == "hash":
+        read = work.join(_saved(hash_files(work, config.source), config, "hashes"), "file_path", "left")
+        checked = _saved(changes.detect_changes(read, records, config.detect), config, "checked")
+    else:
+        found = changes.detect_changes(work, records, config.detect)
+        checked = _saved(found.join(hash_files(changes.to_hash(found), config.source), "file_path", "left"), config, "checked")
     good, bad = checked.where("error is null"), checked.where("error is not null")
-    updated = changes.apply_changes(records, good, now, config.compression)
+    updated = changes.apply_changes(records, good, now, config.compression, config.detect)
     updated = updated.unionByName(changes.stub_failed_checks(bad.select(*inventory.columns), updated, now, config.compression).select(*updated.columns))
     updated, superseded = changes.reroute(updated, config.compression)
     candidates = updated.join(good.select("file_path"), "file_path", "left_semi")
     place = target_path(F.col("file_path"), F.col("remote_tree"), config.target, config.compressed_target)
     there = target_hash(candidates.select(place.alias("file_path")), "/").where("error is null").select("file_path", "hash")
-    plan = _saved(changes.order_plan(changes.plan_transfers(candidates, there, config.target, config.compressed_target), config.priority), config, "plan")
-    superseded = _saved(superseded, config, "superseded")
+    plan = _saved(changes.order_plan(changes.plan_transfers(candidates, there, config.target, config.compressed_target), config.priority), config, "plan", True)
+    superseded = _saved(superseded, config, "superseded", True)
     if dry_run:
+        records, state = _saved(records, config, "ledger", True), _saved(state, config, "state", True)
+        _end(spark, config)
         return PassResult(plan, None, records, state, None, superseded)
     root = F.when((F.col("remote_tree") == "compressed") & F.lit(bool(config.compressed_target)), F.lit(config.compressed_target or "")).otherwise(F.lit(config.target))
     send = plan.where("needs_transfer").join(updated.select("file_path", "remote_tree"), "file_path")
     send = _saved(send.select("file_path", "file_size_bytes", "rank", place.alias("target_file"), root.alias("target")), config, "send")
     roots = [config.target, *([config.compressed_target] if config.compressed_target else [])]
     room = changes.capacity_check(send, copying.free_space(spark, roots), config.least_free_gb)
-    refused = _saved(room.where("refused"), config, "refused")
+    refused = _saved(room.where("refused"), config, "refused", True)
     if refused.limit(1).count():
+        records, state = _saved(records, config, "ledger", True), _saved(state, config, "state", True)
+        _end(spark, config)
         return PassResult(plan, None, records, state, None, superseded, refused)
     in_codes, halted = send_in_codes(send, updated, config)
     if in_codes is not None:
@@ -235,27 +281,50 @@ def run_pass(spark: SparkSession, config: PassConfig, now: datetime, full: bool
     tries, stopped = copy_in_waves(queue, config)
     done = outcomes.apply_outcomes(changes.settle_matches(updated, plan, now), tries, now)
     if in_codes is not None:
-        in_codes = in_codes.where("attempt is not null")
+        in_codes = _saved(in_codes.where("attempt is not null"), config, "encoded", True)
         done = outcomes.apply_encoded_outcomes(done, in_codes, now)
         done = outcomes.reroute_index_siblings(done, in_codes.where("success").select("file_path"))
-    done = _saved(done, config, "ledger")
-    next_state = _saved(ledger.advance_cursor(state, done, now, config.cursor, config.settle_minutes), config, "state")
+    done = _saved(done, config, "ledger", True)
+    next_state = _saved(ledger.advance_cursor(state, done, now, config.cursor, config.settle_minutes), config, "state", True)
     _publish(done, next_state, config)
-    stats = reports.sync_stats(scanned, plan, outcomes.resolve_outcomes(outcomes.final_outcomes(tries)), again)
+    stats = _saved(reports.sync_stats(scanned, plan, outcomes.resolve_outcomes(outcomes.final_outcomes(tries)), again), config, "stats", True)
+    _end(spark, config)
     return PassResult(plan, tries, done, next_state, stats, superseded, None, stopped or halted, in_codes)
 
 
-def run_verification(spark: SparkSession, config: PassConfig, now: datetime, quarantine: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Verify every record at both ends: the verdicts and a summary. Mismatches are moved aside and become pending."""
+def run_verification(spark: SparkSession, config: PassConfig, now: datetime, quarantine: bool = True, older_than: datetime | None = None) -> tuple[DataFrame, DataFrame]:
+    """Verify records at both ends: the verdicts and a summary. Mismatches are moved aside and become pending.
+
+    With ``older_than``, only records that were never verified at the target, or last before then; the time of the last full
+    verification stays.
+    """
+    config = _begin(spark, config)
     records = _saved(ledger_store.read_ledger(spark, config.ledger_path), config, "ledger")
-    local = hash_files(records, config.source).where("error is null").select("file_path", "hash")
+    chosen = records if older_than is None else records.join(ledger.unverified(records, older_than).select("file_path"), "file_path", "left_semi")
+    local = hash_files(chosen, config.source).where("error is null").select("file_path", "hash")
     local = _saved(local, config, "local")
-    artifacts = verify.expand_checks(records.join(local.select("file_path", F.col("hash").alias("now_local")), "file_path"), config.target, config.compressed_target)
+    artifacts = verify.expand_checks(chosen.join(local.select("file_path", F.col("hash").alias("now_local")), "file_path"), config.target, config.compressed_target)
     target = target_hash(artifacts.select(F.col("artifact").alias("file_path")).distinct(), "/").select(F.col("file_path").alias("artifact"), "hash", "error")
-    verdicts = _saved(verify.verify_ledger(records, local, target, config.target, config.compressed_target), config, "verdicts")
+    verdicts = _saved(verify.verify_ledger(chosen, local, target, config.target, config.compressed_target), config, "verdicts", True)
     if quarantine:
         _saved(copying.move_files(verify.quarantine_plan(verdicts, now)), config, "moves")
     done = _saved(verify.apply_verdicts(records, verdicts, now), config, "ledger")
-    state = ledger.update_state(load_state(spark, config), done, last_full_verify_time=now)
+    state = load_state(spark, config)
+    state = ledger.update_state(state, done, last_full_verify_time=now) if older_than is None else ledger.update_state(state, done)
     _publish(done, _saved(state, config, "state"), config)
-    return verdicts, reports.verify_summary(verdicts)
+    summary = _saved(reports.verify_summary(verdicts), config, "summary", True)
+    _end(spark, config)
+    return verdicts, summary
+
+
+def remove_superseded(result: PassResult, config: PassConfig, dry_run: bool = True) -> DataFrame:
+    """Copies that a change of tree left behind: ``file_path, old_tree, copy, removed, error``; a dry run only lists them.
+
+    A copy goes only if its record is verified in its new tree.
+    """
+    place_of = target_path(F.col("file_path"), F.col("old_tree"), config.target, config.compressed_target)
+    safe = result.superseded.join(result.ledger.select("file_path", "remote_tree", "transfer_status"), "file_path").where("transfer_status = 'verified' and remote_tree <> old_tree")
+    listed = safe.select("file_path", "old_tree", place_of.alias("copy"))
+    if dry_run:
+        return listed.select("*", F.lit(False).alias("removed"), F.lit(None).cast("string").alias("error"))
+    return copying.remove_files(listed)

@@ -86,6 +86,28 @@ def move_files(moves: DataFrame, root_of: str = "") -> DataFrame:
     return moves.select("artifact", "moved_to").mapInPandas(run, "artifact string, moved_to string, error string")
 
 
+def remove_files(copies: DataFrame) -> DataFrame:
+    """Delete the files ``copy``: the rows with ``removed`` and ``error``. A file that isn't there any more counts as removed."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            removed, errors = [], []
+            for path in frame["copy"]:
+                error = None
+                try:
+                    os.remove(path)
+                except FileNotFoundError:
+                    pass
+                except OSError as e:
+                    error = f"{type(e).__name__}: {e.strerror}"
+                removed.append(error is None)
+                errors.append(error)
+            yield frame.assign(removed=removed, error=errors)
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in copies.schema)
+    return copies.mapInPandas(run, f"{fields}, removed boolean, error string")
+
+
 def free_space(spark: SparkSession, folders: list[str]) -> DataFrame:
     """``target, free_bytes`` of mounted folders, asked in a task; of a folder that isn't there yet, its nearest parent's."""
 

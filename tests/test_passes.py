@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from fileledger.plans.passes import PassConfig, run_pass, run_verification
+from fileledger.plans.passes import PassConfig, PassResult, remove_superseded, run_pass, run_verification
 from fileledger.schema import with_defaults
 from fileledger.sources import copying, encoded, ledger_store, listing, signals_store
 from fileledger.streaming import stream
@@ -316,3 +316,90 @@ def test_scratch_tables_go_with_the_process(tmp_path):
             return
         time.sleep(0.2)
     raise AssertionError("the folder is still there")
+
+
+@pytest.mark.parametrize("detect", ["size_mtime", "hash"])
+def test_three_full_passes_after_an_edit_of_equal_size(spark, config, detect):
+    config.detect = detect
+    now = datetime(2024, 5, 1, 12)
+    put(config.source, "run/a.tdms", b"aaaa", now - timedelta(hours=3))
+    put(config.source, "run/b.tdms", b"bbbb", now - timedelta(hours=3))
+    run_pass(spark, config, now)
+    put(config.source, "run/a.tdms", b"AAAA", now - timedelta(hours=2))
+    sent, found = [], []
+    for i in range(1, 4):
+        got = run_pass(spark, config, now + timedelta(hours=i), full=True)
+        sent.append(sorted(r.file_path for r in got.plan.where("needs_transfer").collect()))
+        found.append({r.file_path: r.transfer_status for r in ledger_store.read_ledger(spark, config.ledger_path).collect()})
+    assert sent == [["run/a.tdms"], [], []] and found == [{"run/a.tdms": "verified", "run/b.tdms": "verified"}] * 3
+    assert open(f"{config.target}/run/a.tdms", "rb").read() == b"AAAA"
+    times = {r.file_path: r.file_mtime for r in ledger_store.read_ledger(spark, config.ledger_path).collect()}
+    assert times["run/a.tdms"] == (now - timedelta(hours=2) if detect == "size_mtime" else now - timedelta(hours=3))
+    # a touched file with the same content is not sent
+    put(config.source, "run/b.tdms", b"bbbb", now - timedelta(hours=1))
+    for i in (5, 6):
+        got = run_pass(spark, config, now + timedelta(hours=i), full=True)
+        assert got.plan.where("needs_transfer").count() == 0 and status_counts(spark, config) == {"verified": 2}
+
+
+def test_unknown_detection_is_refused_at_the_start(spark, config):
+    config.detect = "sha"
+    with pytest.raises(ValueError, match="sha"):
+        run_pass(spark, config, datetime(2024, 5, 1))
+    assert os.listdir(config.work) == []
+
+
+def test_work_folder_holds_one_pass(spark, config):
+    now = datetime(2024, 5, 1, 12)
+    put(config.source, "run/a.tdms", b"aaaa", now - timedelta(hours=3))
+    for i in range(3):
+        got = run_pass(spark, config, now + timedelta(hours=i))
+        folders = os.listdir(config.work)
+        assert len(folders) == 1 and sorted(os.listdir(f"{config.work}/{folders[0]}")) in (["._ENDED.crc", "_ENDED", "results"], ["_ENDED", "results"])
+        assert got.plan.count() == got.outcomes.count() == (1 if i == 0 else 0) and got.ledger.count() == 1 and got.stats.count() == 1
+    run_verification(spark, config, now + timedelta(hours=4))
+    assert len(os.listdir(config.work)) == 1
+
+
+def test_quick_verification_takes_stale_records_only(spark, config):
+    now = datetime(2024, 5, 1, 12)
+    put(config.source, "run/a.tdms", b"aaaa", now - timedelta(hours=3))
+    run_pass(spark, config, now)
+    put(config.source, "run/b.tdms", b"bbbb", now + timedelta(hours=1))
+    run_pass(spark, config, now + timedelta(hours=2))
+    for p in "ab":
+        with open(f"{config.target}/run/{p}.tdms", "wb") as f:
+            f.write(b"zzzz")
+    verdicts, summary = run_verification(spark, config, now + timedelta(hours=3), older_than=now + timedelta(hours=1))
+    assert [(r.file_path, r.verdict) for r in verdicts.collect()] == [("run/a.tdms", "remote_mismatch")] and summary.first().mismatches == 1
+    assert status_counts(spark, config) == {"pending": 1, "verified": 1}
+    got = run_pass(spark, config, now + timedelta(hours=4))
+    assert got.state.first().last_full_verify_time is None and [r.file_path for r in got.plan.where("needs_transfer").collect()] == ["run/a.tdms"]
+
+
+def test_superseded_copies_go_only_when_asked_and_safe(spark, config, tmp_path):
+    config.compressed_target = str(tmp_path / "packed")
+    for p in "abc":
+        put(config.target, f"run/{p}.tdms_index", b"x", datetime(2024, 1, 1))
+    superseded = spark.createDataFrame([(f"run/{p}.tdms_index", "uncompressed") for p in "abc"], "file_path string, old_tree string")
+    led = with_defaults(spark.createDataFrame([("run/a.tdms_index", "verified", "compressed"), ("run/b.tdms_index", "pending", "compressed"), ("run/c.tdms_index", "verified", "uncompressed")], "file_path string, transfer_status string, remote_tree string"))
+    result = PassResult(None, None, led, None, None, superseded)
+    assert [(r.copy, r.removed) for r in remove_superseded(result, config).collect()] == [(f"{config.target}/run/a.tdms_index", False)] and len(os.listdir(f"{config.target}/run")) == 3
+    assert [(r.removed, r.error) for r in remove_superseded(result, config, dry_run=False).collect()] == [(True, None)]
+    assert sorted(os.listdir(f"{config.target}/run")) == ["b.tdms_index", "c.tdms_index"]
+    assert [r.removed for r in remove_superseded(result, config, dry_run=False).collect()] == [True]
+
+
+def test_waves_grow_without_a_ceiling_while_nothing_fails(spark, config, monkeypatch):
+    config.wave_files = 16
+    now = datetime(2024, 5, 1, 12)
+    many(config, 130, now - timedelta(hours=1))
+    real, asked = copying.copy_files, []
+
+    def seen(plan, *args, **more):
+        asked.append(plan.count())
+        return real(plan, *args, **more)
+
+    monkeypatch.setattr(copying, "copy_files", seen)
+    got = run_pass(spark, config, now)
+    assert got.stopped is None and [n for n in asked if n < 130] == [16, 32, 64, 18] and status_counts(spark, config) == {"verified": 130}
