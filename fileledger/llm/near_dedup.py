@@ -258,15 +258,15 @@ def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48,
         for rows, cuts in whole_groups(batches, group):
             i, j, slot, cid, n, comp, pos = (rows.column(c).to_numpy() for c in ("i", "j", "slot", "cid", "n", "comp", "pos"))
             sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(i), count)
-            found = [np.empty((4, 0), np.int64)]
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 x, y = block_pairs(n[lo:hi], comp[lo:hi], slot[lo:hi], sig[lo:hi], bool(i[lo] != j[lo]), floors, batch, threshold_pct, (pos[lo:hi], cid[lo:hi]))
                 x, y = x + lo, y + lo
+                x, y = x[cid[x] != cid[y]], y[cid[x] != cid[y]]
                 swap = cid[x] > cid[y]
                 x, y = np.where(swap, y, x), np.where(swap, x, y)
-                found.append(np.stack((cid[x], cid[y], comp[x], comp[y])))
-            pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs[:, pairs[0] != pairs[1]]], names=["a", "b", "ca", "cb"])
+                for at in range(0, len(x), 1 << 16):
+                    u, v = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cid[u], cid[v], comp[u], comp[v])], names=["a", "b", "ca", "cb"])
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """How many texts of this task have shingles of each counter."""
@@ -361,8 +361,8 @@ def components_of(base: DataFrame, k: int, threshold_pct: int, bands: int = 48,
         here = members.where(chosen)
         split = here.groupBy(F.col("b").alias("lb")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("bulk"), *(F.min_by(F.struct("cid", "n", "comp"), F.struct(F.xxhash64("cid", F.lit(turn * 100 + i)) if count_of > 1 else F.col("cid"), "cid")).alias(f"l{i}") for i in range(count_of))).where("lo < hi")
         if count_of:
-            # more leaders than one are for buckets of several blocks; the others meet as a whole in the last turn
-            heads = scratch.save(split.where(F.col("size") > (block if count_of > 1 else 0)).select("lb", F.explode(F.array_distinct(F.array(*(f"l{i}" for i in range(count_of))))).alias("m")), "heads")
+            # more leaders than one are for buckets that won't meet as a whole in the last turn
+            heads = scratch.save(split.where(F.col("size") > (dense if count_of > 1 else 0)).select("lb", F.explode(F.array_distinct(F.array(*(f"l{i}" for i in range(count_of))))).alias("m")), "heads")
             if heads.limit(1).count() == 0:
                 if one_in > 1 or count_of > 1:
                     continue
