@@ -14,6 +14,7 @@ from ..operators import codec as K
 from ..operators import ledger as L
 from ..operators import outcomes as O
 from ..operators import reports as R
+from ..operators import residual as RC
 from ..operators import scan as S
 from ..operators import verify as V
 from ..schema import STATUSES
@@ -841,6 +842,47 @@ def roundtrip_report(spark, d):
     return K.roundtrip_report(s, back)
 
 
+#: Level numbers in blocks of 256; the differences of order 0 to 4 within a block; the order with the least sum of magnitudes from the fifth sample on;
+#: its differences folded; and the Rice parameter with the fewest bits.
+_RESIDUAL = """c AS (SELECT signal_id, idx // 256 AS block, idx, CAST(dense_rank() OVER (PARTITION BY signal_id ORDER BY value) - 1 AS BIGINT) AS code FROM s),
+d0 AS (SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY signal_id, block) AS n, code AS r0, code - lag(code) OVER w AS r1 FROM c WINDOW w AS (PARTITION BY signal_id, block ORDER BY idx)),
+d2 AS (SELECT *, r1 - lag(r1) OVER w AS r2 FROM d0 WINDOW w AS (PARTITION BY signal_id, block ORDER BY idx)),
+d3 AS (SELECT *, r2 - lag(r2) OVER w AS r3 FROM d2 WINDOW w AS (PARTITION BY signal_id, block ORDER BY idx)),
+d4 AS (SELECT *, r3 - lag(r3) OVER w AS r4 FROM d3 WINDOW w AS (PARTITION BY signal_id, block ORDER BY idx)),
+r AS (SELECT signal_id, block, n, pos, unnest([{'p': 0, 'r': r0}, {'p': 1, 'r': r1}, {'p': 2, 'r': r2}, {'p': 3, 'r': r3}, {'p': 4, 'r': r4}]) AS x FROM d4),
+sums AS (SELECT signal_id, block, x.p AS p, coalesce(sum(abs(x.r)) FILTER (WHERE pos >= 4), 0) AS total FROM r GROUP BY signal_id, block, x.p),
+best AS (SELECT signal_id, block, arg_min(p, (total, p)) AS p FROM sums GROUP BY signal_id, block),
+z AS (SELECT r.signal_id, r.block, r.n, best.p, CASE WHEN r.x.r < 0 THEN -2 * r.x.r - 1 ELSE 2 * r.x.r END AS z FROM r JOIN best ON r.signal_id = best.signal_id AND r.block = best.block AND r.x.p = best.p WHERE r.pos >= best.p),
+cost AS (SELECT signal_id, block, n, p, k, count(*) * (k + 1) + sum(z >> k) AS bits FROM z, (SELECT unnest(range(26)) AS k) GROUP BY signal_id, block, n, p, k),
+packed AS (SELECT signal_id, block, n, p, min({'b': bits, 'k': k}) AS m FROM cost GROUP BY signal_id, block, n, p)"""
+
+
+def _level_numbers(spark, d):
+    s = _values(spark, d)
+    return K.indexed_codes(s, K.level_index(K.signal_levels(s))).select("signal_id", "idx", "code")
+
+
+@query("WITH " + _SIG + ", " + _RESIDUAL + " SELECT signal_id, block, CAST(n AS INTEGER) AS n, CAST(p AS INTEGER) AS predictor, CAST(m.k AS INTEGER) AS rice, CAST(m.b AS BIGINT) AS bits FROM packed")
+def residual_blocks(spark, d):
+    return RC.residual_blocks(_level_numbers(spark, d), 256).select("signal_id", "block", "n", "predictor", "rice", "bits")
+
+
+@query("WITH " + _SIG + " SELECT signal_id, idx, CAST(dense_rank() OVER (PARTITION BY signal_id ORDER BY value) - 1 AS BIGINT) AS code FROM s")
+def stored_residuals(spark, d):
+    """Level numbers written as predicted blocks and read again."""
+    at = scratch_path(spark, "residuals")
+    signals_store.write_residuals(_level_numbers(spark, d), at, 256)
+    return signals_store.read_residuals(spark, at)
+
+
+@query("WITH " + _SIG + ", " + _RESIDUAL + ", o AS (SELECT signal_id, sum(24 + 8 * p + CAST(ceil((m.b - (n - p) * m.k) / 8) AS BIGINT) + CAST(ceil((n - p) * m.k / 8) AS BIGINT)) AS bytes, sum(n) AS n_samples FROM packed GROUP BY signal_id), l AS (SELECT signal_id, count(DISTINCT value) AS n_levels FROM s GROUP BY signal_id) SELECT 'indexed' AS encoding, count(*) AS signals, CAST(sum(n_samples * 8) AS BIGINT) AS bytes_in, CAST(sum(bytes + 8 * n_levels) AS BIGINT) AS bytes_out, sum(n_samples * 8) / sum(bytes + 8 * n_levels) AS times FROM o JOIN l ON o.signal_id = l.signal_id")
+def residual_report(spark, d):
+    """Level numbers as predicted blocks, with their level tables."""
+    levels = K.signal_levels(_values(spark, d))
+    meta = levels.groupBy("signal_id").agg(F.count(F.lit(1)).alias("n_levels"), F.sum("samples").alias("n_samples"), F.lit("indexed").alias("encoding"))
+    return RC.residual_report(meta, RC.residual_blocks(_level_numbers(spark, d), 256))
+
+
 @query("WITH " + _MIXED + ", " + _FIT + ", " + _CHOSEN + ", o AS (SELECT *, CAST(n_samples * bits_per_sample / 8 + CASE WHEN encoding = 'indexed' THEN n_levels * 8 ELSE 0 END AS BIGINT) AS bytes FROM chosen) SELECT encoding, count(*) AS signals, CAST(sum(n_samples * 8) AS BIGINT) AS bytes_in, CAST(sum(bytes) AS BIGINT) AS bytes_out, sum(n_samples * 8) / sum(bytes) AS times FROM o GROUP BY encoding")
 def compression_report(spark, d):
     return K.compression_report(K.encode_signals(_mixed(spark, d))[1])

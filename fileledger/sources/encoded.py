@@ -1,49 +1,63 @@
 """Encoded copies in folders that every executor mounts: a signal's codes and a sidecar, and the samples rebuilt from them.
 
-An encoded file holds a signal's levels as little-endian float64, if it is indexed, and then its codes in 2 or 3 bytes
-each. The sidecar says how to read it. A rebuilt file holds the samples as little-endian float64.
+An encoded file holds a signal's levels as little-endian float64, if it is indexed, and then its codes in blocks of
+predicted residuals. The sidecar says how to read it. A rebuilt file holds the samples as little-endian float64.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import struct
 import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import CHUNK, file_xxh64
+from ..functions.hashing import file_xxh64
 from ..functions.paths import artifact_paths, normalise
+from ..operators import residual
 
 OUTCOMES = "file_path string, attempt int, success boolean, error string, decode_failure boolean, rebuilt_checksum string, data_checksum string, compressed_checksum string, sidecar_checksum string, compressed_bytes bigint"
 
 
-def _packed(codes: np.ndarray, width: int) -> bytes:
-    return codes.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+#: Of a block in a file: codes, predictor, Rice parameter, bits, bytes of the payload; warm-up values and the payload follow.
+_BLOCK = struct.Struct("<IBBQI")
 
 
-def _unpacked(data: bytes, width: int) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, width)
-    out = np.zeros((len(raw), 4), np.uint8)
-    out[:, :width] = raw
-    out[:, width:] = (raw[:, -1:] >> 7) * np.uint8(255)
-    return out.view("<i4").ravel()
+def _frame(n: int, predictor: int, rice: int, warm: list[int], bits: int, payload: bytes) -> bytes:
+    return _BLOCK.pack(n, predictor, rice, bits, len(payload)) + np.array(warm, "<i8").tobytes() + payload
+
+
+def _blocks(src: BinaryIO) -> Iterator[np.ndarray]:
+    """The codes of the blocks that follow in a file; a file that ends in a block is an error."""
+    while head := src.read(_BLOCK.size):
+        if len(head) < _BLOCK.size:
+            raise ValueError("the encoded file ends in a block")
+        n, predictor, rice, bits, size = _BLOCK.unpack(head)
+        body = src.read(8 * predictor + size)
+        if len(body) < 8 * predictor + size or predictor > residual.ORDERS or n < predictor:
+            raise ValueError("the encoded file ends in a block")
+        codes = residual.unpack(n, predictor, rice, np.frombuffer(body[: 8 * predictor], "<i8").tolist(), bits, body[8 * predictor :])
+        if len(codes) != n:
+            raise ValueError("a block holds another number of codes than it says")
+        yield codes
 
 
 def write_encoded(codes: DataFrame, meta: DataFrame, levels: DataFrame, folder: str) -> DataFrame:
     """Write each signal's encoded file below ``folder``: ``signal_id, compressed_checksum, encoded_bytes``.
 
-    A signal's codes pass one task in order, in a stream, and its file is renamed into place at the end. The result must be
-    saved before it is used twice, since every evaluation writes.
+    Blocks are packed in all tasks; a signal's blocks then pass one task in order, in a stream, and its file is renamed into
+    place at the end. The result must be saved before it is used twice, since every evaluation writes.
     """
-    none = F.lit(None).cast("double")
-    rows = codes.select("signal_id", F.lit(1).alias("part"), "idx", "code", none.alias("level")).unionByName(levels.select("signal_id", F.lit(0).alias("part"), F.col("level_idx").alias("idx"), F.lit(0).cast("long").alias("code"), "level"))
-    places = artifact_paths(meta.select("signal_id", F.col("signal_id").alias("file_path"), (F.col("bits_per_sample") / 8).cast("int").alias("width"))).select("signal_id", "encoded_path", "width")
-    dealt = rows.join(places, "signal_id").repartition("signal_id").sortWithinPartitions("signal_id", "part", "idx")
+    blocks = residual.residual_blocks(codes).select("signal_id", F.lit(1).alias("part"), F.col("block").alias("pos"), "n", "predictor", "rice", "warm", "bits", "payload")
+    rows = blocks.unionByName(levels.select("signal_id", F.lit(0).alias("part"), F.col("level_idx").alias("pos"), "level"), allowMissingColumns=True)
+    places = artifact_paths(meta.select("signal_id", F.col("signal_id").alias("file_path"))).select("signal_id", "encoded_path")
+    dealt = rows.join(places, "signal_id").repartition("signal_id").sortWithinPartitions("signal_id", "part", "pos")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -67,14 +81,16 @@ def write_encoded(codes: DataFrame, meta: DataFrame, levels: DataFrame, folder:
                     os.makedirs(os.path.dirname(place), exist_ok=True)
                     out = open(part, "wb")
                 first = rows["part"].to_numpy() == 0
-                for data in (rows["level"].to_numpy("<f8")[first].tobytes(), _packed(rows["code"].to_numpy(np.int64)[~first], int(rows["width"].iloc[0]))):
+                packed = rows.loc[~first, ["n", "predictor", "rice", "warm", "bits", "payload"]].itertuples(index=False)
+                frames_of = b"".join(_frame(int(r.n), int(r.predictor), int(r.rice), list(r.warm), int(r.bits), r.payload) for r in packed)
+                for data in (rows["level"].to_numpy("<f8")[first].tobytes(), frames_of):
                     out.write(data)
                     h.update(data)
                     size += len(data)
         if out:
             yield finished()
 
-    return dealt.select("signal_id", "part", "code", "level", "encoded_path", "width").mapInPandas(run, "signal_id string, compressed_checksum string, encoded_bytes bigint")
+    return dealt.drop("pos").mapInPandas(run, "signal_id string, compressed_checksum string, encoded_bytes bigint")
 
 
 def send_encoded(written: DataFrame, meta: DataFrame, hashes: DataFrame, folder: str, target: str, attempt: int = 1) -> DataFrame:
@@ -118,19 +134,18 @@ def send_encoded(written: DataFrame, meta: DataFrame, hashes: DataFrame, folder:
     return named.mapInPandas(run, OUTCOMES)
 
 
-def rebuild_file(encoded: str, sidecar: str, target: str, chunk: int = CHUNK // 8) -> str:
+def rebuild_file(encoded: str, sidecar: str, target: str) -> str:
     """Write the samples of an encoded file to ``target`` if their hash is as the sidecar says: the hash of the new file."""
     import xxhash
 
     with open(sidecar, "rb") as f:
         how = json.load(f)
-    width, part, h = how["bits_per_sample"] // 8, f"{target}.{uuid.uuid4().hex}.part", xxhash.xxh64()
+    part, h = f"{target}.{uuid.uuid4().hex}.part", xxhash.xxh64()
     os.makedirs(os.path.dirname(target), exist_ok=True)
     try:
         with open(encoded, "rb") as src, open(part, "wb") as dst:
             levels = np.frombuffer(src.read(8 * how["n_levels"]), "<f8")
-            while data := src.read(width * chunk):
-                codes = _unpacked(data, width)
+            for codes in _blocks(src):
                 values = levels[codes] if how["encoding"] == "indexed" else how["grid_offset"] + codes.astype("<f8") * how["step"]
                 dst.write(values.astype("<f8").tobytes())
                 h.update(values.astype("<f8").tobytes())
