@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from datetime import date, timedelta
 
@@ -145,3 +146,33 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert next(r.text for r in rows if r.doc_id == 4) is None
     assert pii.pseudonymise(no_docs, KEY).count() == 0
     assert replaced(spark, "4111111111111111")[0].text != [r.text for r in pii.pseudonymise(spark.createDataFrame([(0, "4111111111111111")], "doc_id long, text string"), "other").collect()][0]
+
+
+def test_secrets_and_local_parts_of_any_length(spark):
+    rng = random.Random(2)
+    hexed = lambda n, digits="0123456789abcdef": "".join(rng.choice(digits) for _ in range(n))
+    local = lambda n: "".join(rng.choice("abcXYZ019._") for _ in range(n - 1)) + "z"
+    secrets = [hexed(n) for n in (32, 33, 127, 128, 129, 130, 1000)] + [hexed(n, "0123456789ABCDEF") for n in (128, 129, 400)] + [hexed(8_000)]
+    mails = [f"{local(n)}@mail.example.com" for n in (1, 2, 63, 64, 65, 66, 300)] + ["jo.doe@a.b.c.d.e.f.g.h.i.j.k.example.org", f"{local(2000)}@x.de"]
+    short = [hexed(31), "g" * 40, "abc@", "@x.de"]
+    df = spark.createDataFrame([(i, f"so {v} it is") for i, v in enumerate(secrets + mails + short)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(df, "k").collect()}
+    for i, v in enumerate(secrets + mails):
+        new = got[i].text.removeprefix("so ").removesuffix(" it is")
+        assert got[i].n_replaced == 1 and got[i].kinds == ["secret" if i < len(secrets) else "email"] and len(new) == len(v) and (new != v or len(v) < 20)
+        if i < len(secrets):
+            assert set(new) <= set("0123456789abcdef" if v == v.lower() else "0123456789ABCDEF")
+        else:
+            assert new.split("@")[1] == v.split("@")[1]
+    for i, v in enumerate(short, len(secrets + mails)):
+        assert got[i].text == f"so {v} it is" and got[i].n_replaced == 0
+
+
+def test_long_runs_take_linear_time(spark):
+    import time
+
+    texts = ["a." * 300_000, "0123456789abcdef" * 40_000 + "g", "a@" * 200_000, "x@" + "a." * 200_000]
+    began = time.time()
+    assert pii.pseudonymise(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), "k").count() == 4
+    assert {r.n_replaced for r in pii.pseudonymise(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), "k").collect()} == {0}
+    assert time.time() - began < 60
