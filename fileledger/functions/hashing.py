@@ -6,8 +6,10 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.classic.column import Column as ClassicColumn
 from pyspark.sql.types import StringType
 
 from .paths import normalise
@@ -23,8 +25,19 @@ def _xxh64(content: pd.Series) -> pd.Series:
 
 
 def content_xxh64(content: Column) -> Column:
-    """The hash of a binary column; of strings as UTF-8; null for null."""
-    return _xxh64(content.cast("binary"))
+    """The hash of a binary column; of strings as UTF-8; null for null.
+
+    Spark's own xxh64 with seed 0, inside generated code; SQL's ``xxhash64`` has another seed. A Connect session can't reach that
+    expression and hashes Arrow batches in Python.
+    """
+    data = content.cast("binary")
+    if not isinstance(data, ClassicColumn):
+        return _xxh64(data)
+    jvm = SparkContext._active_spark_context._jvm
+    utils = jvm.org.apache.spark.sql.classic.ExpressionUtils
+    children = jvm.PythonUtils.toSeq([utils.expression(data._jc)])
+    number = ClassicColumn(utils.column(jvm.org.apache.spark.sql.catalyst.expressions.XxHash64(children, 0)))
+    return F.when(data.isNotNull(), F.lpad(F.lower(F.hex(number)), 16, "0"))
 
 
 def file_xxh64(path: str, chunk: int = CHUNK) -> str:

@@ -970,3 +970,21 @@ def settle_stream(spark, d):
     settled = spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{at}/settled").withColumn("settled", F.lit(True))
     held = spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{at}/held").withColumn("settled", F.lit(False))
     return settled.unionByName(held).select("file_path", "settled")
+
+
+@query(W("inv", "ledger") + f"SELECT coalesce(l.file_path, i.file_path) AS file_path, CASE WHEN i.change IS NULL OR i.change = 'unchanged' THEN l.file_size_bytes ELSE i.file_size_bytes END AS file_size_bytes, CASE WHEN i.change IS NULL OR i.change = 'unchanged' THEN l.transfer_status ELSE 'pending' END AS transfer_status FROM ledger l FULL JOIN ({_CHANGE}) i ON l.file_path = i.file_path")
+def periodic_passes(spark, d):
+    """Two rounds of the loop over listing snapshots: part of the files, then all of them; each round's changes go into the next version of the ledger."""
+    inventory, at, now = frame(spark, d, "inv"), scratch_path(spark, "loop"), datetime.fromisoformat(NOW)
+    ledger_store.write_ledger(frame(spark, d, "ledger"), f"{at}/ledger", 0)
+
+    def run(batch, n):
+        records = ledger_store.read_ledger(spark, f"{at}/ledger", n)
+        found = C.detect_changes(batch, records)
+        ledger_store.write_ledger(C.apply_changes(records, found, now), f"{at}/ledger", n + 1)
+
+    for i, part in enumerate((inventory.where("file_size_bytes % 3 = 0"), inventory)):
+        part.write.parquet(f"{at}/in/part={i}")
+        snapshots = spark.readStream.schema(inventory.schema).option("recursiveFileLookup", "true").parquet(f"{at}/in")
+        stream.start_stream(snapshots, run, f"{at}/checkpoint", None).awaitTermination()
+    return ledger_store.read_ledger(spark, f"{at}/ledger").select("file_path", "file_size_bytes", "transfer_status")

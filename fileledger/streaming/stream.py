@@ -70,12 +70,20 @@ def stream_ledger(events: DataFrame, path: str, checkpoint: str, buckets: int =
             touched = {r["b"] for r in batch.select(bucket.alias("b")).distinct().collect()}  # at most ``buckets`` rows
             state = _latest(spark, path, batch_id, touched) if touched else None
             new = fold_events(state, batch).withColumn("bucket", bucket)
+            if not touched:
+                return
             new.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/batch={batch_id:08d}")
         finally:
             batch.unpersist()
-        for b, batches in _versions(spark, path).items():
-            for old in [n for n in batches if n <= batch_id][:-keep]:
-                remove(spark, f"{path}/batch={old:08d}/bucket={b}")
+        found = _versions(spark, path)
+        kept = set()
+        for b, batches in found.items():
+            old = [n for n in batches if n <= batch_id][:-keep]
+            kept |= set(batches) - set(old)
+            for n in old:
+                remove(spark, f"{path}/batch={n:08d}/bucket={b}")
+        for n in {n for batches in found.values() for n in batches} - kept:  # no bucket's version is left in it
+            remove(spark, f"{path}/batch={n:08d}")
 
     return events.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

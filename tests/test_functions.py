@@ -75,3 +75,15 @@ def test_compare(spark, a, b, error, ok):
 def test_relative(spark):
     df = spark.createDataFrame([("/r/a/b",), ("/other",)], "path string")
     assert [r.file_path for r in paths.relative_path(df, "/r/").collect()] == ["a/b", None]
+
+
+def test_content_hash_is_xxh64_with_seed_0_without_python(spark):
+    import xxhash
+
+    rows = [b"", b"a", None, *(bytes((i * 7 + j) % 256 for j in range(i)) for i in (3, 4, 7, 8, 9, 31, 32, 33, 63, 64, 100, 5000))]
+    from fileledger.functions.hashing import content_xxh64
+
+    df = spark.createDataFrame([(r,) for r in rows], "b binary").select("b", content_xxh64(F.col("b")).alias("h"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [r.h for r in df.collect()] == [None if b is None else xxhash.xxh64_hexdigest(b) for b in rows]
+    assert df.sparkSession.sql("select 'é' as s").select(content_xxh64(F.col("s")).alias("h")).first().h == xxhash.xxh64_hexdigest("é".encode())
