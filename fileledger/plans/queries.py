@@ -18,7 +18,7 @@ from ..operators import residual as RC
 from ..operators import scan as S
 from ..operators import verify as V
 from ..schema import STATUSES
-from ..sources import copying, ledger_store, listing, signals_store
+from ..sources import bucket_store, copying, ledger_store, listing, signals_store
 from ..sources.scratch import saved, scratch_path
 from ..streaming import stream
 from . import passes as P
@@ -988,3 +988,27 @@ def periodic_passes(spark, d):
         snapshots = spark.readStream.schema(inventory.schema).option("recursiveFileLookup", "true").parquet(f"{at}/in")
         stream.start_stream(snapshots, run, f"{at}/checkpoint", None).awaitTermination()
     return ledger_store.read_ledger(spark, f"{at}/ledger").select("file_path", "file_size_bytes", "transfer_status")
+
+
+def _retried(spark, d):
+    """A bucketed ledger, and a second version in which failed records are verified and those of one source are gone."""
+    records, at = frame(spark, d, "ledger"), scratch_path(spark, "buckets")
+    bucket_store.write_changes(spark, at, records)
+    failed = records.where("transfer_status = 'failed'").withColumn("transfer_status", F.lit("verified"))
+    bucket_store.write_changes(spark, at, failed, 0, records.where("file_path like 'src1/%' and transfer_status <> 'failed'").select("file_path"))
+    return at
+
+
+_RETRIED = W("ledger") + ", l AS (SELECT file_path, file_size_bytes, CASE WHEN transfer_status = 'failed' THEN 'verified' ELSE transfer_status END AS transfer_status FROM ledger WHERE file_path NOT LIKE 'src1/%' OR transfer_status = 'failed')"
+
+
+@query(_RETRIED + " SELECT file_path, file_size_bytes, transfer_status FROM l")
+def bucketed_ledger(spark, d):
+    return bucket_store.read(spark, _retried(spark, d)).select("file_path", "file_size_bytes", "transfer_status")
+
+
+@query(_RETRIED + " SELECT s AS transfer_status, count(l.file_path) AS files, CAST((SELECT sum(file_size_bytes) FROM l) AS BIGINT) AS all_bytes FROM (SELECT unnest([" + ", ".join(f"'{s}'" for s in STATUSES) + "]) AS s) LEFT JOIN l ON s = transfer_status GROUP BY s")
+def incremental_totals(spark, d):
+    """Files by status and all bytes, from the sums of buckets that the manifest keeps."""
+    found = bucket_store.totals(spark, _retried(spark, d))
+    return spark.createDataFrame([(s, n, found["bytes"]) for s, n in found["status"].items()], "transfer_status string, files long, all_bytes long")
