@@ -226,9 +226,12 @@ def send_in_codes(send: DataFrame, records: DataFrame, config: PassConfig) -> tu
     return out, stopped
 
 
-def run_pass(spark: SparkSession, config: PassConfig, now: datetime, full: bool = False, dry_run: bool = False) -> PassResult:
+def run_pass(spark: SparkSession, config: PassConfig, now: datetime, full: bool = False, dry_run: bool = False, inventory: DataFrame | None = None) -> PassResult:
     """One incremental pass, or a full one that ignores the cursor. A dry run plans and changes nothing.
 
+    ``inventory`` stands for a listing of the source: a batch of :func:`~fileledger.sources.inventory_source.stream_inventory`,
+    say. All of its rows count, whatever the cursor says, and pending records are tried again with what the ledger knows of them.
+
     A plan that a target has no room for is refused as a whole; a pass that meets general failure stops, keeps what it did and
     leaves the rest pending. With ``detect="hash"`` every scanned file is read and compared by content. The result's frames
     stand in the pass's own folder below ``work`` and can be read until the next pass begins; all else there is deleted.
@@ -238,12 +241,15 @@ def run_pass(spark: SparkSession, config: PassConfig, now: datetime, full: bool
     config = _begin(spark, config)
     state = _saved(load_state(spark, config), config, "state")
     records = _saved(ledger_store.read_ledger(spark, config.ledger_path), config, "ledger")
-    since = None if full else state.first()["last_scan_time"]
+    since = None if full or inventory is not None else state.first()["last_scan_time"]
     ignore = _names(spark, config.ignore)
-    inventory = _saved(listing.list_files(spark, config.source, config.ignore).select(*INVENTORY.fieldNames()), config, "inventory")
+    given = inventory
+    listed = listing.list_files(spark, config.source, config.ignore) if given is None else given
+    inventory = _saved(listed.select(*INVENTORY.fieldNames()), config, "inventory")
     scanned = scan.scan_since(inventory, since, now, config.settle_minutes, config.extensions, ignore, config.skip_root)
     rows = scan.selected(scanned)
-    again = changes.requeue(records, inventory, rows, now, ignore, config.settle_minutes)
+    known = inventory if given is None else inventory.unionByName(records.select(*inventory.columns).join(inventory.select("file_path"), "file_path", "left_anti"))
+    again = changes.requeue(records, known, rows, now, ignore, config.settle_minutes)
     work = changes.work_list(rows, again)
     if config.detect == "hash":
         read = work.join(_saved(hash_files(work, config.source), config, "hashes"), "file_path", "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from ..operators import residual as RC
 from ..operators import scan as S
 from ..operators import verify as V
 from ..schema import STATUSES
-from ..sources import bucket_store, copying, ledger_store, listing, signals_store
+from ..sources import bucket_store, copying, inventory_source, ledger_store, listing, signals_store
 from ..sources.scratch import saved, scratch_path
 from ..streaming import stream
 from . import passes as P
@@ -990,6 +991,33 @@ def periodic_passes(spark, d):
     return ledger_store.read_ledger(spark, f"{at}/ledger").select("file_path", "file_size_bytes", "transfer_status")
 
 
+@query(_FILE_BYTES)
+def read_inventory(spark, d):
+    """The archive by the data source in place of the listing by level."""
+    root, _ = _as_files(spark, d)
+    files = S.filter_extension(inventory_source.read_inventory(spark, root), [".txt"])
+    return files.groupBy(paths.first_segment(F.col("file_path")).alias("top")).agg(F.sum("file_size_bytes").alias("bytes"))
+
+
+@query("SELECT top, CAST(0 AS BIGINT) AS batch, 'verified' AS transfer_status, bytes FROM (" + _FILE_BYTES + ") UNION ALL SELECT top, CAST(1 AS BIGINT), 'pending', bytes FROM (" + _FILE_BYTES + ") WHERE top = (SELECT 'source=' || min(source) FROM documents)")
+def streamed_passes(spark, d):
+    """Passes fed by the stream of changes of an archive: all files, then one damaged folder, which alone is looked at again; without room for it at the target its records stay pending."""
+    config, found = _pass_config(spark, d), []
+
+    def run(batch, n):
+        limited = replace(config, least_free_gb=0 if n == 0 else 1e9)
+        result = P.run_pass(spark, limited, _later(), inventory=batch)
+        rows = result.ledger if n == 0 else result.plan.select("file_path", F.col("file_size_bytes") - 1, "transfer_status").toDF("file_path", "file_size_bytes", "transfer_status")
+        found.append(saved(_by_top(rows, F.lit(n).cast("long").alias("batch"), "transfer_status"), "streamed"))
+
+    for n in range(2):
+        if n:
+            _damaged(spark, config.source, _first_top(spark, d))
+        rows = inventory_source.stream_inventory(spark, config.source)
+        stream.start_stream(rows, run, f"{config.ledger_path}-checkpoint", None).awaitTermination()
+    return found[0].unionByName(found[1])
+
+
 def _retried(spark, d):
     """A bucketed ledger, and a second version in which failed records are verified and those of one source are gone."""
     records, at = frame(spark, d, "ledger"), scratch_path(spark, "buckets")

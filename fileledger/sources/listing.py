@@ -59,8 +59,14 @@ def list_files(spark: SparkSession, root: str, ignore: list[str] | None = None,
         folders = found.where("is_dir").select("path")
         if folders.limit(1).count() == 0:
             break
+    return as_inventory(files, root)
+
+
+def as_inventory(files: DataFrame, root: str) -> DataFrame:
+    """Listed files ``(path, file_size_bytes, mtime, ctime)``, times in seconds, as inventory rows with paths below ``root``."""
+    root = root.removeprefix("file://").rstrip("/")
     as_time = lambda c: F.expr(f"timestamp_micros(cast(round({c} * 1000000) as bigint))").cast("timestamp_ntz")
-    listed = files.withColumn("file_path", F.substr("path", F.lit(len(root.rstrip("/")) + 2), F.length("path")))
+    listed = files.withColumn("file_path", F.substr("path", F.lit(len(root) + 2), F.length("path")))
     listed = listed.withColumn("file_mtime", as_time("mtime")).withColumn("file_ctime", as_time("ctime"))
     return file_info(listed).select("file_path", "file_name", "file_extension", "file_size_bytes", "file_mtime", "file_ctime", "filename_timestamp")
 
