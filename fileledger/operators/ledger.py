@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import ACTIONABLE, STATE, STATUSES, domain
+from .prefix import running_sum
 from .scan import stamp
 
 
@@ -56,6 +57,16 @@ def unverified(ledger: DataFrame, older_than: datetime | str | None = None) -> D
     return ledger.where(never if older_than is None else never | (F.col("last_verified_remote") < stamp(older_than)))
 
 
+def stalest(ledger: DataFrame, byte_budget: int) -> DataFrame:
+    """The records to verify next within a budget: never verified ones, then those longest ago, by path, until their bytes reach it.
+
+    The record that passes the budget is the last one taken, so that each call goes on, whatever a file's size. Unknown sizes
+    count as 0. Repeated over time, every record has its turn. Sums come from sorted ranges, so no task sees all records.
+    """
+    summed = running_sum(ledger, F.col("file_size_bytes"), F.asc_nulls_first("last_verified_remote"), "file_path")
+    return summed.where(F.col("before") < byte_budget).drop("seq", "before")
+
+
 def count_tracked(ledger: DataFrame) -> DataFrame:
     return ledger.agg(F.count(F.lit(1)).alias("files"))
 

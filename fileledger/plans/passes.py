@@ -13,6 +13,7 @@ from ..functions.hashing import hash_files, target_hash
 from ..functions.paths import target_path
 from ..functions.text import is_conn_error
 from ..operators import changes, codec, ledger, outcomes, reports, scan, verify
+from ..operators.prefix import running_sum
 from ..schema import INVENTORY
 from ..sources import copying, encoded, ledger_store, listing
 from ..sources.scratch import place, remove
@@ -127,12 +128,13 @@ def _publish(records: DataFrame, state: DataFrame, config: PassConfig) -> None:
 
 
 def copy_in_waves(queue: DataFrame, config: PassConfig) -> tuple[DataFrame, str | None]:
-    """Copy ``queue (seq, file_path, target_file)`` in waves, and stop at a sign of general failure: all tries, and why it stopped.
+    """Copy ``queue (seq, before, file_path, target_file, file_size_bytes)`` in waves, and stop at a sign of general failure: all tries, and why it stopped.
 
     Waves start small and double, so that a server that refuses every file is asked for a few only; beyond ``wave_files`` they
     grow as long as nothing fails, so the number of waves grows with the logarithm of the queue. After each wave one aggregation counts its
     mismatches and failures of the connection; only if these could reach a limit are they looked at in the plan's order.
-    The files of later waves stay as they are. A wave that already failed in a row isn't tried a second time.
+    Tasks of a wave have equal bytes: ``before``, the bytes before a file, deals them, and a wave with a file above a task's share of it
+    is copied in ranges. The files of later waves stay as they are. A wave that already failed in a row isn't tried a second time.
     """
     spark, folder = queue.sparkSession, f"{config.work}/{_RESULTS}/{uuid.uuid4().hex}-tries"
     total, at, size, number = queue.count(), 0, max(16, 2 * config.parallelism), 0
@@ -153,7 +155,15 @@ def copy_in_waves(queue: DataFrame, config: PassConfig) -> tuple[DataFrame, str
     def copied(files: DataFrame, attempt: int) -> DataFrame:
         nonlocal number
         number += 1
-        copying.copy_files(files, config.source, "/", config.parallelism, attempt).write.parquet(f"{folder}/part={number}")
+        cost = F.coalesce("file_size_bytes", F.lit(0)) + F.lit(copying.FILE_COST)
+        first, end, largest = files.agg(F.min("before"), F.max(F.col("before") + cost), F.max("file_size_bytes")).first()
+        share = copying.range_size((end or 0) - (first or 0), config.parallelism)
+        if (largest or 0) > share:
+            done = copying.copy_ranged(files, config.source, "/", config.parallelism, attempt, share)
+        else:
+            task = F.expr(f"cast((before - {first or 0}) * {config.parallelism} / {max(1, (end or 0) - (first or 0))} as int)")
+            done = copying.copy_files(files.withColumn("task", F.least(task, F.lit(config.parallelism - 1))), config.source, "/", config.parallelism, attempt)
+        done.write.parquet(f"{folder}/part={number}")
         return spark.read.schema(schema).parquet(f"{folder}/part={number}")
 
     def counted(tries: DataFrame) -> tuple[int, int, int, int | None]:
@@ -283,7 +293,8 @@ def run_pass(spark: SparkSession, config: PassConfig, now: datetime, full: bool
     in_codes, halted = send_in_codes(send, updated, config)
     if in_codes is not None:
         send = _saved(send.join(in_codes.select("file_path"), "file_path", "left_anti"), config, "plain")
-    queue = _saved(outcomes.numbered(send, "rank", "file_path"), config, "queue")
+    cost = F.coalesce("file_size_bytes", F.lit(0)) + F.lit(copying.FILE_COST)
+    queue = _saved(running_sum(send, cost, "rank", "file_path"), config, "queue")
     tries, stopped = copy_in_waves(queue, config)
     done = outcomes.apply_outcomes(changes.settle_matches(updated, plan, now), tries, now)
     if in_codes is not None:
@@ -298,15 +309,17 @@ def run_pass(spark: SparkSession, config: PassConfig, now: datetime, full: bool
     return PassResult(plan, tries, done, next_state, stats, superseded, None, stopped or halted, in_codes)
 
 
-def run_verification(spark: SparkSession, config: PassConfig, now: datetime, quarantine: bool = True, older_than: datetime | None = None) -> tuple[DataFrame, DataFrame]:
+def run_verification(spark: SparkSession, config: PassConfig, now: datetime, quarantine: bool = True, older_than: datetime | None = None, byte_budget: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Verify records at both ends: the verdicts and a summary. Mismatches are moved aside and become pending.
 
-    With ``older_than``, only records that were never verified at the target, or last before then; the time of the last full
-    verification stays.
+    With ``older_than``, only records that were never verified at the target, or last before then; with ``byte_budget``, of these
+    the stalest that it covers. With either, the time of the last full verification stays.
     """
     config = _begin(spark, config)
     records = _saved(ledger_store.read_ledger(spark, config.ledger_path), config, "ledger")
     chosen = records if older_than is None else records.join(ledger.unverified(records, older_than).select("file_path"), "file_path", "left_semi")
+    if byte_budget is not None:
+        chosen = ledger.stalest(chosen, byte_budget)
     local = hash_files(chosen, config.source).where("error is null").select("file_path", "hash")
     local = _saved(local, config, "local")
     artifacts = verify.expand_checks(chosen.join(local.select("file_path", F.col("hash").alias("now_local")), "file_path"), config.target, config.compressed_target)
@@ -316,7 +329,7 @@ def run_verification(spark: SparkSession, config: PassConfig, now: datetime, qua
         _saved(copying.move_files(verify.quarantine_plan(verdicts, now)), config, "moves")
     done = _saved(verify.apply_verdicts(records, verdicts, now), config, "ledger")
     state = load_state(spark, config)
-    state = ledger.update_state(state, done, last_full_verify_time=now) if older_than is None else ledger.update_state(state, done)
+    state = ledger.update_state(state, done, last_full_verify_time=now) if older_than is None and byte_budget is None else ledger.update_state(state, done)
     _publish(done, _saved(state, config, "state"), config)
     summary = _saved(reports.verify_summary(verdicts), config, "summary", True)
     _end(spark, config)

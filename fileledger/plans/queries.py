@@ -156,6 +156,29 @@ def copy_files(spark, d):
     return tries.groupBy(paths.first_segment(F.col("file_path")).alias("top")).agg(F.sum("bytes_transferred").alias("bytes"), F.bool_and(ok).alias("verified"))
 
 
+@query("SELECT top, bytes, true AS verified FROM (" + _FILE_BYTES + ")")
+def copy_ranged(spark, d):
+    """The same archive copied in ranges: more than one for each large file, and every hash is that of the source file."""
+    root, to = _as_files(spark, d)
+    plan = saved(S.filter_extension(listing.list_files(spark, root), [".txt"]).select("file_path", "file_size_bytes"), "plan")
+    largest = plan.agg(F.max("file_size_bytes")).first()[0] or 0
+    tries = saved(copying.copy_ranged(plan, root, to, range_bytes=max(1, largest // 5)), "tries").join(hashing.hash_files(plan, root), "file_path")
+    ok = F.col("success") & (F.col("sent_checksum") == F.col("remote_checksum")) & (F.col("sent_checksum") == F.col("hash"))
+    return tries.groupBy(paths.first_segment(F.col("file_path")).alias("top")).agg(F.sum("bytes_transferred").alias("bytes"), F.bool_and(ok).alias("verified"))
+
+
+_RANGES = W("inv") + f""", r AS (SELECT file_path, unnest(range(0, greatest(file_size_bytes, 1), 1000)) AS start, file_size_bytes FROM inv),
+p AS (SELECT file_path, start, least(file_size_bytes - start, 1000) AS length FROM r),
+s AS (SELECT *, sum(length + {copying.FILE_COST}) OVER (ORDER BY length DESC, file_path, start) - length - {copying.FILE_COST} AS before, sum(length + {copying.FILE_COST}) OVER () AS total FROM p)
+SELECT file_path, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(before * 16 // total AS INTEGER) AS task FROM s"""
+
+
+@query(_RANGES)
+def deal_ranges(spark, d):
+    plan = frame(spark, d, "inv").select("file_path", F.col("file_path").alias("target_file"), "file_size_bytes")
+    return copying.deal_ranges(copying.file_ranges(plan, 1000), 16).select("file_path", "start", "length", "task")
+
+
 def _damaged(spark, root: str, top: str) -> None:
     """One byte more at the end of each text below one top-level folder."""
 
@@ -489,6 +512,14 @@ def unverified(spark, d):
     return L.unverified(frame(spark, d, "ledger"), "2023-12-31 06:00:00").select("file_path", "last_verified_remote")
 
 
+@query(W("ledger") + "SELECT file_path, last_verified_remote, file_size_bytes FROM (SELECT *, sum(file_size_bytes) OVER (ORDER BY last_verified_remote NULLS FIRST, file_path) - file_size_bytes AS before FROM ledger) WHERE before < (SELECT CAST(sum(file_size_bytes) AS BIGINT) // 3 FROM ledger)")
+def stalest(spark, d):
+    """The records to verify next, a third of all bytes."""
+    records = frame(spark, d, "ledger")
+    budget = (records.agg(F.sum("file_size_bytes")).first()[0] or 0) // 3
+    return L.stalest(records, budget).select("file_path", "last_verified_remote", "file_size_bytes")
+
+
 _TRY = "SELECT *, CASE WHEN NOT success OR remote_error IS NOT NULL THEN 'failed' WHEN remote_checksum = sent_checksum THEN 'verified' ELSE 'checksum_mismatch' END AS result, CASE WHEN NOT success THEN error WHEN remote_error IS NOT NULL THEN 'the copy could not be read back: ' || remote_error WHEN remote_checksum <> sent_checksum THEN 'the copy differs: hash of what was sent ' || sent_checksum || ', of what is there ' || remote_checksum END AS message FROM (SELECT * FROM tries UNION ALL SELECT * FROM tries2)"
 
 
