@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import publish, remove, saved
+from .prefix import ranged
 
 #: How far from a whole number of steps a gap between levels may be.
 GRID_TOLERANCE = 1e-4
@@ -21,6 +22,8 @@ MAX_BITS = 24
 FULL = 2**23 - 1
 #: Above so many levels no grid is looked for: its codes could not fit 24 bits.
 MAX_FIT_LEVELS = 1 << MAX_BITS
+#: Levels of a signal that are looked at together.
+BLOCK_LEVELS = 1 << 16
 #: Property names that say that samples are scaled on reading, and the highest rate of the stored format.
 SCALE_PREFIX = "NI_Scale"
 SCALE_NAMES = ["NI_Scaling_Status", "NI_Number_Of_Scales"]
@@ -43,26 +46,54 @@ def signal_levels(signals: DataFrame) -> DataFrame:
     return _levels(signals).drop("minus_zero")
 
 
-def fit_grid(levels: DataFrame) -> DataFrame:
+def number_levels(levels: DataFrame, most: int | None = None) -> DataFrame:
+    """``signal_id, level, level_idx``: levels numbered from 0 in order, of the signals with no more than ``most`` of them.
+
+    Levels are counted before anything is sorted. Sorted ranges of all levels are numbered in their own tasks, and the counts of
+    a signal's earlier ranges are added, so that the levels of one signal are no single task's.
+    """
+    levels = levels.select("signal_id", "level")
+    if most is not None:
+        few = levels.groupBy("signal_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= most)
+        levels = levels.join(few.select("signal_id"), "signal_id", "left_semi")
+    rows = ranged(levels, "signal_id", "level")
+    parts = rows.groupBy("signal_id", "__part").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy("signal_id").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("signal_id", "__part", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"))
+    return rows.join(parts, ["signal_id", "__part"]).select("signal_id", "level", (F.col("__at") + F.col("__shift")).cast("long").alias("level_idx"))
+
+
+def fit_grid(levels: DataFrame, places: DataFrame | None = None) -> DataFrame:
     """``signal_id, n_levels, grid_offset, step, on_grid`` from the levels.
 
     The step is the least gap; every gap must be a whole number of steps up to the tolerance; then the step is refined
-    by least squares over all levels, summed in level order so that the last bit doesn't depend on partitions. A single
-    level has step 1. Levels that are null, NaN or infinite aren't on a grid, not even single ones.
+    by least squares over all levels, summed in level order in blocks of :data:`BLOCK_LEVELS` and over these, so that the last bit
+    doesn't depend on partitions and a signal is many tasks' work. A single level has step 1. Levels that are null, NaN or
+    infinite aren't on a grid, not even single ones. ``places`` are the levels numbered before, if they are.
     """
     per = levels.groupBy("signal_id").agg(F.count(F.lit(1)).alias("n_levels"), F.max("level").alias("top"), F.min("level").alias("grid_offset"))
-    gaps = levels.withColumn("gap", F.col("level") - F.lag("level").over(Window.partitionBy("signal_id").orderBy("level")))
+    finite = (F.col("top") < F.lit(float("inf"))) & (F.col("grid_offset") > F.lit(float("-inf")))
+    per = per.withColumn("finite", F.coalesce(finite, F.lit(False)))
+    places = number_levels(levels, MAX_FIT_LEVELS) if places is None else places
+    fitted = places.join(per.where(F.col("finite") & (F.col("n_levels") > 1)).select("signal_id", "grid_offset"), "signal_id").withColumn("block", F.floor(F.col("level_idx") / BLOCK_LEVELS))
+    in_block = Window.partitionBy("signal_id", "block").orderBy("level_idx")
+    inner = fitted.select("signal_id", (F.col("level") - F.lag("level").over(in_block)).alias("gap"))
+    ends = fitted.groupBy("signal_id", "block").agg(F.min("level").alias("low"), F.max("level").alias("high"))
+    borders = ends.select("signal_id", (F.col("low") - F.lag("high").over(Window.partitionBy("signal_id").orderBy("block"))).alias("gap"))
+    gaps = inner.unionByName(borders).where("gap is not null")
     least = gaps.groupBy("signal_id").agg(F.min("gap").alias("least_gap"))
     whole = F.abs(F.col("gap") / F.col("least_gap") - F.rint(F.col("gap") / F.col("least_gap")))
-    off = gaps.where("gap is not null").join(least, "signal_id").groupBy("signal_id").agg(F.max(whole).alias("worst"))
-    fit = per.join(least, "signal_id").join(off, "signal_id", "left")
-    finite = (F.col("top") < F.lit(float("inf"))) & (F.col("grid_offset") > F.lit(float("-inf")))
-    fit = fit.withColumn("on_grid", F.coalesce(finite & ((F.col("n_levels") == 1) | ((F.col("least_gap") > 0) & (F.col("worst") <= GRID_TOLERANCE) & (F.col("n_levels") <= MAX_FIT_LEVELS))), F.lit(False)))
-    of_grid = levels.join(fit.where("on_grid and n_levels > 1").select("signal_id", "grid_offset", "least_gap"), "signal_id")
-    order = Window.partitionBy("signal_id").orderBy("level").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    off = gaps.join(least, "signal_id").groupBy("signal_id").agg(F.first("least_gap").alias("least_gap"), F.max(whole).alias("worst"))
+    fit = per.join(off, "signal_id", "left")
+    fit = fit.withColumn("on_grid", F.coalesce(F.col("finite") & ((F.col("n_levels") == 1) | ((F.col("least_gap") > 0) & (F.col("worst") <= GRID_TOLERANCE) & (F.col("n_levels") <= MAX_FIT_LEVELS))), F.lit(False)))
+    of_grid = fitted.join(fit.where("on_grid and n_levels > 1").select("signal_id", "least_gap"), "signal_id")
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     k = F.rint((F.col("level") - F.col("grid_offset")) / F.col("least_gap"))
-    sums = of_grid.select("signal_id", "level", F.sum(k * (F.col("level") - F.col("grid_offset"))).over(order).alias("num"), F.sum(k * k).over(order).alias("den"))
-    refined = sums.groupBy("signal_id").agg((F.max_by("num", "level") / F.max_by("den", "level")).alias("refined"))
+    sums = of_grid.select("signal_id", "block", "level_idx", F.sum(k * (F.col("level") - F.col("grid_offset"))).over(so_far).alias("num"), F.sum(k * k).over(so_far).alias("den"))
+    blocks = sums.groupBy("signal_id", "block").agg(F.max_by("num", "level_idx").alias("num"), F.max_by("den", "level_idx").alias("den"))
+    by_block = Window.partitionBy("signal_id").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # at most MAX_FIT_LEVELS / BLOCK_LEVELS of a signal
+    joined = blocks.select("signal_id", "block", F.sum("num").over(by_block).alias("num"), F.sum("den").over(by_block).alias("den"))
+    refined = joined.groupBy("signal_id").agg((F.max_by("num", "block") / F.max_by("den", "block")).alias("refined"))
     return fit.join(refined, "signal_id", "left").select("signal_id", "n_levels", "grid_offset", F.when(F.col("on_grid"), F.when(F.col("n_levels") == 1, F.lit(1.0)).otherwise(F.col("refined"))).alias("step"), "on_grid")
 
 
@@ -74,7 +105,7 @@ def affine_codes(signals: DataFrame, fit: DataFrame) -> DataFrame:
 
 def level_index(levels: DataFrame) -> DataFrame:
     """``signal_id, level, level_idx``: levels numbered from 0 in order."""
-    return levels.select("signal_id", "level", (F.row_number().over(Window.partitionBy("signal_id").orderBy("level")) - 1).cast("long").alias("level_idx"))
+    return number_levels(levels)
 
 
 def indexed_codes(signals: DataFrame, index: DataFrame) -> DataFrame:
@@ -138,11 +169,12 @@ def encode_signals(signals: DataFrame, exact: bool = True) -> tuple[DataFrame, D
     row in ``meta``. Empty signals have no rows anywhere; see :func:`route` for them.
     """
     levels = saved(_levels(signals), "levels")
-    fit = fit_grid(levels)
+    places = number_levels(levels, MAX_FIT_LEVELS)
+    fit = saved(fit_grid(levels, places), "fit")
     chosen = choose_encoding(encoding_stats(levels, fit), exact)
     affine, fixed = F.col("encoding") == "affine_codes", F.col("encoding") == "fixed_point"
     chosen = saved(chosen.select("signal_id", "encoding", "bits_per_sample", F.when(affine, F.col("grid_offset")).alias("grid_offset"), F.when(affine, F.col("step")).alias("step"), F.when(fixed, F.col("largest")).alias("scale"), "n_levels", "n_samples"), "encodings")
-    index = saved(level_index(levels.join(chosen.where("encoding = 'indexed'").select("signal_id"), "signal_id", "left_semi")), "index")
+    index = saved(places.join(chosen.where("encoding = 'indexed'").select("signal_id"), "signal_id", "left_semi"), "index")
     of = signals.select("signal_id", "idx", "value").join(chosen.select("signal_id", "encoding", "grid_offset", "step", "scale", "bits_per_sample"), "signal_id")
     computed = F.when(affine, F.rint((F.col("value") - F.col("grid_offset")) / F.col("step"))).otherwise(F.rint(F.col("value") / F.col("scale") * F.lit(float(FULL))))
     plain = of.where("encoding <> 'indexed'").withColumn("code", computed.cast("long")).withColumn("level", F.lit(None).cast("double"))
