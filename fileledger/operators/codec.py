@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import publish, remove, saved
-from .prefix import ranged
+from .prefix import dealt, ranged
 
 #: How far from a whole number of steps a gap between levels may be.
 GRID_TOLERANCE = 1e-4
@@ -36,9 +37,10 @@ def bits_equal(a: Column, b: Column) -> Column:
 
 
 def _levels(signals: DataFrame) -> DataFrame:
-    """The levels with their samples, and whether -0.0 is among these."""
+    """The levels with their samples, and whether -0.0 is among these; samples are dealt first, so that no task holds the levels of more than its share."""
+    samples = dealt(signals.select("signal_id", "value"), signals.count(), "signal_id", "value")
     minus = F.bool_or(F.coalesce(F.col("value").cast("string") == "-0.0", F.lit(False)))
-    return signals.groupBy("signal_id", F.col("value").alias("level")).agg(F.count(F.lit(1)).alias("samples"), minus.alias("minus_zero"))
+    return samples.groupBy("signal_id", F.col("value").alias("level")).agg(F.count(F.lit(1)).alias("samples"), minus.alias("minus_zero"))
 
 
 def signal_levels(signals: DataFrame) -> DataFrame:
@@ -54,12 +56,13 @@ def number_levels(levels: DataFrame, most: int | None = None) -> DataFrame:
     """
     levels = levels.select("signal_id", "level")
     if most is not None:
-        few = levels.groupBy("signal_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= most)
-        levels = levels.join(few.select("signal_id"), "signal_id", "left_semi")
+        many = levels.groupBy("signal_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)  # at most one for so many levels
+        levels = levels.join(F.broadcast(many.select("signal_id")), "signal_id", "left_anti")
     rows = ranged(levels, "signal_id", "level")
     parts = rows.groupBy("signal_id", "__part").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy("signal_id").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("signal_id", "__part", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"))
+    rows = dealt(rows, rows.count(), "signal_id", "__part")
     return rows.join(parts, ["signal_id", "__part"]).select("signal_id", "level", (F.col("__at") + F.col("__shift")).cast("long").alias("level_idx"))
 
 
@@ -69,32 +72,34 @@ def fit_grid(levels: DataFrame, places: DataFrame | None = None) -> DataFrame:
     The step is the least gap; every gap must be a whole number of steps up to the tolerance; then the step is refined
     by least squares over all levels, summed in level order in blocks of :data:`BLOCK_LEVELS` and over these, so that the last bit
     doesn't depend on partitions and a signal is many tasks' work. A single level has step 1. Levels that are null, NaN or
-    infinite aren't on a grid, not even single ones. ``places`` are the levels numbered before, if they are.
+    infinite aren't on a grid, not even single ones. ``places`` are the levels numbered before, if they are. The numbered levels are
+    sorted twice, each time in steps of their own: for the least gaps, and for all that needs these.
     """
+    if places is None:
+        levels = saved(levels, "levels")
+        places = saved(number_levels(levels, MAX_FIT_LEVELS), "places")
     per = levels.groupBy("signal_id").agg(F.count(F.lit(1)).alias("n_levels"), F.max("level").alias("top"), F.min("level").alias("grid_offset"))
     finite = (F.col("top") < F.lit(float("inf"))) & (F.col("grid_offset") > F.lit(float("-inf")))
-    per = per.withColumn("finite", F.coalesce(finite, F.lit(False)))
-    places = number_levels(levels, MAX_FIT_LEVELS) if places is None else places
-    fitted = places.join(per.where(F.col("finite") & (F.col("n_levels") > 1)).select("signal_id", "grid_offset"), "signal_id").withColumn("block", F.floor(F.col("level_idx") / BLOCK_LEVELS))
+    per = saved(per.withColumn("finite", F.coalesce(finite, F.lit(False))), "spans")
+    placed = dealt(places.withColumn("block", F.floor(F.col("level_idx") / BLOCK_LEVELS)), places.count(), "signal_id", "block")
     in_block = Window.partitionBy("signal_id", "block").orderBy("level_idx")
-    inner = fitted.select("signal_id", (F.col("level") - F.lag("level").over(in_block)).alias("gap"))
-    ends = fitted.groupBy("signal_id", "block").agg(F.min("level").alias("low"), F.max("level").alias("high"))
-    borders = ends.select("signal_id", (F.col("low") - F.lag("high").over(Window.partitionBy("signal_id").orderBy("block"))).alias("gap"))
-    gaps = inner.unionByName(borders).where("gap is not null")
-    least = gaps.groupBy("signal_id").agg(F.min("gap").alias("least_gap"))
-    whole = F.abs(F.col("gap") / F.col("least_gap") - F.rint(F.col("gap") / F.col("least_gap")))
-    off = gaps.join(least, "signal_id").groupBy("signal_id").agg(F.first("least_gap").alias("least_gap"), F.max(whole).alias("worst"))
+    gap = F.col("level") - F.lag("level").over(in_block)
+    ends = placed.select("signal_id", "block", "level", gap.alias("gap")).groupBy("signal_id", "block").agg(F.min("level").alias("low"), F.max("level").alias("high"), F.min("gap").alias("least"))
+    ends = saved(ends.join(per.where(F.col("finite") & (F.col("n_levels") > 1)).select("signal_id", "grid_offset"), "signal_id"), "ends")
+    by_block = Window.partitionBy("signal_id").orderBy("block")  # at most MAX_FIT_LEVELS / BLOCK_LEVELS of a signal
+    ends = ends.withColumn("border", F.col("low") - F.lag("high").over(by_block))
+    steps = saved(ends.select("signal_id", "block", "grid_offset", "border", F.min(F.least("least", "border")).over(Window.partitionBy("signal_id")).alias("least_gap")), "steps")
+    so_far = Window.unboundedPreceding, Window.currentRow
+    whole = lambda g: F.abs(g / F.col("least_gap") - F.rint(g / F.col("least_gap")))
+    k = F.rint((F.col("level") - F.col("grid_offset")) / F.col("least_gap"))
+    of_step = placed.join(steps, ["signal_id", "block"])
+    sums = of_step.select("signal_id", "block", "level_idx", "least_gap", whole(F.col("border")).alias("at_border"), whole(gap).alias("inside"), F.sum(k * (F.col("level") - F.col("grid_offset"))).over(in_block.rowsBetween(*so_far)).alias("num"), F.sum(k * k).over(in_block.rowsBetween(*so_far)).alias("den"))
+    blocks = saved(sums.groupBy("signal_id", "block").agg(F.max_by("num", "level_idx").alias("num"), F.max_by("den", "level_idx").alias("den"), F.max(F.greatest("at_border", "inside")).alias("worst"), F.first("least_gap").alias("least_gap")), "sums")
+    joined = blocks.select("signal_id", "block", "worst", "least_gap", F.sum("num").over(by_block.rowsBetween(*so_far)).alias("num"), F.sum("den").over(by_block.rowsBetween(*so_far)).alias("den"))
+    off = joined.groupBy("signal_id").agg(F.first("least_gap").alias("least_gap"), F.max("worst").alias("worst"), (F.max_by("num", "block") / F.max_by("den", "block")).alias("refined"))
     fit = per.join(off, "signal_id", "left")
     fit = fit.withColumn("on_grid", F.coalesce(F.col("finite") & ((F.col("n_levels") == 1) | ((F.col("least_gap") > 0) & (F.col("worst") <= GRID_TOLERANCE) & (F.col("n_levels") <= MAX_FIT_LEVELS))), F.lit(False)))
-    of_grid = fitted.join(fit.where("on_grid and n_levels > 1").select("signal_id", "least_gap"), "signal_id")
-    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    k = F.rint((F.col("level") - F.col("grid_offset")) / F.col("least_gap"))
-    sums = of_grid.select("signal_id", "block", "level_idx", F.sum(k * (F.col("level") - F.col("grid_offset"))).over(so_far).alias("num"), F.sum(k * k).over(so_far).alias("den"))
-    blocks = sums.groupBy("signal_id", "block").agg(F.max_by("num", "level_idx").alias("num"), F.max_by("den", "level_idx").alias("den"))
-    by_block = Window.partitionBy("signal_id").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # at most MAX_FIT_LEVELS / BLOCK_LEVELS of a signal
-    joined = blocks.select("signal_id", "block", F.sum("num").over(by_block).alias("num"), F.sum("den").over(by_block).alias("den"))
-    refined = joined.groupBy("signal_id").agg((F.max_by("num", "block") / F.max_by("den", "block")).alias("refined"))
-    return fit.join(refined, "signal_id", "left").select("signal_id", "n_levels", "grid_offset", F.when(F.col("on_grid"), F.when(F.col("n_levels") == 1, F.lit(1.0)).otherwise(F.col("refined"))).alias("step"), "on_grid")
+    return fit.select("signal_id", "n_levels", "grid_offset", F.when(F.col("on_grid"), F.when(F.col("n_levels") == 1, F.lit(1.0)).otherwise(F.col("refined"))).alias("step"), "on_grid")
 
 
 def affine_codes(signals: DataFrame, fit: DataFrame) -> DataFrame:

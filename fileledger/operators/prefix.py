@@ -7,6 +7,17 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import saved
 
+#: About the rows that a task sorts at once.
+TASK_ROWS = 1 << 19
+
+
+def dealt(df: DataFrame, rows: int, *keys: str | Column) -> DataFrame:
+    """The rows, ``rows`` in number, dealt by keys to tasks of about :data:`TASK_ROWS`, so that what one task sorts doesn't grow with the table.
+
+    Partitions of a given number stay as many, where Spark would join them to as few as there are cores.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)), *keys)
+
 
 def ranged(df: DataFrame, *order: str | Column) -> DataFrame:
     """The rows dealt to ranges of an order and written once, with ``__part``, the range, and ``__at``, the place in it.

@@ -18,6 +18,7 @@ from ..operators import reports as R
 from ..operators import residual as RC
 from ..operators import scan as S
 from ..operators import verify as V
+from ..operators.prefix import dealt
 from ..schema import STATUSES
 from ..sources import bucket_store, copying, inventory_source, ledger_store, listing, signals_store
 from ..sources.scratch import saved, scratch_path
@@ -763,14 +764,17 @@ def _values(spark, d):
     """Event values by user."""
     from pyspark.sql import Window
 
-    return table(spark, d, "events").select(F.col("user_id").cast("long").alias("signal_id"), (F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1).cast("long").alias("idx"), "value")
+    events = table(spark, d, "events").select("user_id", "ts", "event_id", "value")
+    return dealt(events, events.count(), "user_id").select(F.col("user_id").cast("long").alias("signal_id"), (F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1).cast("long").alias("idx"), "value")
 
 
 def _by_supplier(spark, d, column):
     from pyspark.sql import Window
 
-    order = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_extendedprice", "l_shipdate")
-    return table(spark, d, "lineitem").select(F.col("l_suppkey").cast("long").alias("signal_id"), (F.row_number().over(order) - 1).cast("long").alias("idx"), F.col(column).cast("double").alias("value"))
+    by = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_extendedprice", "l_shipdate"]
+    order = Window.partitionBy("l_suppkey").orderBy(*by)
+    items = table(spark, d, "lineitem").select("l_suppkey", *by, *({column} - {*by}))
+    return dealt(items, items.count(), "l_suppkey").select(F.col("l_suppkey").cast("long").alias("signal_id"), (F.row_number().over(order) - 1).cast("long").alias("idx"), F.col(column).cast("double").alias("value"))
 
 
 def _discounts(spark, d):
@@ -808,8 +812,8 @@ chosen AS (SELECT y.signal_id, n_levels, n_samples, CASE WHEN fits AND affine_bi
 
 
 def _mixed(spark, d):
-    """Event values, which lie on no grid, and discounts, which do."""
-    return _values(spark, d).unionByName(_discounts(spark, d).withColumn("signal_id", -1 - F.col("signal_id")))
+    """Event values, which lie on no grid, and discounts, which do; written once, since they are read several times."""
+    return saved(_values(spark, d).unionByName(_discounts(spark, d).withColumn("signal_id", -1 - F.col("signal_id"))), "signals")
 
 
 @query("WITH " + _SIG + ", " + _FIT + " SELECT signal_id, n_levels, grid_offset, round(step, 9) AS step, on_grid FROM fit")
