@@ -167,6 +167,7 @@ def _value(level: Column) -> Column:
 
 def encode_signals(signals: DataFrame, exact: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(codes, meta, levels)`` of all signals. Levels, encodings and codes are written once, since each is used several times.
+    A code depends on its sample's level only, so levels get codes, and samples meet these in one join.
 
     ``codes (signal_id, idx, code)``; ``meta`` has encoding, bits_per_sample, grid_offset, step, scale, n_levels, n_samples,
     and, from decoding every code that was written, ``exact`` and ``max_abs_error``; ``levels (signal_id, level_idx, level)``
@@ -174,19 +175,19 @@ def encode_signals(signals: DataFrame, exact: bool = True) -> tuple[DataFrame, D
     row in ``meta``. Empty signals have no rows anywhere; see :func:`route` for them.
     """
     levels = saved(_levels(signals), "levels")
-    places = number_levels(levels, MAX_FIT_LEVELS)
+    places = saved(number_levels(levels, MAX_FIT_LEVELS), "places")
     fit = saved(fit_grid(levels, places), "fit")
     chosen = choose_encoding(encoding_stats(levels, fit), exact)
     affine, fixed = F.col("encoding") == "affine_codes", F.col("encoding") == "fixed_point"
     chosen = saved(chosen.select("signal_id", "encoding", "bits_per_sample", F.when(affine, F.col("grid_offset")).alias("grid_offset"), F.when(affine, F.col("step")).alias("step"), F.when(fixed, F.col("largest")).alias("scale"), "n_levels", "n_samples"), "encodings")
     index = saved(places.join(chosen.where("encoding = 'indexed'").select("signal_id"), "signal_id", "left_semi"), "index")
-    of = signals.select("signal_id", "idx", "value").join(chosen.select("signal_id", "encoding", "grid_offset", "step", "scale", "bits_per_sample"), "signal_id")
-    computed = F.when(affine, F.rint((F.col("value") - F.col("grid_offset")) / F.col("step"))).otherwise(F.rint(F.col("value") / F.col("scale") * F.lit(float(FULL))))
-    plain = of.where("encoding <> 'indexed'").withColumn("code", computed.cast("long")).withColumn("level", F.lit(None).cast("double"))
-    at = index.select(F.col("signal_id").alias("__s"), "level", F.col("level_idx").alias("code"))
-    indexed = of.where("encoding = 'indexed'").join(at, (F.col("signal_id") == F.col("__s")) & F.col("value").eqNullSafe(F.col("level"))).drop("__s")
-    both = plain.unionByName(indexed.select(*plain.columns))
-    coded = saved(both.select("signal_id", "idx", "code", "value", _value(F.col("level")).alias("back")), "codes")
+    of = levels.select("signal_id", "level").join(chosen.where("encoding <> 'indexed'").select("signal_id", "encoding", "grid_offset", "step", "scale", "bits_per_sample"), "signal_id")
+    computed = F.when(affine, F.rint((F.col("level") - F.col("grid_offset")) / F.col("step"))).otherwise(F.rint(F.col("level") / F.col("scale") * F.lit(float(FULL))))
+    plain = of.withColumn("code", computed.cast("long")).select("signal_id", "level", "code", _value(F.lit(None).cast("double")).alias("back"))
+    at = saved(plain.unionByName(index.select("signal_id", "level", F.col("level_idx").alias("code"), F.col("level").alias("back"))), "level_codes")
+    at = at.select(F.col("signal_id").alias("__s"), "level", "code", "back")
+    both = signals.select("signal_id", "idx", "value").join(at, (F.col("signal_id") == F.col("__s")) & F.col("value").eqNullSafe(F.col("level")))
+    coded = saved(both.select("signal_id", "idx", "code", "value", "back"), "codes")
     same = bits_equal(F.col("value"), F.col("back"))
     error = F.max(F.when(same, F.lit(0.0)).otherwise(F.abs(F.col("value") - F.col("back"))))
     report = coded.groupBy("signal_id").agg(F.count(F.lit(1)).alias("n_decoded"), F.bool_and(same).alias("same"), error.alias("max_abs_error"))
