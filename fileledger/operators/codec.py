@@ -209,7 +209,9 @@ def decode(codes: DataFrame, meta: DataFrame, levels: DataFrame) -> DataFrame:
 
 def roundtrip_report(signals: DataFrame, decoded: DataFrame) -> DataFrame:
     """``signal_id, n_samples, n_decoded, max_abs_error, exact`` of decoded signals; exact is bit for bit, with no sample lost or added."""
-    both = signals.select("signal_id", "idx", F.col("value").alias("a"), F.lit(True).alias("in_a")).join(decoded.select("signal_id", "idx", F.col("value").alias("b"), F.lit(True).alias("in_b")), ["signal_id", "idx"], "full")
+    n = signals.count()
+    a = dealt(signals.select("signal_id", "idx", F.col("value").alias("a"), F.lit(True).alias("in_a")), n, "signal_id", "idx")
+    both = a.join(dealt(decoded.select("signal_id", "idx", F.col("value").alias("b"), F.lit(True).alias("in_b")), n, "signal_id", "idx"), ["signal_id", "idx"], "full")
     paired = F.col("in_a").isNotNull() & F.col("in_b").isNotNull()
     out = both.groupBy("signal_id").agg(F.count("in_a").alias("n_samples"), F.count("in_b").alias("n_decoded"), F.max(F.abs(F.col("a") - F.col("b"))).alias("worst"), F.bool_and(paired & bits_equal(F.col("a"), F.col("b"))).alias("exact"))
     return out.select("signal_id", "n_samples", "n_decoded", F.when(F.col("n_samples") == F.col("n_decoded"), F.coalesce("worst", F.lit(0.0))).otherwise(F.lit(float("inf"))).alias("max_abs_error"), "exact")
