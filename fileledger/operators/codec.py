@@ -239,9 +239,9 @@ def signal_xxh64(signals: DataFrame) -> DataFrame:
         for frame in frames:
             if not len(frame):
                 continue
-            ids = frame["signal_id"].to_numpy(object)
+            ids = frame["signal_id"].to_numpy()
             values = frame["value"].to_numpy("<f8")
-            cuts = [0, *(i for i in range(1, len(ids)) if ids[i] != ids[i - 1]), len(ids)]
+            cuts = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)]
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 if not started or ids[lo] != last:
                     if started:
@@ -256,8 +256,8 @@ def signal_xxh64(signals: DataFrame) -> DataFrame:
             yield pd.DataFrame([(last, h.hexdigest(), n)], columns=["signal_id", "data_xxh64", "n_samples"])
 
     kind = signals.schema["signal_id"].dataType.simpleString()
-    dealt = signals.select("signal_id", "idx", "value").repartition("signal_id").sortWithinPartitions("signal_id", "idx")
-    return dealt.select("signal_id", "value").mapInPandas(run, f"signal_id {kind}, data_xxh64 string, n_samples long")
+    rows = dealt(signals.select("signal_id", "idx", "value"), signals.count(), "signal_id").sortWithinPartitions("signal_id", "idx")
+    return rows.select("signal_id", "value").mapInPandas(run, f"signal_id {kind}, data_xxh64 string, n_samples long")
 
 
 def signal_meta(meta: DataFrame, hashes: DataFrame, timing: DataFrame) -> DataFrame:
@@ -354,10 +354,10 @@ def audit_codec(signals: DataFrame, sample: DataFrame, properties: DataFrame | N
 
     ``sample (signal_id)``; ``properties (signal_id, before, after)`` maps that must be equal, if given.
     """
-    mine = signals.join(sample.select("signal_id"), "signal_id", "left_semi")
-    codes, meta, levels = (saved(df, name) for df, name in zip(encode_signals(mine), ("codes", "meta", "levels"), strict=True))
-    report = saved(roundtrip_report(mine, decode(codes, meta, levels)), "report")
-    rebuilt = saved(rebuild_signals(codes, meta, levels, signal_xxh64(mine))[1], "rebuilt")
+    mine = saved(signals.join(sample.select("signal_id"), "signal_id", "left_semi"), "sampled")
+    back = saved(decode(*encode_signals(mine)), "decoded")
+    report = saved(roundtrip_report(mine, back), "report")
+    rebuilt = saved(_against(back, signal_xxh64(mine)), "rebuilt")
     out = sample.select("signal_id").join(report, "signal_id", "left").join(rebuilt, "signal_id", "left")
     same = F.lit(True)
     if properties is not None:

@@ -957,7 +957,8 @@ def route(spark, d):
 @query("WITH " + _DISC + " SELECT signal_id, true AS passed FROM s GROUP BY signal_id")
 def audit_codec(spark, d):
     s = _discounts(spark, d)
-    return K.audit_codec(s, s.select("signal_id").distinct())[0].select("signal_id", "passed")
+    sample = table(spark, d, "lineitem").select(F.col("l_suppkey").cast("long").alias("signal_id")).distinct()
+    return K.audit_codec(s, sample)[0].select("signal_id", "passed")
 
 
 @query(W("ledger", "found_links") + ", c AS (SELECT l.*, f.file_hash, f.samples_hash, f.encoded_hash, f.sidecar_hash, f.rebuilt_hash FROM ledger l LEFT JOIN found_links f ON l.file_path = f.file_path WHERE l.compressed) SELECT file_path, CAST(5 AS BIGINT) AS links, CASE WHEN local_checksum IS DISTINCT FROM file_hash THEN 'file' WHEN data_checksum IS DISTINCT FROM samples_hash THEN 'samples' WHEN compressed_checksum IS DISTINCT FROM encoded_hash THEN 'encoded' WHEN sidecar_checksum IS DISTINCT FROM sidecar_hash THEN 'sidecar' WHEN remote_checksum IS DISTINCT FROM rebuilt_hash THEN 'rebuilt' ELSE 'intact' END AS first_broken FROM c")

@@ -57,3 +57,17 @@ def test_codes_of_levels_are_codes_of_samples(spark):
     back = {(r.signal_id, r.idx): r.value for r in K.decode(codes, meta, levels).collect()}
     want = {(k, i): v for k, vs in given.items() for i, v in enumerate(vs) if k != 2}
     assert {k: repr(v) for k, v in back.items()} == {k: repr(v) for k, v in want.items()}
+
+
+def test_an_audit_reads_its_signals_once(spark):
+    given = spark.createDataFrame([(k, i, i * 0.5) for k in range(3) for i in range(40)], "signal_id long, idx long, value double")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    rows, _ = K.audit_codec(given.mapInPandas(counted, given.schema), given.select("signal_id").distinct())
+    assert [r.passed for r in rows.collect()] == [True] * 3
+    assert seen.value == 120
