@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import publish, remove, saved
-from .prefix import dealt, ranged
+from . import prefix
+from .prefix import dealt, joined, ranged
 
 #: How far from a whole number of steps a gap between levels may be.
 GRID_TOLERANCE = 1e-4
@@ -38,9 +39,14 @@ def bits_equal(a: Column, b: Column) -> Column:
 
 def _levels(signals: DataFrame) -> DataFrame:
     """The levels with their samples, and whether -0.0 is among these; samples are dealt first, so that no task holds the levels of more than its share."""
-    samples = dealt(signals.select("signal_id", "value"), signals.count(), "signal_id", "value")
+    samples = dealt(signals.select("signal_id", "value", F.xxhash64("value").alias("__hash")), signals.count(), "signal_id", "__hash")
     minus = F.bool_or(F.coalesce(F.col("value").cast("string") == "-0.0", F.lit(False)))
-    return samples.groupBy("signal_id", F.col("value").alias("level")).agg(F.count(F.lit(1)).alias("samples"), minus.alias("minus_zero"))
+    return samples.groupBy("signal_id", "__hash", F.col("value").alias("level")).agg(F.count(F.lit(1)).alias("samples"), minus.alias("minus_zero")).drop("__hash")
+
+
+def _heavy(counts: DataFrame, *keys: str, weight: str) -> DataFrame:
+    """What :func:`joined` must know of keys with more rows than a task should sort."""
+    return counts.where(F.col(weight) > prefix.TASK_ROWS).select(*keys, F.col(weight).alias("weight"))
 
 
 def signal_levels(signals: DataFrame) -> DataFrame:
@@ -140,7 +146,8 @@ def encoding_stats(levels: DataFrame, fit: DataFrame) -> DataFrame:
     """
     grid = fit.select("signal_id", "n_levels", "grid_offset", "step", "on_grid")
     code = F.rint((F.col("level") - F.col("grid_offset")) / F.col("step"))
-    coded = levels.join(grid, "signal_id").withColumn("code", F.when(F.col("on_grid"), code).cast("long"))
+    of = joined(levels, levels.count(), grid, _heavy(grid, "signal_id", weight="n_levels"), "signal_id", spread="level")
+    coded = of.withColumn("code", F.when(F.col("on_grid"), code).cast("long"))
     same = bits_equal(F.col("grid_offset") + F.col("code") * F.col("step"), F.col("level")) & ~F.col("minus_zero")
     largest = F.max(F.abs("level"))
     sums = coded.groupBy("signal_id").agg(bits_for_codes(F.min("code"), F.max("code")).alias("affine_bits"), F.bool_and(same).alias("affine_exact"), F.when(largest == 0, F.lit(1.0)).otherwise(largest).alias("largest"), F.sum("samples").alias("n_samples"))
@@ -180,22 +187,27 @@ def encode_signals(signals: DataFrame, exact: bool = True) -> tuple[DataFrame, D
     chosen = choose_encoding(encoding_stats(levels, fit), exact)
     affine, fixed = F.col("encoding") == "affine_codes", F.col("encoding") == "fixed_point"
     chosen = saved(chosen.select("signal_id", "encoding", "bits_per_sample", F.when(affine, F.col("grid_offset")).alias("grid_offset"), F.when(affine, F.col("step")).alias("step"), F.when(fixed, F.col("largest")).alias("scale"), "n_levels", "n_samples"), "encodings")
-    index = saved(places.join(chosen.where("encoding = 'indexed'").select("signal_id"), "signal_id", "left_semi"), "index")
-    of = levels.select("signal_id", "level").join(chosen.where("encoding <> 'indexed'").select("signal_id", "encoding", "grid_offset", "step", "scale", "bits_per_sample"), "signal_id")
+    large = _heavy(chosen, "signal_id", weight="n_levels")
+    index = saved(joined(places, places.count(), chosen.where("encoding = 'indexed'").select("signal_id"), large, "signal_id", spread="level_idx"), "index")
+    of = chosen.where("encoding <> 'indexed'").select("signal_id", "encoding", "grid_offset", "step", "scale", "bits_per_sample")
+    of = joined(levels.select("signal_id", "level"), levels.count(), of, large, "signal_id", spread="level")
     computed = F.when(affine, F.rint((F.col("level") - F.col("grid_offset")) / F.col("step"))).otherwise(F.rint(F.col("level") / F.col("scale") * F.lit(float(FULL))))
     plain = of.withColumn("code", computed.cast("long")).select("signal_id", "level", "code", _value(F.lit(None).cast("double")).alias("back"))
     at = saved(plain.unionByName(index.select("signal_id", "level", F.col("level_idx").alias("code"), F.col("level").alias("back"))), "level_codes")
-    at = at.select(F.col("signal_id").alias("__s"), "level", "code", "back")
-    both = signals.select("signal_id", "idx", "value").join(at, (F.col("signal_id") == F.col("__s")) & F.col("value").eqNullSafe(F.col("level")))
+    at, common = (df.withColumn("hash", F.xxhash64("level")) for df in (at, levels.where(F.col("samples") > prefix.TASK_ROWS)))
+    common = common.groupBy("signal_id", "hash").agg(F.sum("samples").alias("weight"))  # each once, even if hashes are equal
+    both = joined(signals.select("signal_id", "idx", "value", F.xxhash64("value").alias("hash")), signals.count(), at, common, "signal_id", "hash", spread="idx")
+    both = both.where(F.when(F.col("value").isNull(), F.col("level").isNull()).otherwise(F.col("value") == F.col("level")))
     coded = saved(both.select("signal_id", "idx", "code", "value", "back"), "codes")
     same = bits_equal(F.col("value"), F.col("back"))
     error = F.max(F.when(same, F.lit(0.0)).otherwise(F.abs(F.col("value") - F.col("back"))))
     report = coded.groupBy("signal_id").agg(F.count(F.lit(1)).alias("n_decoded"), F.bool_and(same).alias("same"), error.alias("max_abs_error"))
     meta = saved(chosen.join(report, "signal_id").withColumn("exact", F.col("same") & (F.col("n_decoded") == F.col("n_samples"))).drop("same", "n_decoded"), "meta")
     codes, index = coded.select("signal_id", "idx", "code"), index.select("signal_id", "level_idx", "level")
-    if exact:
+    if exact and meta.where("not exact").limit(1).count():
         good = meta.where("exact").select("signal_id")
-        codes, index = codes.join(good, "signal_id", "left_semi"), index.join(good, "signal_id", "left_semi")
+        codes = joined(codes, coded.count(), good, _heavy(meta, "signal_id", weight="n_samples"), "signal_id", spread="idx")
+        index = joined(index, index.count(), good, large, "signal_id", spread="level_idx")
     return codes, meta, index
 
 
