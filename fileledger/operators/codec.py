@@ -213,9 +213,14 @@ def encode_signals(signals: DataFrame, exact: bool = True) -> tuple[DataFrame, D
 
 def decode(codes: DataFrame, meta: DataFrame, levels: DataFrame) -> DataFrame:
     """``signal_id, idx, value`` from codes, as each signal's encoding says; only indexed codes meet the levels."""
-    m = codes.select("signal_id", "idx", "code").join(meta.select("signal_id", "encoding", "grid_offset", "step", "scale", "bits_per_sample"), "signal_id")
+    n = codes.count()
+    long = _heavy(meta, "signal_id", weight="n_samples")
+    how = meta.select("signal_id", "encoding", "grid_offset", "step", "scale", "bits_per_sample")
+    m = joined(codes.select("signal_id", "idx", "code"), n, how, long, "signal_id", spread="idx")
     plain = m.where("encoding <> 'indexed'").select("signal_id", "idx", _value(F.lit(None).cast("double")).alias("value"))
-    indexed = m.where("encoding = 'indexed'").join(levels.select("signal_id", F.col("level_idx").alias("code"), "level"), ["signal_id", "code"], "left")
+    within = codes.join(F.broadcast(long.select("signal_id")), "signal_id", "left_semi").groupBy("signal_id", "code").agg(F.count(F.lit(1)).alias("n"))  # a common code's signal is long
+    at = levels.select("signal_id", F.col("level_idx").alias("code"), "level")
+    indexed = joined(m.where("encoding = 'indexed'"), n, at, _heavy(within, "signal_id", "code", weight="n"), "signal_id", "code", spread="idx", how="left")
     return plain.unionByName(indexed.select("signal_id", "idx", F.col("level").alias("value")))
 
 

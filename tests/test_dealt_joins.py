@@ -36,7 +36,7 @@ def most_rows(spark, since: int) -> int:
     return most
 
 
-@pytest.mark.parametrize("what", ["compression_report", "stored_signal_meta"])
+@pytest.mark.parametrize("what", ["compression_report", "stored_signal_meta", "decode"])
 def test_no_task_reads_more_than_its_share(spark, shares, tmp_path, what):
     rng = np.random.default_rng(3)
     given = [(s, i, float(v)) for s in range(100) for i, v in enumerate(rng.normal(size=600) if s % 2 else 0.25 * (np.arange(600) % 300))]
