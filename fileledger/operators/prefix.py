@@ -16,9 +16,13 @@ FEW_ROWS = 1 << 17
 def dealt(df: DataFrame, rows: int, *keys: str | Column) -> DataFrame:
     """The rows, ``rows`` in number, dealt by keys to tasks of about :data:`TASK_ROWS`, so that what one task sorts doesn't grow with the table.
 
-    Partitions of a given number stay as many, where Spark would join them to as few as there are cores.
+    Partitions of a given number stay as many, where Spark would join them to as few as there are cores. Up to 4 times as many rows a task are taken
+    to stay within ``spark.shuffle.sort.bypassMergeThreshold``: above it the tasks that deal hold all rows that they read.
     """
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)), *keys)
+    context = df.sparkSession.sparkContext
+    most = int(context.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    parts = max(min(-(-rows // TASK_ROWS), most), -(-rows // (4 * TASK_ROWS)))
+    return df.repartition(max(context.defaultParallelism, parts), *keys)
 
 
 def joined(rows: DataFrame, n: int, side: DataFrame, heavy: DataFrame, *keys: str, spread: str, how: str = "inner") -> DataFrame:

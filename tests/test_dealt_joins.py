@@ -76,3 +76,9 @@ def test_rows_of_a_common_key_are_many_tasks(spark, shares, how):
     sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 5 * SHARE
     assert sorted(map(str, got.collect())) == sorted(map(str, rows.join(side, "k", how).collect()))
+
+
+def test_tasks_that_deal_hold_no_rows(spark):
+    rows = spark.range(1000)
+    got = [prefix.dealt(rows, n * prefix.TASK_ROWS, "id").rdd.getNumPartitions() for n in (150, 300, 800, 1000)]
+    assert got == [150, 200, 200, 250]
