@@ -22,8 +22,8 @@ from .prefix import dealt, joined, ranged
 GRID_TOLERANCE = 1e-4
 MAX_BITS = 24
 FULL = 2**23 - 1
-#: Above so many levels no grid is looked for: its codes could not fit 24 bits.
-MAX_FIT_LEVELS = 1 << MAX_BITS
+#: For callers who want no grid of more levels than this: :func:`fit_grid` then leaves such signals out. Unset, as here and in all queries, every signal is fitted.
+MAX_FIT_LEVELS: int | None = None
 #: Levels of a signal that are looked at together.
 BLOCK_LEVELS = 1 << 16
 #: Property names that say that samples are scaled on reading, and the highest rate of the stored format.
@@ -55,9 +55,9 @@ def signal_levels(signals: DataFrame) -> DataFrame:
 
 
 def number_levels(levels: DataFrame, most: int | None = None) -> DataFrame:
-    """``signal_id, level, level_idx``: levels numbered from 0 in order, of the signals with no more than ``most`` of them.
+    """``signal_id, level, level_idx``: levels numbered from 0 in order, of all signals, or of those with no more than ``most`` of them.
 
-    Levels are counted before anything is sorted. Sorted ranges of all levels are numbered in their own tasks, and the counts of
+    With ``most``, levels are counted before anything is sorted. Sorted ranges of all levels are numbered in their own tasks, and the counts of
     a signal's earlier ranges are added, so that the levels of one signal are no single task's.
     """
     levels = levels.select("signal_id", "level")
@@ -92,7 +92,7 @@ def fit_grid(levels: DataFrame, places: DataFrame | None = None) -> DataFrame:
     gap = F.col("level") - F.lag("level").over(in_block)
     ends = placed.select("signal_id", "block", "level", gap.alias("gap")).groupBy("signal_id", "block").agg(F.min("level").alias("low"), F.max("level").alias("high"), F.min("gap").alias("least"))
     ends = saved(ends.join(per.where(F.col("finite") & (F.col("n_levels") > 1)).select("signal_id", "grid_offset"), "signal_id"), "ends")
-    by_block = Window.partitionBy("signal_id").orderBy("block")  # at most MAX_FIT_LEVELS / BLOCK_LEVELS of a signal
+    by_block = Window.partitionBy("signal_id").orderBy("block")  # one row for BLOCK_LEVELS levels of a signal
     ends = ends.withColumn("border", F.col("low") - F.lag("high").over(by_block))
     steps = saved(ends.select("signal_id", "block", "grid_offset", "border", F.min(F.least("least", "border")).over(Window.partitionBy("signal_id")).alias("least_gap")), "steps")
     so_far = Window.unboundedPreceding, Window.currentRow
@@ -104,7 +104,7 @@ def fit_grid(levels: DataFrame, places: DataFrame | None = None) -> DataFrame:
     joined = blocks.select("signal_id", "block", "worst", "least_gap", F.sum("num").over(by_block.rowsBetween(*so_far)).alias("num"), F.sum("den").over(by_block.rowsBetween(*so_far)).alias("den"))
     off = joined.groupBy("signal_id").agg(F.first("least_gap").alias("least_gap"), F.max("worst").alias("worst"), (F.max_by("num", "block") / F.max_by("den", "block")).alias("refined"))
     fit = per.join(off, "signal_id", "left")
-    fit = fit.withColumn("on_grid", F.coalesce(F.col("finite") & ((F.col("n_levels") == 1) | ((F.col("least_gap") > 0) & (F.col("worst") <= GRID_TOLERANCE) & (F.col("n_levels") <= MAX_FIT_LEVELS))), F.lit(False)))
+    fit = fit.withColumn("on_grid", F.coalesce(F.col("finite") & ((F.col("n_levels") == 1) | ((F.col("least_gap") > 0) & (F.col("worst") <= GRID_TOLERANCE))), F.lit(False)))
     return fit.select("signal_id", "n_levels", "grid_offset", F.when(F.col("on_grid"), F.when(F.col("n_levels") == 1, F.lit(1.0)).otherwise(F.col("refined"))).alias("step"), "on_grid")
 
 
@@ -182,7 +182,7 @@ def encode_signals(signals: DataFrame, exact: bool = True) -> tuple[DataFrame, D
     row in ``meta``. Empty signals have no rows anywhere; see :func:`route` for them.
     """
     levels = saved(_levels(signals), "levels")
-    places = saved(number_levels(levels, MAX_FIT_LEVELS), "places")
+    places = saved(number_levels(levels), "places")
     fit = saved(fit_grid(levels, places), "fit")
     chosen = choose_encoding(encoding_stats(levels, fit), exact)
     affine, fixed = F.col("encoding") == "affine_codes", F.col("encoding") == "fixed_point"
